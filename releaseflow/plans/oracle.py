@@ -96,3 +96,49 @@ def with_base(select_sql: str, extra_ctes: str = "") -> str:
     if extra_ctes:
         ctes += ",\n" + extra_ctes.strip()
     return f"WITH {ctes}\n{select_sql.strip()}"
+
+# Bus rows: clean releases plus the adapter's faults and duplicate deliveries.
+BUS_CTES = """
+bus_src AS (
+  SELECT seq, event_id, source,
+         CASE WHEN seq % 109 = 0 THEN lower(release_name) ELSE release_name END AS release_name,
+         indicator, period, value, prior_value, revision, consensus, release_ts, ingested_ts,
+         kafka_ts, "partition", "offset",
+         CASE WHEN seq % 101 = 0 THEN 'malformed' WHEN seq % 103 = 0 THEN 'missing' ELSE 'ok' END AS fault
+  FROM rel
+),
+bus AS (
+  SELECT * FROM bus_src
+  UNION ALL
+  SELECT seq, event_id, source, release_name, indicator, period, value, prior_value, revision,
+         consensus, release_ts, ingested_ts, kafka_ts, "partition", "offset" + 1099511627776, fault
+  FROM bus_src WHERE seq % 20 = 0
+),
+valid AS (
+  SELECT * FROM bus WHERE fault = 'ok'
+)
+"""
+
+
+def json_sql(fields: list[tuple[str, str]], keep_nulls: bool) -> str:
+    """A JSON object text as Spark's ``to_json`` renders it.
+
+    kinds: str (no escaping needed in these fixtures), num, bool, ts (ISO, microseconds, Z).
+    """
+    parts = []
+    for name, kind in fields:
+        if kind == "str":
+            val = f"'\"' || {name} || '\"'"
+        elif kind == "num":
+            val = f"CAST({name} AS VARCHAR)"
+        elif kind == "bool":
+            val = f"CASE WHEN {name} THEN 'true' ELSE 'false' END"
+        elif kind == "ts":
+            val = f"'\"' || strftime({name}, {ISO_FMT}) || '\"'"
+        else:
+            raise ValueError(kind)
+        if keep_nulls:
+            parts.append(f"'\"{name}\":' || coalesce({val}, 'null')")
+        else:
+            parts.append(f"CASE WHEN {name} IS NOT NULL THEN '\"{name}\":' || {val} END")
+    return "'{' || concat_ws(',', " + ", ".join(parts) + ") || '}'"
