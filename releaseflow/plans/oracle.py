@@ -142,3 +142,11 @@ def json_sql(fields: list[tuple[str, str]], keep_nulls: bool) -> str:
         else:
             parts.append(f"CASE WHEN {name} IS NOT NULL THEN '\"{name}\":' || {val} END")
     return "'{' || concat_ws(',', " + ", ".join(parts) + ") || '}'"
+
+
+def calendar_values_sql() -> str:
+    from releaseflow.schema import RELEASE_CALENDAR_2024
+    rows = ", ".join(
+        f"('{d}', '{n}', {'NULL' if v is None else v})" for d, n, v in RELEASE_CALENDAR_2024)
+    return (f"calendar AS (SELECT CAST(d AS DATE) AS release_date, n AS release_name, "
+            f"CAST(v AS DOUBLE) AS expected_value FROM (VALUES {rows}) t(d, n, v))")
