@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from releaseflow.schema import ALERT_COLUMNS
+from releaseflow.schema import ALERT_COLUMNS, SERVING_COLUMNS
 
 # Timestamps in payloads: ISO-8601 with microseconds and offset (Z under UTC).
 JSON_TS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
@@ -33,10 +33,12 @@ def json_of(cols: list[str], ignore_null_fields: bool = True) -> Column:
                       "ignoreNullFields": str(ignore_null_fields).lower()})
 
 
-def alert_messages(enriched: DataFrame) -> DataFrame:
-    """Anomalies as (key, value) bus messages; null fields are left out of the JSON."""
-    return (enriched.filter(F.col("is_anomaly") == F.lit(True))
-            .select(alert_key().alias("key"), json_of(ALERT_COLUMNS).alias("value")))
+def alert_messages(enriched: DataFrame, with_headers: bool = False) -> DataFrame:
+    """Anomalies as (key, value[, headers]) bus messages; null fields are left out of the JSON."""
+    cols = [alert_key().alias("key"), json_of(ALERT_COLUMNS).alias("value")]
+    if with_headers:
+        cols.append(headers().alias("headers"))
+    return enriched.filter(F.col("is_anomaly") == F.lit(True)).select(*cols)
 
 
 ENRICHED_PAYLOAD_COLUMNS = [
@@ -50,3 +52,11 @@ def enriched_messages(enriched: DataFrame) -> DataFrame:
     """Every enriched event for the enriched topic; nulls kept as JSON null."""
     return enriched.select(raw_key().alias("key"),
                            json_of(ENRICHED_PAYLOAD_COLUMNS, ignore_null_fields=False).alias("value"))
+
+
+def serving_rows(df: DataFrame) -> DataFrame:
+    """The 16-column serving row; release_ts is parsed to a timestamp in Spark
+    (bad text becomes null instead of failing the database write)."""
+    return df.select(*[
+        F.expr("try_to_timestamp(release_ts)").alias("release_ts") if c == "release_ts" else F.col(c)
+        for c in SERVING_COLUMNS])

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from releaseflow.plans.common import enriched, presentable, register, releases
 from releaseflow.plans.oracle import dt, ts, with_base
 from releaseflow.functions import enrich as E
-from releaseflow.schema import SERVING_COLUMNS
+from releaseflow.functions.payload import serving_rows
 
 
 @register("surprise_pct", with_base(
@@ -60,14 +60,6 @@ def q_enrich_full(spark, sf_dir):
     return presentable(enriched(spark, sf_dir).select(*ENRICHED_OUT))
 
 
-def serving_rows(df):
-    """The 16-column serving row; release_ts parsed to a timestamp in Spark
-    (bad text becomes null instead of failing the batch)."""
-    return df.select(*[
-        F.expr("try_to_timestamp(release_ts)").alias("release_ts") if c == "release_ts" else F.col(c)
-        for c in SERVING_COLUMNS])
-
-
 @register("serving_projection", with_base(
     "SELECT event_id, source, release_name, indicator, period, value, prior_value, surprise_pct, "
     "consensus, market_impact, value_direction, is_anomaly, anomaly_reason, revision, "

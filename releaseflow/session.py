@@ -82,3 +82,10 @@ def local_path(path: str) -> str:
         while path.startswith("//"):
             path = path[1:]
     return os.path.abspath(path)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Existence check on the cluster file system (local, HDFS, object stores)."""
+    jvm = spark._jvm  # noqa: SLF001
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)  # noqa: SLF001
