@@ -23,12 +23,18 @@ JSON_OPTIONS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
 
 
 def parse_bus(bus: DataFrame) -> DataFrame:
-    """Bus rows -> kafka_ts, partition, offset, payload, event fields, _corrupt_record."""
+    """Bus rows -> kafka_ts, partition, offset, payload, event fields, _corrupt_record.
+
+    The parsed struct is expanded with a one-element ``inline``: its fields are
+    then generator outputs, so the validity filter cannot be pushed below the
+    parse and re-evaluate ``from_json`` (Catalyst would otherwise inline the
+    parse into the pushed-down filter and decode every payload twice). A null
+    payload still yields one all-null row.
+    """
     payload = F.col("value").cast("string")
-    return (bus.select(F.col("timestamp").alias("kafka_ts"), "partition", "offset",
-                       payload.alias("payload"),
-                       F.from_json(payload, PARSE_SCHEMA, JSON_OPTIONS).alias("event"))
-               .select("kafka_ts", "partition", "offset", "payload", "event.*"))
+    return bus.select(F.col("timestamp").alias("kafka_ts"), "partition", "offset",
+                      payload.alias("payload"),
+                      F.inline(F.array(F.from_json(payload, PARSE_SCHEMA, JSON_OPTIONS))))
 
 
 def is_valid() -> Column:

@@ -78,7 +78,7 @@ def rolling_range_stats(df: DataFrame, keys: Sequence[str], ts_col: str, value_c
                           F.sum("sumsq").over(w_mid).alias("_mid_sumsq"),
                           F.min("min").over(w_mid).alias("_mid_min"),
                           F.max("max").over(w_mid).alias("_mid_max"))
-        rows = rows.join(mid, on=keys + [B], how="left")
+        rows = rows.join(mid.hint("merge"), on=keys + [B], how="left")
     else:
         rows = rows.select("*", *[F.lit(None).cast("double").alias(f"_mid_{s}") for s in STAT_NAMES])
 
@@ -128,7 +128,7 @@ def rolling_rows_stats(df: DataFrame, keys: Sequence[str], ts_col: str, tiebreak
     w_prev = Window.partitionBy(*keys).orderBy(F.col(B)).rowsBetween(-n_rows, -1)
     ctx = tails.select(*keys, B, F.array_sort(F.flatten(F.collect_list("_tail").over(w_prev))).alias("_ctx"))
 
-    out = rows.join(ctx, on=keys + [B], how="left")
+    out = rows.join(ctx.hint("merge"), on=keys + [B], how="left")
     need = F.lit(n_rows) - F.least(F.col("_pos") - 1, F.lit(n_rows))
     ctx_vals = F.coalesce(F.transform(F.col("_ctx"), lambda x: x["v"]), F.array().cast("array<double>"))
     size = F.size(ctx_vals)

@@ -12,8 +12,8 @@ partitioned by (key, time bucket) instead:
    the previous non-empty bucket's last row;
 4. the first row of each bucket takes that tail, the others their in-bucket lag.
 
-Step 4 joins on (key, bucket), the partitioning step 1 already produced, so
-the large side is shuffled exactly once.
+Step 4 joins on (key, bucket), the partitioning and order step 1 already
+produced, so the large side is shuffled and sorted exactly once.
 """
 
 from __future__ import annotations
@@ -55,7 +55,10 @@ def bucketed_lag(df: DataFrame, keys: Sequence[str], ts_col: str, tiebreak: Sequ
     w_b = Window.partitionBy(*keys).orderBy(b)
     prev = tails.select(*keys, b, F.lag("_tail").over(w_b).alias("_prev_tail"))
 
-    out = d.join(prev, on=keys + [b], how="left")
+    # Co-partitioned sort-merge join: the rows are already hashed and sorted by
+    # (keys, bucket) for the window, so only the small per-bucket side moves. No
+    # broadcast: the number of (key, bucket) pairs is not bounded in general.
+    out = d.join(prev.hint("merge"), on=keys + [b], how="left")
     for v, o in zip(value_cols, out_cols):
         out = out.withColumn(
             o, F.when(F.col("_lag_first"), F.col("_prev_tail")[v]).otherwise(F.col(f"_lag_in_{o}")))

@@ -125,13 +125,24 @@ ALERT_COLUMNS = [
 ]
 
 
+def _literal_frame(spark: SparkSession, rows: list[tuple], names: list[str], types: list[str]) -> DataFrame:
+    """A small fixed table built JVM-side (literal array of structs + inline)."""
+    from pyspark.sql import functions as F
+
+    def lit(v, t):
+        return F.lit(None).cast(t) if v is None else F.lit(v).cast(t)
+
+    structs = [F.struct(*[lit(v, t).alias(n) for v, n, t in zip(r, names, types)]) for r in rows]
+    return spark.range(1).select(F.inline(F.array(*structs)))
+
+
 def catalog_df(spark: SparkSession) -> DataFrame:
     """The 13-row release catalog (fixed size: always safe to broadcast)."""
-    return spark.createDataFrame(
-        RELEASE_CATALOG, "release_name string, indicator string, source string, frequency string")
+    return _literal_frame(spark, RELEASE_CATALOG, ["release_name", "indicator", "source", "frequency"],
+                          ["string"] * 4)
 
 
 def calendar_df(spark: SparkSession) -> DataFrame:
     """The 24-row 2024 release calendar."""
-    return spark.createDataFrame(
-        RELEASE_CALENDAR_2024, "release_date string, release_name string, expected_value double")
+    return _literal_frame(spark, RELEASE_CALENDAR_2024, ["release_date", "release_name", "expected_value"],
+                          ["string", "string", "double"])
