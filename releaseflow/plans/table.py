@@ -38,7 +38,7 @@ def release_table(spark: SparkSession, sf_dir: str) -> VersionedTable:
     if k not in _built:
         tag = hashlib.sha1(sf_dir.encode()).hexdigest()[:10]
         t = VersionedTable(spark, scratch_path(spark, f"tables/{tag}/releases_enriched", unique=True))
-        t.write_all(enriched(spark, sf_dir).drop("seq"))
+        t.write_all(enriched(spark, sf_dir).drop("seq"), replace_partitions=False)
         _built[k] = t
     return _built[k]
 

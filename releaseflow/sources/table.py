@@ -75,23 +75,27 @@ class VersionedTable:
         return n
 
     def write_all(self, df: DataFrame, commit_ts_col: str = "processed_ts",
-                  operation: str = "STREAMING UPDATE") -> None:
+                  operation: str = "STREAMING UPDATE", replace_partitions: bool = True) -> None:
         """Backfill many batches in one job (``df`` carries ``batch_id``).
 
-        Dynamic partition overwrite replaces exactly the partitions present; the
-        ``rebalance`` hint lets AQE split hot partitions and merge small ones, so
-        file sizes stay even without a fixed partition count.
+        ``replace_partitions`` uses dynamic partition overwrite (only the
+        partitions present are replaced); for a new table a plain overwrite
+        skips the staging and rename step. The ``rebalance`` hint lets AQE split
+        hot partitions and merge small ones, so file sizes stay even. Commit
+        records are derived from the written files (two columns, one of them a
+        directory name), so the input is computed only once.
         """
+        mode = "dynamic" if replace_partitions else "static"
         (df.hint("rebalance", "batch_id", *SINK_PARTITION_COLUMNS)
            .write.mode("overwrite")
-           .option("partitionOverwriteMode", "dynamic")
+           .option("partitionOverwriteMode", mode)
            .partitionBy("batch_id", *SINK_PARTITION_COLUMNS)
            .parquet(self.data_path))
-        commits = (df.groupBy("batch_id")
+        commits = (self.scan().groupBy("batch_id")
                    .agg(F.max(commit_ts_col).alias("commit_ts"), F.count(F.lit(1)).alias("num_rows"))
-                   .select(F.col("batch_id").cast("long"), "commit_ts",
-                           F.lit(operation).alias("operation"), F.col("num_rows").cast("long")))
-        (commits.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+                   .select("commit_ts", F.lit(operation).alias("operation"),
+                           F.col("num_rows").cast("long"), "batch_id"))
+        (commits.write.mode("overwrite").option("partitionOverwriteMode", mode)
                 .partitionBy("batch_id").parquet(self.commits_path))
 
     # -- reads --------------------------------------------------------------------
