@@ -62,6 +62,7 @@ class VersionedTable:
         obs = Observation(f"write_batch_{batch_id}")
         (df.drop("batch_id")
            .observe(obs, F.count(F.lit(1)).alias("n"))
+           .hint("rebalance", *SINK_PARTITION_COLUMNS)  # write-time compaction: AQE sizes the files
            .write.mode("overwrite")
            .option("partitionOverwriteMode", "static")  # replace the whole batch directory
            .partitionBy(*SINK_PARTITION_COLUMNS)

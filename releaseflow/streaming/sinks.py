@@ -50,8 +50,11 @@ class BusSink:
             return
         if not self.fallback_dir:
             raise ValueError(f"no Kafka connector and no fallback directory for {self.topic}")
-        (messages.select(F.col("key").cast("string"), F.col("value").cast("string"))
-         .write.mode("overwrite").json(f"{self.fallback_dir}/batch_id={batch_id}"))
+        cols = [F.col("key").cast("string"), F.col("value").cast("string")]
+        if "headers" in messages.columns:
+            cols.append(F.transform("headers", lambda h: F.struct(
+                h["key"].alias("key"), h["value"].cast("string").alias("value"))).alias("headers"))
+        messages.select(*cols).write.mode("overwrite").json(f"{self.fallback_dir}/batch_id={batch_id}")
 
 
 def write_alerts(batch: DataFrame, batch_id: int, sink: BusSink) -> None:
