@@ -30,14 +30,19 @@ def hist_context(enriched: DataFrame, window_us: int = YEAR_US, bucket_us: int =
     return st.select("*", _r(mean, 9).alias("hist_mean")).drop("hist_sum", "hist_sumsq")
 
 
-def _zscore(df: DataFrame, prefix: str) -> DataFrame:
+def zscore_columns(df: DataFrame, prefix: str, keep_min_max: bool = False) -> DataFrame:
+    """hist_mean, hist_std, zscore, is_zscore_anomaly from {prefix}n/sum/sumsq."""
     n, s, ss = F.col(f"{prefix}n"), F.col(f"{prefix}sum"), F.col(f"{prefix}sumsq")
     mean, sd = mean_std(n, s, ss)
     z = F.when((n >= 2) & (sd > 0), (F.col("value") - mean) / sd)
+    drop = [f"{prefix}sum", f"{prefix}sumsq"] + ([] if keep_min_max else [f"{prefix}min", f"{prefix}max"])
     return df.select("*", _r(mean, 9).alias("hist_mean"), _r(sd, 6).alias("hist_std"),
                      _r(z, 4).alias("zscore"),
                      F.coalesce(F.abs(z) > ZSCORE_THRESHOLD, F.lit(False)).alias("is_zscore_anomaly")
-                     ).drop(f"{prefix}sum", f"{prefix}sumsq", f"{prefix}min", f"{prefix}max")
+                     ).drop(*drop)
+
+
+_zscore = zscore_columns
 
 
 def rolling_zscore(enriched: DataFrame, window_us: int = YEAR_US, bucket_us: int = DAY_US,

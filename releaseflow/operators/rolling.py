@@ -36,11 +36,35 @@ def _stats(v: Column, w) -> list[Column]:
     return [F.count(v).over(w), F.sum(v).over(w), F.sum(v * v).over(w), F.min(v).over(w), F.max(v).over(w)]
 
 
+def bucket_summaries(df: DataFrame, keys: Sequence[str], ts_col: str, value_col: str,
+                     bucket_us: int = DAY_US) -> DataFrame:
+    """Per (key, bucket): n, sum, sumsq, min, max of the value (mergeable partials)."""
+    v = F.col(value_col).cast("double")
+    return (df.groupBy(*keys, F.floor(F.unix_micros(F.col(ts_col)) / F.lit(bucket_us)).alias("bucket"))
+            .agg(F.count(v).alias("n"), F.sum(v).alias("sum"), F.sum(v * v).alias("sumsq"),
+                 F.min(v).alias("min"), F.max(v).alias("max")))
+
+
+def merge_summaries(parts: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Merge partial summaries of the same (key, bucket)."""
+    return (parts.groupBy(*keys, "bucket")
+            .agg(F.sum("n").alias("n"), F.sum("sum").alias("sum"), F.sum("sumsq").alias("sumsq"),
+                 F.min("min").alias("min"), F.max("max").alias("max")))
+
+
 def rolling_range_stats(df: DataFrame, keys: Sequence[str], ts_col: str, value_col: str,
                         id_cols: Sequence[str], window_us: int, bucket_us: int = DAY_US,
-                        prefix: str = "hist_") -> DataFrame:
+                        prefix: str = "hist_", target_col: str | None = None,
+                        summaries: DataFrame | None = None) -> DataFrame:
     """Add ``{prefix}n, sum, sumsq, min, max`` of ``value_col`` over rows of the same
-    key with ts in [ts - window_us, ts - 1us]. ``id_cols`` must identify a row."""
+    key with ts in [ts - window_us, ts - 1us]. ``id_cols`` must identify a row.
+
+    Incremental use (streaming): ``target_col`` marks the rows to compute (the
+    others are context) and ``summaries`` (key, bucket, n, sum, sumsq, min,
+    max) replaces the per-bucket aggregate of ``df`` for the full buckets, so
+    ``df`` only needs the raw rows of each target's own bucket and of the
+    bucket where its window starts.
+    """
     if window_us % bucket_us:
         raise ValueError("window_us must be a multiple of bucket_us")
     keys, id_cols = list(keys), list(id_cols)
@@ -51,7 +75,8 @@ def rolling_range_stats(df: DataFrame, keys: Sequence[str], ts_col: str, value_c
            .withColumn(V, F.col(value_col).cast("double")))
 
     own = d.withColumn(P, F.lit(False))
-    probes = d.select(*keys, *id_cols, (F.col(T) - F.lit(window_us)).alias(T),
+    targets = d if target_col is None else d.filter(F.col(target_col))
+    probes = targets.select(*keys, *id_cols, (F.col(T) - F.lit(window_us)).alias(T),
                       (F.col(B) - F.lit(m)).alias(B), F.lit(None).cast("double").alias(V),
                       F.lit(True).alias(P))
     u = own.unionByName(probes, allowMissingColumns=True)
@@ -65,12 +90,16 @@ def rolling_range_stats(df: DataFrame, keys: Sequence[str], ts_col: str, value_c
 
     # Windows first, over data and probe rows together; then split the roles.
     both = u.select("*", *pre_cols, *suf_cols)
-    rows = both.filter(~F.col(P)).select(*d.columns, *[f"_pre_{s}" for s in STAT_NAMES])
+    own_rows = ~F.col(P) if target_col is None else (~F.col(P) & F.col(target_col))
+    rows = both.filter(own_rows).select(*d.columns, *[f"_pre_{s}" for s in STAT_NAMES])
     suffix = both.filter(F.col(P)).select(*keys, *id_cols, *[f"_suf_{s}" for s in STAT_NAMES])
 
-    summ = d.groupBy(*keys, B).agg(F.count(v).alias("n"), F.sum(v).alias("sum"),
-                                   F.sum(v * v).alias("sumsq"), F.min(v).alias("min"),
-                                   F.max(v).alias("max"))
+    if summaries is None:
+        summ = d.groupBy(*keys, B).agg(F.count(v).alias("n"), F.sum(v).alias("sum"),
+                                       F.sum(v * v).alias("sumsq"), F.min(v).alias("min"),
+                                       F.max(v).alias("max"))
+    else:
+        summ = summaries.withColumnRenamed("bucket", B)
     if m > 1:
         w_mid = Window.partitionBy(*keys).orderBy(F.col(B)).rangeBetween(-(m - 1), -1)
         mid = summ.select(*keys, B, F.sum("n").over(w_mid).alias("_mid_n"),

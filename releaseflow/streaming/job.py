@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from releaseflow.functions.enrich import enrich
 from releaseflow.functions.parse import dead_letters, parse_bus, type_mismatches, valid_events
+from releaseflow.operators.history import YEAR_US
 from releaseflow.operators.monitor import windowed_counts
 from releaseflow.schema import (
     BUS_SCHEMA,
@@ -33,6 +34,7 @@ from releaseflow.schema import (
     WATERMARK_DELAY,
 )
 from releaseflow.sources.table import VersionedTable
+from releaseflow.streaming.history import StreamingHistory
 from releaseflow.streaming.sinks import BusSink, ServingTarget, write_alerts, write_enriched_topic, write_serving
 
 
@@ -86,6 +88,8 @@ class FanOut:
     serving: ServingTarget | None = None
     alerts: BusSink | None = None
     enriched_topic: BusSink | None = None
+    history: StreamingHistory | None = None
+    history_path: str | None = None
     written: dict = field(default_factory=dict)
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
@@ -102,6 +106,10 @@ class FanOut:
                 write_alerts(batch, batch_id, self.alerts)
             if self.enriched_topic is not None:
                 write_enriched_topic(batch, batch_id, self.enriched_topic)
+            if self.history is not None:
+                ctx = self.history.process(batch, batch_id)
+                ctx.write.mode("overwrite").parquet(f"{self.history_path}/batch_id={batch_id}")
+                self.history.commit(batch, batch_id)
             self.written[batch_id] = n
         finally:
             batch.unpersist()
@@ -116,6 +124,7 @@ class StreamConfig:
     window: str = "1 hour"
     bootstrap_servers: str | None = None
     serving: ServingTarget | None = None
+    history_window_us: int | None = YEAR_US   # None: no rolling context in the stream
 
 
 def start(spark: SparkSession, bus: DataFrame, cfg: StreamConfig) -> dict:
@@ -127,6 +136,9 @@ def start(spark: SparkSession, bus: DataFrame, cfg: StreamConfig) -> dict:
         serving=cfg.serving,
         alerts=BusSink(TOPIC_ANOMALIES, cfg.bootstrap_servers, f"{root}/bus/anomalies"),
         enriched_topic=BusSink(TOPIC_ENRICHED, cfg.bootstrap_servers, f"{root}/bus/enriched"),
+        history=(StreamingHistory(spark, f"{root}/_history_state", cfg.history_window_us)
+                 if cfg.history_window_us else None),
+        history_path=f"{root}/history_context",
     )
     main = (enriched_stream(bus, cfg.watermark).writeStream
             .queryName("releases_main")

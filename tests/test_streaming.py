@@ -99,3 +99,40 @@ def test_late_duplicate_is_dropped_by_watermark(spark, workdir):
     n = VersionedTable(spark, f"{workdir}/t").scan().count()
     expected = valid_events(parse_bus(early.unionByName(late))).dropDuplicates(["event_id"]).count()
     assert n == expected
+
+
+def test_streaming_history_equals_batch_window(spark, workdir):
+    """Rolling context computed batch by batch in the fan-out equals the window over all rows."""
+    from releaseflow.operators.history import hist_context, rolling_zscore
+    from releaseflow.operators.rolling import DAY_US
+    from releaseflow.streaming.history import StreamingHistory
+    from releaseflow.streaming.job import enriched_stream
+
+    bus = bus_rows(releases(spark, SF_SMALL)).drop("seq")
+    edges = ["2024-01-01", "2024-01-06", "2024-01-11", "2024-01-16", "2024-01-21", "2024-01-26", "2024-02-01"]
+    for i in range(6):
+        (bus.filter((F.col("timestamp") >= edges[i]) & (F.col("timestamp") < edges[i + 1]))
+            .coalesce(1).write.parquet(f"{workdir}/landing/f{i}"))
+    W = 7 * DAY_US
+    fan = FanOut(table=VersionedTable(spark, f"{workdir}/t"),
+                 history=StreamingHistory(spark, f"{workdir}/hist_state", W),
+                 history_path=f"{workdir}/hist")
+    src = file_bus(spark, f"{workdir}/landing/*", max_files_per_trigger=1)
+    q = (enriched_stream(src).writeStream.foreachBatch(fan)
+         .option("checkpointLocation", f"{workdir}/ckpt").trigger(availableNow=True).start())
+    assert q.awaitTermination(900) and q.exception() is None
+    assert len(fan.written) == 6
+
+    got = spark.read.parquet(f"{workdir}/hist")
+    valid = enrich(valid_events(parse_bus(bus)).dropDuplicates(["event_id"]))
+    exp_ctx = hist_context(valid, window_us=W)
+    exp_z = rolling_zscore(valid, window_us=W)
+    g = {r.event_id: r for r in got.collect()}
+    e1 = {r.event_id: r for r in exp_ctx.collect()}
+    e2 = {r.event_id: r for r in exp_z.collect()}
+    assert set(g) == set(e1)
+    for k, r in g.items():
+        assert (r.hist_n, r.hist_min, r.hist_max) == (e1[k].hist_n, e1[k].hist_min, e1[k].hist_max), k
+        for c in ("hist_mean", "hist_std", "zscore"):
+            a, b = getattr(r, c), getattr(e2[k], c)
+            assert (a is None and b is None) or abs(a - b) < 1e-6, (k, c, a, b)
