@@ -2,8 +2,9 @@
 
 All of them run as Spark jobs over the whole input; windows keyed by a
 release or indicator name either go through the bucketed operators in
-``rolling``/``sequence`` or run over per-(key, day) aggregates whose size
-is bounded by the number of days, not by the number of events.
+``rolling``/``sequence`` (event rows partitioned by key and hour, so a hot
+key is spread over its hours) or run over per-(key, day) aggregates whose
+size is bounded by the number of days, not by the number of events.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from releaseflow.operators.rolling import DAY_US, mean_std, rolling_range_stats, rolling_rows_stats
+from releaseflow.operators.rolling import DAY_US, HOUR_US, mean_std, rolling_range_stats, rolling_rows_stats
 
 YEAR_US = 365 * DAY_US
 ZSCORE_THRESHOLD = 2.0
@@ -22,7 +23,7 @@ def _r(c: Column, d: int) -> Column:
     return F.round(c, d) + F.lit(0.0)
 
 
-def hist_context(enriched: DataFrame, window_us: int = YEAR_US, bucket_us: int = DAY_US,
+def hist_context(enriched: DataFrame, window_us: int = YEAR_US, bucket_us: int = HOUR_US,
                  key: str = "indicator", id_cols: tuple[str, ...] = ("event_id",)) -> DataFrame:
     """Value against the same indicator's history in (ts - window, ts]: count, mean, min, max."""
     st = rolling_range_stats(enriched, [key], "kafka_ts", "value", list(id_cols), window_us, bucket_us)
@@ -45,7 +46,7 @@ def zscore_columns(df: DataFrame, prefix: str, keep_min_max: bool = False) -> Da
 _zscore = zscore_columns
 
 
-def rolling_zscore(enriched: DataFrame, window_us: int = YEAR_US, bucket_us: int = DAY_US,
+def rolling_zscore(enriched: DataFrame, window_us: int = YEAR_US, bucket_us: int = HOUR_US,
                    key: str = "indicator", id_cols: tuple[str, ...] = ("event_id",)) -> DataFrame:
     """z-score of value against the indicator's values in the preceding window
     (needs >= 2 prior values and a non-zero spread; current row excluded)."""
@@ -53,7 +54,7 @@ def rolling_zscore(enriched: DataFrame, window_us: int = YEAR_US, bucket_us: int
     return _zscore(st, "hist_")
 
 
-def rolling_zscore_obs(enriched: DataFrame, n_obs: int = 12, bucket_us: int = DAY_US,
+def rolling_zscore_obs(enriched: DataFrame, n_obs: int = 12, bucket_us: int = HOUR_US,
                        key: str = "indicator", tiebreak: tuple[str, ...] = ("event_id",)) -> DataFrame:
     """z-score against the previous ``n_obs`` observations of the indicator."""
     st = rolling_rows_stats(enriched, [key], "kafka_ts", list(tiebreak), "value", n_obs, bucket_us,

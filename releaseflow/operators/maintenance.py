@@ -27,8 +27,11 @@ def compact(table: VersionedTable, target_root: str,
     spark = table.spark
     df = table.scan()
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    clustered = (df.repartitionByRange(n, *[F.col(c) for c in cluster_by])
-                   .sortWithinPartitions(*cluster_by, "processed_ts", "event_id"))
+    # processed_ts and event_id extend the range key so one hot release is split
+    # across many range partitions instead of landing in one task.
+    order = [*cluster_by, "processed_ts", "event_id"]
+    clustered = (df.repartitionByRange(n, *[F.col(c) for c in order])
+                   .sortWithinPartitions(*order))
     target = VersionedTable(spark, target_root)
     (clustered.write.mode("overwrite")
         .option("partitionOverwriteMode", "static")

@@ -27,7 +27,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-DAY_US = 86_400_000_000
+HOUR_US = 3_600_000_000
+DAY_US = 24 * HOUR_US
 
 STAT_NAMES = ("n", "sum", "sumsq", "min", "max")
 
@@ -53,7 +54,7 @@ def merge_summaries(parts: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def rolling_range_stats(df: DataFrame, keys: Sequence[str], ts_col: str, value_col: str,
-                        id_cols: Sequence[str], window_us: int, bucket_us: int = DAY_US,
+                        id_cols: Sequence[str], window_us: int, bucket_us: int = HOUR_US,
                         prefix: str = "hist_", target_col: str | None = None,
                         summaries: DataFrame | None = None) -> DataFrame:
     """Add ``{prefix}n, sum, sumsq, min, max`` of ``value_col`` over rows of the same
@@ -129,7 +130,7 @@ def rolling_range_stats(df: DataFrame, keys: Sequence[str], ts_col: str, value_c
 
 
 def rolling_rows_stats(df: DataFrame, keys: Sequence[str], ts_col: str, tiebreak: Sequence[str],
-                       value_col: str, n_rows: int, bucket_us: int = DAY_US,
+                       value_col: str, n_rows: int, bucket_us: int = HOUR_US,
                        prefix: str = "obs_") -> DataFrame:
     """Add ``{prefix}n, sum, sumsq`` of ``value_col`` over the ``n_rows`` rows of the
     same key that precede each row in (ts, tiebreak) order."""
