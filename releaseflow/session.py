@@ -89,3 +89,19 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     jvm = spark._jvm  # noqa: SLF001
     p = jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)  # noqa: SLF001
+
+
+def partition_values(spark: SparkSession, root: str, column: str) -> set[str]:
+    """Values of ``column=value`` sub-folders directly under ``root`` (one listing call)."""
+    jvm = spark._jvm  # noqa: SLF001
+    p = jvm.org.apache.hadoop.fs.Path(root)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())  # noqa: SLF001
+    if not fs.exists(p):
+        return set()
+    prefix = f"{column}="
+    out = set()
+    for st in fs.listStatus(p):
+        name = st.getPath().getName()
+        if st.isDirectory() and name.startswith(prefix):
+            out.add(name[len(prefix):])
+    return out

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from releaseflow.operators.history import YEAR_US, zscore_columns
 from releaseflow.operators.rolling import DAY_US, bucket_summaries, merge_summaries, rolling_range_stats
-from releaseflow.session import path_exists
+from releaseflow.session import partition_values
 
 @dataclass
 class StreamingHistory:
@@ -61,26 +61,31 @@ class StreamingHistory:
         return df.select(self.key, "kafka_ts", F.col("value").cast("double").alias("value"), self.id_col,
                          F.floor(F.unix_micros("kafka_ts") / F.lit(self.bucket_us)).alias("bucket"))
 
-    def _rows(self, buckets: list[int], before_batch: int) -> DataFrame | None:
-        paths = [self._rows_path(b) for b in buckets if path_exists(self.spark, self._rows_path(b))]
+    def _existing(self, kind: str) -> set[int]:
+        return {int(v) for v in partition_values(self.spark, f"{self.root}/{kind}", "bucket")}
+
+    def _rows(self, buckets: list[int], before_batch: int, have: set[int]) -> DataFrame | None:
+        paths = [self._rows_path(b) for b in buckets if b in have]
         if not paths:
             return None
         df = (self.spark.read.option("basePath", f"{self.root}/rows").parquet(*paths)
               .filter(F.col("batch_id") < F.lit(before_batch)))
         return df.select(self.key, "kafka_ts", "value", self.id_col, F.col("bucket").cast("long"))
 
-    def _ensure_daily(self, buckets: list[int], before_batch: int) -> None:
+    def _ensure_daily(self, buckets: list[int], before_batch: int, have_rows: set[int],
+                      have_daily: set[int]) -> set[int]:
         """Summarise, in one job, every closed bucket that has rows but no summary yet."""
-        missing = [b for b in buckets if not path_exists(self.spark, self._daily_path(b))]
-        rows = self._rows(missing, before_batch) if missing else None
+        missing = [b for b in buckets if b not in have_daily and b in have_rows]
+        rows = self._rows(missing, before_batch, have_rows) if missing else None
         if rows is None:
-            return
+            return have_daily
         (bucket_summaries(rows, [self.key], "kafka_ts", "value", self.bucket_us)
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("bucket").parquet(f"{self.root}/daily"))
+        return have_daily | set(missing)
 
-    def _daily(self, buckets: list[int]) -> DataFrame | None:
-        paths = [self._daily_path(b) for b in buckets if path_exists(self.spark, self._daily_path(b))]
+    def _daily(self, buckets: list[int], have: set[int]) -> DataFrame | None:
+        paths = [self._daily_path(b) for b in buckets if b in have]
         if not paths:
             return None
         return (self.spark.read.option("basePath", f"{self.root}/daily").parquet(*paths)
@@ -102,9 +107,10 @@ class StreamingHistory:
         open_buckets = list(range(lo - 1, hi + 1))
         start_buckets = [b - m for b in range(lo, hi + 1)]
         closed = list(range(lo - m + 1, lo - 1))
-        self._ensure_daily(closed, batch_id)
+        have_rows, have_daily = self._existing("rows"), self._existing("daily")
+        have_daily = self._ensure_daily(closed, batch_id, have_rows, have_daily)
 
-        ctx = self._rows(sorted(set(open_buckets + start_buckets)), batch_id)
+        ctx = self._rows(sorted(set(open_buckets + start_buckets)), batch_id, have_rows)
         data = slim.withColumn("_target", F.lit(True))
         if ctx is not None:
             data = data.unionByName(ctx.withColumn("_target", F.lit(False)))
@@ -112,7 +118,7 @@ class StreamingHistory:
         open_rows = slim if ctx is None else slim.unionByName(
             ctx.filter(F.col("bucket").between(lo - 1, hi)))
         parts = bucket_summaries(open_rows, [self.key], "kafka_ts", "value", self.bucket_us)
-        daily = self._daily(closed)
+        daily = self._daily(closed, have_daily)
         if daily is not None:
             parts = parts.unionByName(daily)
         summaries = merge_summaries(parts, [self.key])
