@@ -153,7 +153,7 @@ def start(spark: SparkSession, bus: DataFrame, cfg: StreamConfig) -> dict:
            .option("checkpointLocation", f"{cfg.checkpoint_root}/releases_dlq")
            .trigger(**cfg.trigger)
            .start())
-    counts = (windowed_counts(enriched_stream(bus, cfg.watermark, dedup=False), cfg.window)
+    counts = (windowed_counts(enriched_stream(bus, cfg.watermark), cfg.window)
               .writeStream.queryName("releases_windows")
               .format("parquet").outputMode("append")
               .option("path", f"{root}/windowed_counts")
