@@ -28,6 +28,7 @@ from releaseflow.schema import (
     BUS_SCHEMA,
     MAX_OFFSETS_PER_TRIGGER,
     TOPIC_ANOMALIES,
+    TOPIC_DLQ,
     TOPIC_ENRICHED,
     TOPIC_RAW,
     TRIGGER_INTERVAL,
@@ -35,7 +36,14 @@ from releaseflow.schema import (
 )
 from releaseflow.sources.table import VersionedTable
 from releaseflow.streaming.history import StreamingHistory
-from releaseflow.streaming.sinks import BusSink, ServingTarget, write_alerts, write_enriched_topic, write_serving
+from releaseflow.streaming.sinks import (
+    BusSink,
+    DeadLetterSink,
+    ServingTarget,
+    write_alerts,
+    write_enriched_topic,
+    write_serving,
+)
 
 
 # -- sources ------------------------------------------------------------------------------
@@ -148,10 +156,9 @@ def start(spark: SparkSession, bus: DataFrame, cfg: StreamConfig) -> dict:
             .start())
     dlq = (dead_letter_stream(bus).writeStream
            .queryName("releases_dlq")
-           .format("parquet").outputMode("append")
-           .option("path", f"{root}/dlq")
            .option("checkpointLocation", f"{cfg.checkpoint_root}/releases_dlq")
            .trigger(**cfg.trigger)
+           .foreachBatch(DeadLetterSink(f"{root}/dlq", BusSink(TOPIC_DLQ, cfg.bootstrap_servers)))
            .start())
     counts = (windowed_counts(enriched_stream(bus, cfg.watermark), cfg.window)
               .writeStream.queryName("releases_windows")

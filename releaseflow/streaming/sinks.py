@@ -87,6 +87,11 @@ class JdbcServingTarget(ServingTarget):
     table: str = "streaming.releases_enriched"
     properties: dict = field(default_factory=dict)
 
+    def __post_init__(self):
+        # Let PostgreSQL cast string parameters into its UUID / TIMESTAMPTZ columns.
+        if self.url.startswith("jdbc:postgresql:"):
+            self.properties.setdefault("stringtype", "unspecified")
+
     def existing_keys(self, spark, since_days):
         q = (f"(SELECT CAST(event_id AS VARCHAR(64)) AS event_id FROM {self.table} "
              f"WHERE processed_ts >= CURRENT_TIMESTAMP - INTERVAL '{int(since_days)} days') k")
@@ -120,3 +125,28 @@ def write_serving(batch: DataFrame, target: ServingTarget, key_window_days: int
     fresh = rows.join(known, on="event_id", how="left_anti")
     target.append(fresh)
     return fresh
+
+
+def dead_letter_messages(dlq: DataFrame) -> DataFrame:
+    """DLQ records for the bus: key = reason, value = JSON of the record and its raw payload."""
+    from releaseflow.functions.payload import json_of
+    return dlq.select(F.col("dlq_reason").alias("key"),
+                      json_of(["kafka_ts", "partition", "offset", "event_id", "dlq_reason",
+                               "missing_fields", "payload"]).alias("value"))
+
+
+@dataclass
+class DeadLetterSink:
+    """Per micro-batch: a Parquet folder (overwritten on replay) and, with Kafka, the DLQ topic."""
+
+    path: str
+    bus: BusSink | None = None
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()
+        try:
+            batch.write.mode("overwrite").parquet(f"{self.path}/batch_id={batch_id}")
+            if self.bus is not None and self.bus.bootstrap_servers:
+                self.bus.write(dead_letter_messages(batch), batch_id)
+        finally:
+            batch.unpersist()

@@ -57,3 +57,14 @@ def test_type_mismatch_rows_stay_in_main_path(spark):
     assert out["4"].surprise_pct is None and out["4"].is_anomaly is False
     assert out["3"].anomaly_reason == "Large surprise: NaN%"
     assert out[""].anomaly_reason == "Missing value"
+
+
+def test_dead_letter_bus_messages(spark):
+    import json
+
+    from releaseflow.streaming.sinks import JdbcServingTarget, dead_letter_messages
+    msgs = {r.key: json.loads(r.value) for r in dead_letter_messages(dead_letters(parse_bus(_bus(spark)))).collect()}
+    assert set(msgs) == {"malformed_json", "missing_field", "null_payload"}
+    assert msgs["null_payload"]["dlq_reason"] == "null_payload" and "payload" not in msgs["null_payload"]
+    t = JdbcServingTarget("jdbc:postgresql://db:5432/econ")
+    assert t.properties["stringtype"] == "unspecified"
