@@ -69,6 +69,16 @@ def main(argv: list[str] | None = None) -> None:
                            trigger={"availableNow": True} if a.available_now else
                            {"processingTime": "30 seconds"})
         qs = start(spark, bus, cfg)
+
+        def _stop(signum, frame):  # graceful shutdown: finish the running micro-batch, then stop
+            for k in ("main", "dlq", "windows"):
+                qs[k].stop()
+
+        import signal
+        try:
+            signal.signal(signal.SIGTERM, _stop)
+        except ValueError:  # not the main thread (embedded use): the caller owns shutdown
+            pass
         if a.available_now:
             for k in ("main", "dlq", "windows"):
                 qs[k].awaitTermination()

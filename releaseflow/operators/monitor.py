@@ -62,3 +62,16 @@ def progress_lag(spark: SparkSession, progress: dict | str | None) -> DataFrame:
                     rows.append((topic, int(part), int(off), int(done), int(off) - int(done)))
     return spark.createDataFrame(
         rows, "topic string, partition int, latest_offset long, end_offset long, lag long")
+
+
+def watermark_drops(spark: SparkSession, progresses: list) -> DataFrame:
+    """Rows dropped by the watermark per micro-batch and stateful operator, from a
+    query's ``recentProgress`` (late records are counted, not silently lost)."""
+    rows = []
+    for p in progresses or []:
+        p = json.loads(p) if isinstance(p, str) else p
+        for op in p.get("stateOperators", []) or []:
+            rows.append((int(p.get("batchId", -1)), op.get("operatorName"),
+                         int(op.get("numRowsDroppedByWatermark", 0)), int(op.get("numRowsTotal", 0))))
+    return spark.createDataFrame(
+        rows, "batch_id long, operator string, rows_dropped_by_watermark long, state_rows long")

@@ -96,6 +96,9 @@ def test_late_duplicate_is_dropped_by_watermark(spark, workdir):
     assert q.awaitTermination(600)
     dropped = sum(s["numRowsDroppedByWatermark"] for p in q.recentProgress for s in p["stateOperators"])
     assert dropped >= 1
+    from releaseflow.operators.monitor import watermark_drops
+    report = watermark_drops(spark, q.recentProgress)
+    assert report.agg(F.sum("rows_dropped_by_watermark")).first()[0] == dropped
     n = VersionedTable(spark, f"{workdir}/t").scan().count()
     expected = valid_events(parse_bus(early.unionByName(late))).dropDuplicates(["event_id"]).count()
     assert n == expected
