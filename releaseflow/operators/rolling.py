@@ -148,33 +148,45 @@ def rolling_rows_stats(df: DataFrame, keys: Sequence[str], ts_col: str, tiebreak
                     F.count(v).over(w_frame).alias("_in_n"), F.sum(v).over(w_frame).alias("_in_sum"),
                     F.sum(v * v).over(w_frame).alias("_in_sumsq"))
 
-    # Last n_rows rows of every bucket, then of the n_rows preceding buckets.
+    # Last n_rows rows of every bucket (sorted once per bucket), then the last n_rows
+    # rows before each bucket: the sorted tails of up to n_rows preceding non-empty
+    # buckets, flattened in bucket order (so already in time order) and trimmed.
     w_last = Window.partitionBy(*keys, B).orderBy(*[o.desc() for o in order])
     item = F.struct(F.col(T).alias("t"), *[F.col(c).alias(f"k{i}") for i, c in enumerate(tiebreak)],
                     v.alias("v"))
     tails = (d.select(*keys, B, item.alias("_item"), F.row_number().over(w_last).alias("_rd"))
               .filter(F.col("_rd") <= n_rows)
-              .groupBy(*keys, B).agg(F.collect_list("_item").alias("_tail")))
+              .groupBy(*keys, B).agg(F.array_sort(F.collect_list("_item")).alias("_tail")))
     w_prev = Window.partitionBy(*keys).orderBy(F.col(B)).rowsBetween(-n_rows, -1)
-    ctx = tails.select(*keys, B, F.array_sort(F.flatten(F.collect_list("_tail").over(w_prev))).alias("_ctx"))
+    prev = F.transform(F.flatten(F.collect_list("_tail").over(w_prev)), lambda x: x["v"])
+    k = F.size(F.col("_prev_vals"))
+    last = F.slice(F.col("_prev_vals"), F.greatest(k - n_rows + 1, F.lit(1)), F.lit(n_rows))
+    acc0 = F.struct(F.lit(0).cast("long").alias("n"), F.lit(0.0).alias("s"), F.lit(0.0).alias("ss"))
+
+    def fold(arr):
+        return F.aggregate(arr, acc0, lambda acc, x: F.when(x.isNull(), acc).otherwise(
+            F.struct((acc["n"] + 1).alias("n"), (acc["s"] + x).alias("s"), (acc["ss"] + x * x).alias("ss"))))
+
+    # suffix[j] = stats of the last j context values, j = 0..n_rows (computed per bucket, not per row)
+    kk = F.size(F.col("_ctx"))
+    suffix = F.transform(F.sequence(F.lit(0), F.lit(n_rows)), lambda j: fold(
+        F.slice(F.col("_ctx"), F.greatest(kk - j + 1, F.lit(1)), F.least(j, kk))))
+    ctx = (tails.select(*keys, B, F.coalesce(prev, F.array().cast("array<double>")).alias("_prev_vals"))
+                .select(*keys, B, last.alias("_ctx"))
+                .select(*keys, B, suffix.alias("_suffix")))
 
     out = rows.join(ctx.hint("merge"), on=keys + [B], how="left")
     need = F.lit(n_rows) - F.least(F.col("_pos") - 1, F.lit(n_rows))
-    ctx_vals = F.coalesce(F.transform(F.col("_ctx"), lambda x: x["v"]), F.array().cast("array<double>"))
-    size = F.size(ctx_vals)
-    taken = F.when(need > 0, F.slice(ctx_vals, F.greatest(size - need + 1, F.lit(1)),
-                                     F.least(need, size)))
-    acc0 = F.struct(F.lit(0).cast("long").alias("n"), F.lit(0.0).alias("s"), F.lit(0.0).alias("ss"))
-    folded = F.aggregate(
-        F.coalesce(taken, F.array().cast("array<double>")), acc0,
-        lambda acc, x: F.when(x.isNull(), acc).otherwise(
-            F.struct((acc["n"] + 1).alias("n"), (acc["s"] + x).alias("s"), (acc["ss"] + x * x).alias("ss"))))
-    n = (F.col("_in_n") + folded["n"]).cast("long")
+    part = F.element_at(F.col("_suffix"), (need + 1).cast("int"))
+    ctx_n = F.coalesce(part["n"], F.lit(0).cast("long"))
+    n = (F.col("_in_n") + ctx_n).cast("long")
     return out.select(
         *df.columns,
         n.alias(f"{prefix}n"),
-        F.when(n > 0, F.coalesce(F.col("_in_sum"), F.lit(0.0)) + folded["s"]).alias(f"{prefix}sum"),
-        F.when(n > 0, F.coalesce(F.col("_in_sumsq"), F.lit(0.0)) + folded["ss"]).alias(f"{prefix}sumsq"))
+        F.when(n > 0, F.coalesce(F.col("_in_sum"), F.lit(0.0)) + F.coalesce(part["s"], F.lit(0.0)))
+         .alias(f"{prefix}sum"),
+        F.when(n > 0, F.coalesce(F.col("_in_sumsq"), F.lit(0.0)) + F.coalesce(part["ss"], F.lit(0.0)))
+         .alias(f"{prefix}sumsq"))
 
 
 def mean_std(n: Column, s: Column, ss: Column) -> tuple[Column, Column]:
