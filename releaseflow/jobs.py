@@ -71,8 +71,8 @@ def main(argv: list[str] | None = None) -> None:
         qs = start(spark, bus, cfg)
 
         def _stop(signum, frame):  # graceful shutdown: finish the running micro-batch, then stop
-            for k in ("main", "dlq", "windows"):
-                qs[k].stop()
+            for q in qs["queries"]:
+                q.stop()
 
         import signal
         try:
@@ -80,8 +80,8 @@ def main(argv: list[str] | None = None) -> None:
         except ValueError:  # not the main thread (embedded use): the caller owns shutdown
             pass
         if a.available_now:
-            for k in ("main", "dlq", "windows"):
-                qs[k].awaitTermination()
+            for q in qs["queries"]:
+                q.awaitTermination()
         else:
             spark.streams.awaitAnyTermination()
         return

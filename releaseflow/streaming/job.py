@@ -7,21 +7,25 @@ Differences from a one-query-per-sink layout, on purpose:
   the source is read once, every sink sees the same rows and the same
   ``processed_ts`` (the micro-batch clock), and each write is idempotent per
   batch id, so a replay after a failure does not duplicate;
-* valid and malformed records are split *before* de-duplication (de-duplicating
-  on a null event_id would merge all malformed rows into one), and the
-  dead-letter output and the windowed counts run as their own queries with their
-  own checkpoints.
+* valid and malformed records go through one de-duplication with different keys
+  (event_id for valid records, the bus position for the others, so malformed
+  records never merge) and are split inside the fan-out; the dead-letter output
+  and per-batch windowed counts are written there too, so the bus is read by a
+  single query. Windowed counts are partial counts per micro-batch, summed when
+  read (``operators.monitor.windowed_counts_from_partials``); an append-mode
+  stateful window query is optional.
 """
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from releaseflow.functions.enrich import enrich
-from releaseflow.functions.parse import dead_letters, parse_bus, type_mismatches, valid_events
+from releaseflow.functions.parse import CORRUPT, dead_letters, is_valid, parse_bus, type_mismatches, valid_events
 from releaseflow.operators.history import YEAR_US
 from releaseflow.operators.monitor import windowed_counts
 from releaseflow.schema import (
@@ -72,6 +76,8 @@ def file_bus(spark: SparkSession, path: str, max_files_per_trigger: int | None =
 
 # -- transforms -------------------------------------------------------------------------------
 
+DEDUP_KEY = "_dedup_key"
+
 def enriched_stream(bus: DataFrame, watermark: str = WATERMARK_DELAY, dedup: bool = True) -> DataFrame:
     """Valid, de-duplicated (within the watermark), enriched events."""
     valid = valid_events(parse_bus(bus)).withWatermark("kafka_ts", watermark)
@@ -80,6 +86,23 @@ def enriched_stream(bus: DataFrame, watermark: str = WATERMARK_DELAY, dedup: boo
     return enrich(valid)
 
 
+def routed_stream(bus: DataFrame, watermark: str = WATERMARK_DELAY) -> DataFrame:
+    """Every bus record, parsed, de-duplicated within the watermark and enriched.
+
+    Valid records de-duplicate on event_id, all others on their bus position
+    (partition, offset), so malformed records never merge with each other while
+    a re-read of the same record is still dropped. The fan-out splits the two
+    kinds per micro-batch, so the bus is read by one query only.
+    """
+    parsed = parse_bus(bus)
+    key = (F.when(is_valid(), F.concat(F.lit("e:"), F.col("event_id")))
+           .otherwise(F.concat_ws(":", F.lit("p"), F.col("partition").cast("string"),
+                                  F.col("offset").cast("string"))))
+    return enrich(parsed.withColumn(DEDUP_KEY, key)
+                  .withWatermark("kafka_ts", watermark)
+                  .dropDuplicatesWithinWatermark([DEDUP_KEY]))
+
+
 def dead_letter_stream(bus: DataFrame) -> DataFrame:
     parsed = parse_bus(bus)
     return dead_letters(parsed).unionByName(type_mismatches(parsed))
@@ -98,6 +121,10 @@ class FanOut:
     enriched_topic: BusSink | None = None
     history: StreamingHistory | None = None
     history_path: str | None = None
+    dead_letters: DeadLetterSink | None = None
+    window_partials: str | None = None
+    window: str = "1 hour"
+    parallel_sinks: int = 4
     written: dict = field(default_factory=dict)
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
@@ -105,20 +132,40 @@ class FanOut:
         try:
             if batch.isEmpty():
                 return
-            n = self.table.write_batch(batch, batch_id)
+            tasks = []
+            if "payload" in batch.columns:  # routed stream: split valid rows and dead letters
+                if self.dead_letters is not None:
+                    dlq = dead_letters(batch).unionByName(type_mismatches(batch))
+                    tasks.append(lambda: self.dead_letters.write(dlq, batch_id))
+                batch_valid = batch.filter(is_valid()).drop("payload", CORRUPT, DEDUP_KEY)
+            else:
+                batch_valid = batch
+            b = batch_valid
+            tasks.append(lambda: self.written.__setitem__(batch_id, self.table.write_batch(b, batch_id)))
             if self.anomalies is not None:
-                self.anomalies.write_batch(batch.filter(F.col("is_anomaly") == F.lit(True)), batch_id)
+                tasks.append(lambda: self.anomalies.write_batch(
+                    b.filter(F.col("is_anomaly") == F.lit(True)), batch_id))
             if self.serving is not None:
-                write_serving(batch, self.serving)
+                tasks.append(lambda: write_serving(b, self.serving))
             if self.alerts is not None:
-                write_alerts(batch, batch_id, self.alerts)
+                tasks.append(lambda: write_alerts(b, batch_id, self.alerts))
             if self.enriched_topic is not None:
-                write_enriched_topic(batch, batch_id, self.enriched_topic)
+                tasks.append(lambda: write_enriched_topic(b, batch_id, self.enriched_topic))
+            if self.window_partials is not None:
+                tasks.append(lambda: windowed_counts(b, self.window).write.mode("overwrite")
+                             .parquet(f"{self.window_partials}/batch_id={batch_id}"))
             if self.history is not None:
-                ctx = self.history.process(batch, batch_id)
-                ctx.write.mode("overwrite").parquet(f"{self.history_path}/batch_id={batch_id}")
-                self.history.commit(batch, batch_id)
-            self.written[batch_id] = n
+                def history():
+                    ctx = self.history.process(b, batch_id)
+                    ctx.write.mode("overwrite").parquet(f"{self.history_path}/batch_id={batch_id}")
+                    self.history.commit(b, batch_id)
+                tasks.append(history)
+            # The sinks are independent and idempotent: run their jobs concurrently over the
+            # persisted batch. Any failure fails the batch, which then replays as a whole.
+            self.written.pop(batch_id, None)
+            with ThreadPoolExecutor(max_workers=max(1, self.parallel_sinks)) as pool:
+                for f in [pool.submit(t) for t in tasks]:
+                    f.result()
         finally:
             batch.unpersist()
 
@@ -133,10 +180,14 @@ class StreamConfig:
     bootstrap_servers: str | None = None
     serving: ServingTarget | None = None
     history_window_us: int | None = YEAR_US   # None: no rolling context in the stream
+    window_query: bool = False   # also run append-mode windowed counts as a stateful query
 
 
 def start(spark: SparkSession, bus: DataFrame, cfg: StreamConfig) -> dict:
-    """Start the main fan-out, the dead-letter query and the windowed counts."""
+    """Start the fan-out query (one read of the bus); optionally the stateful window query.
+
+    Returns ``{"main", "queries", "fanout"}``.
+    """
     root = cfg.root.rstrip("/")
     fan = FanOut(
         table=VersionedTable(spark, f"{root}/releases_enriched"),
@@ -147,24 +198,24 @@ def start(spark: SparkSession, bus: DataFrame, cfg: StreamConfig) -> dict:
         history=(StreamingHistory(spark, f"{root}/_history_state", cfg.history_window_us)
                  if cfg.history_window_us else None),
         history_path=f"{root}/history_context",
+        dead_letters=DeadLetterSink(f"{root}/dlq", BusSink(TOPIC_DLQ, cfg.bootstrap_servers)),
+        window_partials=f"{root}/window_partials",
+        window=cfg.window,
     )
-    main = (enriched_stream(bus, cfg.watermark).writeStream
+    main = (routed_stream(bus, cfg.watermark).writeStream
             .queryName("releases_main")
             .option("checkpointLocation", f"{cfg.checkpoint_root}/releases_main")
             .trigger(**cfg.trigger)
             .foreachBatch(fan)
             .start())
-    dlq = (dead_letter_stream(bus).writeStream
-           .queryName("releases_dlq")
-           .option("checkpointLocation", f"{cfg.checkpoint_root}/releases_dlq")
-           .trigger(**cfg.trigger)
-           .foreachBatch(DeadLetterSink(f"{root}/dlq", BusSink(TOPIC_DLQ, cfg.bootstrap_servers)))
-           .start())
-    counts = (windowed_counts(enriched_stream(bus, cfg.watermark), cfg.window)
-              .writeStream.queryName("releases_windows")
-              .format("parquet").outputMode("append")
-              .option("path", f"{root}/windowed_counts")
-              .option("checkpointLocation", f"{cfg.checkpoint_root}/releases_windows")
-              .trigger(**cfg.trigger)
-              .start())
-    return {"main": main, "dlq": dlq, "windows": counts, "fanout": fan}
+    queries = [main]
+    if cfg.window_query:
+        queries.append(
+            windowed_counts(enriched_stream(bus, cfg.watermark), cfg.window)
+            .writeStream.queryName("releases_windows")
+            .format("parquet").outputMode("append")
+            .option("path", f"{root}/windowed_counts")
+            .option("checkpointLocation", f"{cfg.checkpoint_root}/releases_windows")
+            .trigger(**cfg.trigger)
+            .start())
+    return {"main": main, "queries": queries, "fanout": fan}

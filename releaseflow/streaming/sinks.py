@@ -147,11 +147,14 @@ class DeadLetterSink:
     path: str
     bus: BusSink | None = None
 
+    def write(self, dlq: DataFrame, batch_id: int) -> None:
+        dlq.write.mode("overwrite").parquet(f"{self.path}/batch_id={batch_id}")
+        if self.bus is not None and self.bus.bootstrap_servers:
+            self.bus.write(dead_letter_messages(dlq), batch_id)
+
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
         try:
-            batch.write.mode("overwrite").parquet(f"{self.path}/batch_id={batch_id}")
-            if self.bus is not None and self.bus.bootstrap_servers:
-                self.bus.write(dead_letter_messages(batch), batch_id)
+            self.write(batch, batch_id)
         finally:
             batch.unpersist()
