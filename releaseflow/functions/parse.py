@@ -16,8 +16,6 @@ from releaseflow.schema import EVENT_FIELDS, EVENT_SCHEMA
 CORRUPT = "_corrupt_record"
 PARSE_SCHEMA = T.StructType(EVENT_SCHEMA.fields + [T.StructField(CORRUPT, T.StringType(), True)])
 REQUIRED = ["event_id", "source", "indicator"]
-# Declared not-null in the serving table but not checked by the stream filter.
-SOFT_REQUIRED = ["release_name", "period"]
 
 JSON_OPTIONS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
 

@@ -43,15 +43,13 @@ def zscore_columns(df: DataFrame, prefix: str, keep_min_max: bool = False) -> Da
                      ).drop(*drop)
 
 
-_zscore = zscore_columns
-
 
 def rolling_zscore(enriched: DataFrame, window_us: int = YEAR_US, bucket_us: int = HOUR_US,
                    key: str = "indicator", id_cols: tuple[str, ...] = ("event_id",)) -> DataFrame:
     """z-score of value against the indicator's values in the preceding window
     (needs >= 2 prior values and a non-zero spread; current row excluded)."""
     st = rolling_range_stats(enriched, [key], "kafka_ts", "value", list(id_cols), window_us, bucket_us)
-    return _zscore(st, "hist_")
+    return zscore_columns(st, "hist_")
 
 
 def rolling_zscore_obs(enriched: DataFrame, n_obs: int = 12, bucket_us: int = HOUR_US,
@@ -59,7 +57,7 @@ def rolling_zscore_obs(enriched: DataFrame, n_obs: int = 12, bucket_us: int = HO
     """z-score against the previous ``n_obs`` observations of the indicator."""
     st = rolling_rows_stats(enriched, [key], "kafka_ts", list(tiebreak), "value", n_obs, bucket_us,
                             prefix="hist_")
-    return _zscore(st, "hist_")
+    return zscore_columns(st, "hist_")
 
 
 def first_observations(releases: DataFrame) -> DataFrame:

@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from releaseflow.schema import RELEASE_CATALOG
-
 # Width limits of the serving table's text columns.
 COLUMN_WIDTHS = {"source": 20, "release_name": 60, "indicator": 60, "period": 20}
 REQUIRED_COLUMNS = ["event_id", "source", "release_name", "indicator", "period"]
@@ -57,6 +55,3 @@ def constraint_check(df: DataFrame) -> DataFrame:
         F.sum(_flag(has_id & (F.col("c") > 1))).cast("long").alias("n_duplicate_ids"),
         F.sum(F.when(has_id, F.col("c") - 1).otherwise(F.lit(0))).cast("long").alias("n_duplicate_rows"))
 
-
-def catalog_names() -> list[str]:
-    return [r[0] for r in RELEASE_CATALOG]

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
 
 from releaseflow.operators import history as H
 from releaseflow.operators.rolling import DAY_US

@@ -106,10 +106,6 @@ def release_events(events: DataFrame, lag_bucket_seconds: int = DEFAULT_BUCKET_S
     )
 
 
-def release_events_from(spark: SparkSession, sf_dir: str, **kw) -> DataFrame:
-    return release_events(read_table(spark, sf_dir, "events"), **kw)
-
-
 def bus_rows(releases: DataFrame, topic: str = TOPIC_RAW) -> DataFrame:
     """Kafka-shaped rows (key, value, topic, partition, offset, timestamp) with faults."""
     seq = F.col("seq")

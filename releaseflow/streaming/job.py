@@ -103,11 +103,6 @@ def routed_stream(bus: DataFrame, watermark: str = WATERMARK_DELAY) -> DataFrame
                   .dropDuplicatesWithinWatermark([DEDUP_KEY]))
 
 
-def dead_letter_stream(bus: DataFrame) -> DataFrame:
-    parsed = parse_bus(bus)
-    return dead_letters(parsed).unionByName(type_mismatches(parsed))
-
-
 # -- the fan-out ---------------------------------------------------------------------------------
 
 @dataclass
