@@ -3,6 +3,7 @@
     spark-submit releaseflow/jobs.py stream --bootstrap-servers kafka:29092 --root s3a://bucket/releases
     spark-submit releaseflow/jobs.py stream --landing /data/bus --root /data/releases
     spark-submit releaseflow/jobs.py surprise --root /data/releases [--out /data/reports/surprise]
+    spark-submit releaseflow/jobs.py sql --root /data/releases --query "SELECT * FROM surprise_leaderboard"
     spark-submit releaseflow/jobs.py optimize --root /data/releases
     spark-submit releaseflow/jobs.py vacuum --root /data/releases --retain-hours 168 [--execute]
 
@@ -40,7 +41,8 @@ REPORTS = {
 
 def main(argv: list[str] | None = None) -> None:
     p = argparse.ArgumentParser(description="releaseflow jobs")
-    p.add_argument("action", choices=["stream", "optimize", "vacuum", "history", *REPORTS])
+    p.add_argument("action", choices=["stream", "optimize", "vacuum", "history", "sql", *REPORTS])
+    p.add_argument("--query", default=None, help="sql: statement over releases_enriched and the serving views")
     p.add_argument("--root", help="folder holding releases_enriched/ (default: <checkpoint dir>/releaseflow)")
     p.add_argument("--n", type=int, default=20)
     p.add_argument("--since-days", type=int, default=90)
@@ -99,7 +101,12 @@ def main(argv: list[str] | None = None) -> None:
 
     df = (table.as_of_version(a.version) if a.version is not None
           else table.as_of_timestamp(a.timestamp) if a.timestamp else table.scan())
-    report = REPORTS[a.action](df, a)
+    if a.action == "sql":
+        from releaseflow.plans.views import register_views
+        register_views(spark, df, as_of=a.as_of, recent_days=a.since_days)
+        report = spark.sql(a.query)
+    else:
+        report = REPORTS[a.action](df, a)
     if a.out:
         report.write.mode("overwrite").parquet(a.out)
     else:

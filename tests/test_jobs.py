@@ -22,6 +22,9 @@ def test_cli_stream_report_maintain(spark, workdir, capsys):
     groups = t.scan().filter("surprise_pct IS NOT NULL").select("release_name", "source").distinct()
     assert spark.read.parquet(f"{workdir}/surprise").count() == groups.count() >= 13
     jobs.main(["history", "--root", root, "--n", "5"])
+    jobs.main(["sql", "--root", root, "--query", "SELECT * FROM surprise_leaderboard",
+               "--out", f"{workdir}/leaderboard"])
+    assert spark.read.parquet(f"{workdir}/leaderboard").count() == groups.count()
     jobs.main(["optimize", "--root", root])
     c = VersionedTable(spark, f"{root}/releases_enriched_compacted")
     assert c.scan().count() == t.scan().count()
