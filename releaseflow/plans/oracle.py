@@ -33,8 +33,8 @@ cat AS (
 ev AS (
   SELECT event_id AS seq,
          CAST(event_id AS VARCHAR) AS event_id,
-         CAST(json_extract_string(props, '$.k') AS INTEGER) AS k,
-         CAST(user_id % 13 AS INTEGER) AS idx,
+         TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) AS k,
+         CAST(((user_id % 13) + 13) % 13 AS INTEGER) AS idx,
          CAST(ts AS TIMESTAMP) AS kafka_ts,
          event_type,
          CASE WHEN event_id % 50 = 0 THEN NULL

@@ -5,7 +5,7 @@ event_type, value, props ``{"k": n}``). Every registered query derives its
 release events from them with the fixed rules below, so the work grows with
 the table. Rules (k = props.k):
 
-* release_name = catalog row ``user_id % 13``; indicator and source from the catalog
+* release_name = catalog row ``pmod(user_id, 13)``; indicator and source from the catalog
 * event_id = string of the numeric id; kafka_ts = ts
 * value = null when id % 50 = 0, negated when id % 11 = 0
 * prior_value = null when k % 5 = 0, the value itself when k % 5 = 1,
@@ -63,9 +63,9 @@ def release_events(events: DataFrame, lag_bucket_seconds: int = DEFAULT_BUCKET_S
     # output, so predicates on values derived from k are not pushed below it
     # with the JSON parse copied into every conjunct.
     events = events.select("*", F.inline(F.array(F.struct(
-        F.get_json_object("props", "$.k").cast("int").alias("_k")))))
+        F.get_json_object("props", "$.k").try_cast("int").alias("_k")))))
     k = F.col("_k")
-    release_name, indicator, source = _catalog_lookup(F.col("user_id") % 13)
+    release_name, indicator, source = _catalog_lookup(F.pmod(F.col("user_id"), F.lit(13)))
     kafka_ts = F.col("ts").cast("timestamp")
     value = (F.when(eid % 50 == 0, F.lit(None).cast("double"))
              .when(eid % 11 == 0, -F.col("value"))
