@@ -56,3 +56,14 @@ def test_compaction_preserves_rows_and_retention(spark, workdir):
     dropped = vacuum(t, 24, "2024-01-03 12:00:00", dry_run=False)
     assert sorted(dropped) == sorted(cand)
     assert t.scan().filter(F.col("batch_id").isin(dropped)).count() == 0
+
+
+def test_delta_table_is_gated(spark):
+    import pytest
+
+    from releaseflow.sources.delta_table import DeltaReleaseTable
+    from releaseflow.sources.table import delta_available
+    if delta_available(spark):
+        pytest.skip("Delta installed: gate not exercised")
+    with pytest.raises(RuntimeError):
+        DeltaReleaseTable(spark, "/tmp/nowhere")
