@@ -27,17 +27,19 @@ def hist_context(enriched: DataFrame, window_us: int = YEAR_US, bucket_us: int =
                  key: str = "indicator", id_cols: tuple[str, ...] = ("event_id",)) -> DataFrame:
     """Value against the same indicator's history in (ts - window, ts]: count, mean, min, max."""
     st = rolling_range_stats(enriched, [key], "kafka_ts", "value", list(id_cols), window_us, bucket_us)
-    mean, _ = mean_std(F.col("hist_n"), F.col("hist_sum"), F.col("hist_sumsq"))
-    return st.select("*", _r(mean, 9).alias("hist_mean")).drop("hist_sum", "hist_sumsq")
+    mean, _ = mean_std(F.col("hist_n"), F.col("hist_sum"), F.col("hist_sumsq"), F.col("hist_dsum"))
+    return st.select("*", mean.alias("hist_mean")).drop("hist_sum", "hist_sumsq", "hist_dsum")
 
 
 def zscore_columns(df: DataFrame, prefix: str, keep_min_max: bool = False) -> DataFrame:
     """hist_mean, hist_std, zscore, is_zscore_anomaly from {prefix}n/sum/sumsq."""
     n, s, ss = F.col(f"{prefix}n"), F.col(f"{prefix}sum"), F.col(f"{prefix}sumsq")
-    mean, sd = mean_std(n, s, ss)
+    exact = F.col(f"{prefix}dsum") if f"{prefix}dsum" in df.columns else None
+    mean, sd = mean_std(n, s, ss, exact)
     z = F.when((n >= 2) & (sd > 0), (F.col("value") - mean) / sd)
-    drop = [f"{prefix}sum", f"{prefix}sumsq"] + ([] if keep_min_max else [f"{prefix}min", f"{prefix}max"])
-    return df.select("*", _r(mean, 9).alias("hist_mean"), _r(sd, 6).alias("hist_std"),
+    drop = [f"{prefix}sum", f"{prefix}sumsq", f"{prefix}dsum"] + (
+        [] if keep_min_max else [f"{prefix}min", f"{prefix}max"])
+    return df.select("*", mean.alias("hist_mean"), _r(sd, 6).alias("hist_std"),
                      _r(z, 4).alias("zscore"),
                      F.coalesce(F.abs(z) > ZSCORE_THRESHOLD, F.lit(False)).alias("is_zscore_anomaly")
                      ).drop(*drop)

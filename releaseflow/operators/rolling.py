@@ -30,11 +30,20 @@ from pyspark.sql import functions as F
 HOUR_US = 3_600_000_000
 DAY_US = 24 * HOUR_US
 
-STAT_NAMES = ("n", "sum", "sumsq", "min", "max")
+STAT_NAMES = ("n", "sum", "sumsq", "min", "max", "dsum")
+# Exact sums: values as DECIMAL(35, 9). Adding three window parts stays within 38
+# digits, so Spark never drops scale, and the mean (dsum as double / n) is the same
+# double in every engine that converts decimals to doubles with correct rounding.
+DEC = "decimal(35,9)"
+
+
+def _dec(c: Column) -> Column:
+    return c.cast(DEC)
 
 
 def _stats(v: Column, w) -> list[Column]:
-    return [F.count(v).over(w), F.sum(v).over(w), F.sum(v * v).over(w), F.min(v).over(w), F.max(v).over(w)]
+    return [F.count(v).over(w), F.sum(v).over(w), F.sum(v * v).over(w), F.min(v).over(w), F.max(v).over(w),
+            _dec(F.sum(_dec(v)).over(w))]
 
 
 def bucket_summaries(df: DataFrame, keys: Sequence[str], ts_col: str, value_col: str,
@@ -43,21 +52,21 @@ def bucket_summaries(df: DataFrame, keys: Sequence[str], ts_col: str, value_col:
     v = F.col(value_col).cast("double")
     return (df.groupBy(*keys, F.floor(F.unix_micros(F.col(ts_col)) / F.lit(bucket_us)).alias("bucket"))
             .agg(F.count(v).alias("n"), F.sum(v).alias("sum"), F.sum(v * v).alias("sumsq"),
-                 F.min(v).alias("min"), F.max(v).alias("max")))
+                 F.min(v).alias("min"), F.max(v).alias("max"), _dec(F.sum(_dec(v))).alias("dsum")))
 
 
 def merge_summaries(parts: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Merge partial summaries of the same (key, bucket)."""
     return (parts.groupBy(*keys, "bucket")
             .agg(F.sum("n").alias("n"), F.sum("sum").alias("sum"), F.sum("sumsq").alias("sumsq"),
-                 F.min("min").alias("min"), F.max("max").alias("max")))
+                 F.min("min").alias("min"), F.max("max").alias("max"), _dec(F.sum("dsum")).alias("dsum")))
 
 
 def rolling_range_stats(df: DataFrame, keys: Sequence[str], ts_col: str, value_col: str,
                         id_cols: Sequence[str], window_us: int, bucket_us: int = HOUR_US,
                         prefix: str = "hist_", target_col: str | None = None,
                         summaries: DataFrame | None = None) -> DataFrame:
-    """Add ``{prefix}n, sum, sumsq, min, max`` of ``value_col`` over rows of the same
+    """Add ``{prefix}n, sum, sumsq, min, max, dsum`` (exact decimal sum) of ``value_col`` over rows of the same
     key with ts in [ts - window_us, ts - 1us]. ``id_cols`` must identify a row.
 
     Incremental use (streaming): ``target_col`` marks the rows to compute (the
@@ -98,7 +107,7 @@ def rolling_range_stats(df: DataFrame, keys: Sequence[str], ts_col: str, value_c
     if summaries is None:
         summ = d.groupBy(*keys, B).agg(F.count(v).alias("n"), F.sum(v).alias("sum"),
                                        F.sum(v * v).alias("sumsq"), F.min(v).alias("min"),
-                                       F.max(v).alias("max"))
+                                       F.max(v).alias("max"), _dec(F.sum(_dec(v))).alias("dsum"))
     else:
         summ = summaries.withColumnRenamed("bucket", B)
     if m > 1:
@@ -107,16 +116,19 @@ def rolling_range_stats(df: DataFrame, keys: Sequence[str], ts_col: str, value_c
                           F.sum("sum").over(w_mid).alias("_mid_sum"),
                           F.sum("sumsq").over(w_mid).alias("_mid_sumsq"),
                           F.min("min").over(w_mid).alias("_mid_min"),
-                          F.max("max").over(w_mid).alias("_mid_max"))
+                          F.max("max").over(w_mid).alias("_mid_max"),
+                          _dec(F.sum("dsum").over(w_mid)).alias("_mid_dsum"))
         rows = rows.join(mid.hint("merge"), on=keys + [B], how="left")
     else:
-        rows = rows.select("*", *[F.lit(None).cast("double").alias(f"_mid_{s}") for s in STAT_NAMES])
+        rows = rows.select("*", *[F.lit(None).cast(DEC if s == "dsum" else "double").alias(f"_mid_{s}")
+                                  for s in STAT_NAMES])
 
     out = rows.join(suffix, on=keys + id_cols, how="left")
 
     def add(s: str) -> Column:
-        return (F.coalesce(F.col(f"_pre_{s}"), F.lit(0)) + F.coalesce(F.col(f"_mid_{s}"), F.lit(0))
-                + F.coalesce(F.col(f"_suf_{s}"), F.lit(0)))
+        zero = F.lit(0).cast(DEC) if s == "dsum" else F.lit(0)
+        return (F.coalesce(F.col(f"_pre_{s}"), zero) + F.coalesce(F.col(f"_mid_{s}"), zero)
+                + F.coalesce(F.col(f"_suf_{s}"), zero))
 
     n = add("n").cast("long")
     out = out.select(
@@ -124,6 +136,7 @@ def rolling_range_stats(df: DataFrame, keys: Sequence[str], ts_col: str, value_c
         n.alias(f"{prefix}n"),
         F.when(n > 0, add("sum")).alias(f"{prefix}sum"),
         F.when(n > 0, add("sumsq")).alias(f"{prefix}sumsq"),
+        F.when(n > 0, add("dsum")).alias(f"{prefix}dsum"),
         F.least(F.col("_pre_min"), F.col("_mid_min"), F.col("_suf_min")).alias(f"{prefix}min"),
         F.greatest(F.col("_pre_max"), F.col("_mid_max"), F.col("_suf_max")).alias(f"{prefix}max"))
     return out
@@ -132,8 +145,8 @@ def rolling_range_stats(df: DataFrame, keys: Sequence[str], ts_col: str, value_c
 def rolling_rows_stats(df: DataFrame, keys: Sequence[str], ts_col: str, tiebreak: Sequence[str],
                        value_col: str, n_rows: int, bucket_us: int = HOUR_US,
                        prefix: str = "obs_") -> DataFrame:
-    """Add ``{prefix}n, sum, sumsq`` of ``value_col`` over the ``n_rows`` rows of the
-    same key that precede each row in (ts, tiebreak) order."""
+    """Add ``{prefix}n, sum, sumsq, dsum`` of ``value_col`` over the ``n_rows`` rows of
+    the same key that precede each row in (ts, tiebreak) order."""
     keys, tiebreak = list(keys), list(tiebreak)
     T, B, V = "_ro_t", "_ro_b", "_ro_v"
     d = (df.withColumn(T, F.unix_micros(F.col(ts_col)))
@@ -146,7 +159,8 @@ def rolling_rows_stats(df: DataFrame, keys: Sequence[str], ts_col: str, tiebreak
     w_frame = w_in.rowsBetween(-n_rows, -1)
     rows = d.select("*", F.row_number().over(w_in).alias("_pos"),
                     F.count(v).over(w_frame).alias("_in_n"), F.sum(v).over(w_frame).alias("_in_sum"),
-                    F.sum(v * v).over(w_frame).alias("_in_sumsq"))
+                    F.sum(v * v).over(w_frame).alias("_in_sumsq"),
+                    _dec(F.sum(_dec(v)).over(w_frame)).alias("_in_dsum"))
 
     # Last n_rows rows of every bucket (sorted once per bucket), then the last n_rows
     # rows before each bucket: the sorted tails of up to n_rows preceding non-empty
@@ -161,11 +175,13 @@ def rolling_rows_stats(df: DataFrame, keys: Sequence[str], ts_col: str, tiebreak
     prev = F.transform(F.flatten(F.collect_list("_tail").over(w_prev)), lambda x: x["v"])
     k = F.size(F.col("_prev_vals"))
     last = F.slice(F.col("_prev_vals"), F.greatest(k - n_rows + 1, F.lit(1)), F.lit(n_rows))
-    acc0 = F.struct(F.lit(0).cast("long").alias("n"), F.lit(0.0).alias("s"), F.lit(0.0).alias("ss"))
+    acc0 = F.struct(F.lit(0).cast("long").alias("n"), F.lit(0.0).alias("s"), F.lit(0.0).alias("ss"),
+                    F.lit(0).cast(DEC).alias("d"))
 
     def fold(arr):
         return F.aggregate(arr, acc0, lambda acc, x: F.when(x.isNull(), acc).otherwise(
-            F.struct((acc["n"] + 1).alias("n"), (acc["s"] + x).alias("s"), (acc["ss"] + x * x).alias("ss"))))
+            F.struct((acc["n"] + 1).alias("n"), (acc["s"] + x).alias("s"), (acc["ss"] + x * x).alias("ss"),
+                     _dec(acc["d"] + _dec(x)).alias("d"))))
 
     # suffix[j] = stats of the last j context values, j = 0..n_rows (computed per bucket, not per row)
     kk = F.size(F.col("_ctx"))
@@ -186,15 +202,18 @@ def rolling_rows_stats(df: DataFrame, keys: Sequence[str], ts_col: str, tiebreak
         F.when(n > 0, F.coalesce(F.col("_in_sum"), F.lit(0.0)) + F.coalesce(part["s"], F.lit(0.0)))
          .alias(f"{prefix}sum"),
         F.when(n > 0, F.coalesce(F.col("_in_sumsq"), F.lit(0.0)) + F.coalesce(part["ss"], F.lit(0.0)))
-         .alias(f"{prefix}sumsq"))
+         .alias(f"{prefix}sumsq"),
+        F.when(n > 0, _dec(F.coalesce(F.col("_in_dsum"), F.lit(0).cast(DEC))
+                           + F.coalesce(part["d"], F.lit(0).cast(DEC)))).alias(f"{prefix}dsum"))
 
 
-def mean_std(n: Column, s: Column, ss: Column) -> tuple[Column, Column]:
+def mean_std(n: Column, s: Column, ss: Column, exact_sum: Column | None = None) -> tuple[Column, Column]:
     """Mean (n >= 1) and sample standard deviation (n >= 2) from count, sum, sum of squares.
 
+    With ``exact_sum`` (a decimal) the mean is that sum as a double divided by n.
     A variance within rounding noise of zero (all values equal) is reported as 0.
     """
-    mean = F.when(n > 0, s / n)
+    mean = F.when(n > 0, (s if exact_sum is None else exact_sum.cast("double")) / n)
     raw = (ss - s * s / n) / (n - 1)
     var = F.when(n > 1, F.when(raw <= F.abs(ss / n) * F.lit(1e-12), F.lit(0.0)).otherwise(raw))
     return mean, F.sqrt(var)

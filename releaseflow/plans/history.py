@@ -21,7 +21,8 @@ ROWS_SQL = "PARTITION BY indicator ORDER BY kafka_ts, event_id ROWS BETWEEN 12 P
 @register("hist_context", with_base(f"""
 SELECT event_id, indicator, value,
        CAST(count(value) OVER w AS BIGINT) AS hist_n,
-       round(avg(value) OVER w, 9) + 0.0 AS hist_mean,
+       CASE WHEN count(value) OVER w > 0 THEN
+         CAST(sum(CAST(value AS DECIMAL(38, 9))) OVER w AS DOUBLE) / count(value) OVER w END AS hist_mean,
        min(value) OVER w AS hist_min,
        max(value) OVER w AS hist_max
 FROM enr WINDOW w AS ({WINDOW_SQL})"""))
@@ -33,7 +34,7 @@ def q_hist_context(spark, sf_dir):
 def _zscore_sql(window: str) -> str:
     return with_base(f"""
 SELECT event_id, indicator, value, hist_n,
-       round(m, 9) + 0.0 AS hist_mean,
+       m AS hist_mean,
        round(sd, 6) + 0.0 AS hist_std,
        round(z, 4) + 0.0 AS zscore,
        coalesce(abs(z) > 2, false) AS is_zscore_anomaly
@@ -42,7 +43,8 @@ FROM (
   FROM (
     SELECT event_id, indicator, value,
            CAST(count(value) OVER w AS BIGINT) AS hist_n,
-           avg(value) OVER w AS m,
+           CASE WHEN count(value) OVER w > 0 THEN
+             CAST(sum(CAST(value AS DECIMAL(38, 9))) OVER w AS DOUBLE) / count(value) OVER w END AS m,
            stddev_samp(value) OVER w AS sd
     FROM enr WINDOW w AS ({window})) a) b""")
 

@@ -89,7 +89,7 @@ class StreamingHistory:
         if not paths:
             return None
         return (self.spark.read.option("basePath", f"{self.root}/daily").parquet(*paths)
-                .select(self.key, F.col("bucket").cast("long"), "n", "sum", "sumsq", "min", "max"))
+                .select(self.key, F.col("bucket").cast("long"), "n", "sum", "sumsq", "min", "max", "dsum"))
 
     # -- per micro-batch ------------------------------------------------------------------------
     def process(self, batch: DataFrame, batch_id: int) -> DataFrame:
