@@ -168,7 +168,7 @@ class FanOut:
 @dataclass
 class StreamConfig:
     root: str                      # shared folder for tables and outputs
-    checkpoint_root: str           # shared folder for the three checkpoints
+    checkpoint_root: str           # shared folder for the query checkpoints
     trigger: dict = field(default_factory=lambda: {"processingTime": TRIGGER_INTERVAL})
     watermark: str = WATERMARK_DELAY
     window: str = "1 hour"

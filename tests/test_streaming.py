@@ -69,6 +69,10 @@ def test_stream_end_to_end(spark, workdir):
     windows = windowed_counts_from_partials(spark, f"{workdir}/out/window_partials")
     assert windows.agg(F.sum("n_events")).first()[0] == table.count()
     assert windows.groupBy("window_start", "source").count().filter("count > 1").count() == 0
+    from releaseflow.operators.monitor import windowed_counts
+    cols = ["window_start", "window_end", "source", "n_events", "n_anomalies", "n_high_impact"]
+    assert Counter(map(tuple, windows.select(*cols).collect())) == \
+        Counter(map(tuple, windowed_counts(batch).select(*cols).collect()))
     # one query reads the bus
     assert len(qs["queries"]) == 1
 
