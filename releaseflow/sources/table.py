@@ -57,9 +57,12 @@ class VersionedTable:
         The row count comes from an ``observe`` metric of the write itself, so
         the batch is evaluated once.
         """
+        import uuid
+
         from pyspark.sql import Observation
 
-        obs = Observation(f"write_batch_{batch_id}")
+        # Unique name: the fan-out writes several tables for the same batch concurrently.
+        obs = Observation(f"write_batch_{batch_id}_{uuid.uuid4().hex}")
         (df.drop("batch_id")
            .observe(obs, F.count(F.lit(1)).alias("n"))
            .hint("rebalance", *SINK_PARTITION_COLUMNS)  # write-time compaction: AQE sizes the files

@@ -67,3 +67,16 @@ def test_delta_table_is_gated(spark):
         pytest.skip("Delta installed: gate not exercised")
     with pytest.raises(RuntimeError):
         DeltaReleaseTable(spark, "/tmp/nowhere")
+
+
+def test_concurrent_batch_writes_count_their_own_rows(spark, workdir):
+    from concurrent.futures import ThreadPoolExecutor
+    df = _batches(spark).drop("b")
+    small, big = df.limit(10), df
+    t1, t2 = VersionedTable(spark, f"{workdir}/a"), VersionedTable(spark, f"{workdir}/b")
+    with ThreadPoolExecutor(2) as pool:
+        f1 = pool.submit(t1.write_batch, small, 5, "2024-01-01 00:00:00")
+        f2 = pool.submit(t2.write_batch, big, 5, "2024-01-01 00:00:00")
+        n1, n2 = f1.result(), f2.result()
+    assert (n1, n2) == (10, big.count())
+    assert t1.commits().first().num_rows == 10
