@@ -66,3 +66,34 @@ def test_progress_lag(spark):
     assert {p: r.lag for p, r in rows.items()} == {0: 30, 1: 0, 2: 2}
     assert progress_lag(spark, None).count() == 0
     assert progress_lag(spark, {"sources": [{"endOffset": None, "latestOffset": None}]}).count() == 0
+
+
+events = st.lists(
+    st.tuples(st.sampled_from(["hot", "hot", "hot", "a", "b"]),
+              st.integers(min_value=0, max_value=50).map(lambda m: m * 600_000_000),  # 10-min steps, ties allowed
+              st.one_of(st.none(), st.integers(min_value=-500, max_value=500).map(lambda c: c / 10.0))),
+    min_size=1, max_size=80)
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(events, st.sampled_from([600, 3600, 7200]), st.sampled_from([1, 2, 3]))
+def test_bucketed_operators_match_windows(spark, rows, bucket_s, window_buckets):
+    from pyspark.sql import Window
+
+    from releaseflow.operators.rolling import rolling_range_stats
+    from releaseflow.operators.sequence import bucketed_lag
+    df = (spark.createDataFrame([(i, k, t, v) for i, (k, t, v) in enumerate(rows)],
+                                "rid long, k string, t long, v double")
+          .withColumn("ts", F.timestamp_micros("t")))
+    got = {r.rid: r.p for r in bucketed_lag(df, ["k"], "ts", ["rid"], ["v"], ["p"], bucket_s).collect()}
+    exp = {r.rid: r.p for r in df.withColumn(
+        "p", F.lag("v").over(Window.partitionBy("k").orderBy("ts", "rid"))).collect()}
+    assert got == exp
+    B = bucket_s * 1_000_000
+    W = window_buckets * B
+    st_ = {r.rid: r for r in rolling_range_stats(df, ["k"], "ts", "v", ["rid"], W, B).collect()}
+    w = Window.partitionBy("k").orderBy("t").rangeBetween(-W, -1)
+    for r in df.select("rid", F.count("v").over(w).alias("n"), F.min("v").over(w).alias("mn"),
+                       F.max("v").over(w).alias("mx")).collect():
+        g = st_[r.rid]
+        assert (g.hist_n, g.hist_min, g.hist_max) == (r.n, r.mn, r.mx)
