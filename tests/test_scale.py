@@ -34,3 +34,14 @@ def test_compaction_splits_a_hot_release(spark, workdir):
     per_dir = (c.scan().filter(F.col("release_name") == "BLS_JOBS_REPORT")
                .select("source", "processing_date").distinct().count())
     assert files > per_dir  # the hot release was written by more than one task per folder
+
+
+def test_json_is_decoded_once(spark):
+    """The validity filter stays above the parse: from_json appears once in the plan."""
+    from releaseflow.functions.parse import parse_bus, valid_events
+    from releaseflow.plans.common import releases
+    from releaseflow.sources.events import bus_rows
+    plan = _plan(valid_events(parse_bus(bus_rows(releases(spark, SF_SMALL)))))
+    assert plan.count("from_json(") == 1
+    filters = [line for line in plan.splitlines() if "Filter" in line]
+    assert filters and not any("from_json" in line for line in filters)
