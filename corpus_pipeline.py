@@ -15,7 +15,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from releaseflow.llm import jaccard_join, langid, packing, secrets, substring_dedup
+from releaseflow.llm import jaccard_join, langid, packing, secret_ledger, substring_dedup
 from releaseflow.session import scratch_path
 
 #: SQL cannot express the language model or the packing; tests hold run() against brute force.
@@ -46,8 +46,8 @@ def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def hide_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts with every secret replaced by ``secrets.MASK``."""
-    out = secrets.mask_secrets(docs)
+    """Texts with every secret replaced by ``secret_ledger.MASK``."""
+    out = secret_ledger.mask_secrets(docs)
     return out.withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
 
 

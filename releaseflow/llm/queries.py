@@ -12,8 +12,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from releaseflow.llm import (bpe, embedding_dedup, jaccard_join, langid, packing, pii, secrets, spans,
-                              substring_dedup, topk)
+from releaseflow.llm import (bpe, embedding_dedup, html_extract, jaccard_join, langid, packing, pii, secret_ledger,
+                              spans, substring_dedup, topk)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -90,6 +90,12 @@ JOIN (SELECT doc_id, min(r) AS component_id FROM reach GROUP BY doc_id) c USING
 """
 
 
+@_register
+def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract_text(_table(spark, sf_dir, "pages")).withColumn(
+        "n_chars", F.length("text").cast("long"))
+
+
 @_register
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = substring_dedup.strip_repeats(_table(spark, sf_dir, "documents"))
@@ -162,4 +168,4 @@ def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_register
 def op10_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _span_digests(secrets.scan_secrets(_table(spark, sf_dir, "documents")), secrets.BASE)
+    return _span_digests(secret_ledger.scan_secrets(_table(spark, sf_dir, "documents")), secret_ledger.BASE)
