@@ -79,15 +79,18 @@ def _survivors(buckets: int):
         n = np.bincount(owner, minlength=len(docs))
         met = np.bincount(owner, shared, minlength=len(docs))
         edges = np.cumsum([0, *n])
-        out = []
+        out, told = [], set()
         for row, doc in enumerate(docs["id"]):
             mine = hashes[edges[row]:edges[row + 1]]
             stays = n[row] and 100 * met[row] >= PERCENT * n[row]
             sig = [int(x) for x in (mix(mine).sum(dtype=np.uint64), mix(mine ^ np.uint64(0x5DEECE66D)).sum(
                 dtype=np.uint64))] if stays else [0, 0]
+            stays = stays and not pd.isna(doc)
+            first = stays and (doc, *sig) not in told  # rows that repeat an id lie in one chunk
+            told.add((doc, *sig))
             out.append((doc, int(n[row]), np.uint64(sig[0]).astype(np.int64), np.uint64(sig[1]).astype(np.int64),
-                        mine[shared[edges[row]:edges[row + 1]]].astype(np.int64) if stays else None))
-        return pd.DataFrame(out, columns=["id", "n", "s1", "s2", "hashes"]).astype({"id": "Int64"})
+                        stays, mine[shared[edges[row]:edges[row + 1]]].astype(np.int64) if first else None))
+        return pd.DataFrame(out, columns=["id", "n", "s1", "s2", "stays", "hashes"]).astype({"id": "Int64"})
 
     return run
 
@@ -204,8 +207,9 @@ def _joined(rows: DataFrame) -> DataFrame:
                  .mapInArrow(_join_blocks, "id long, root long"))
 
 
-def _candidates(classes: DataFrame) -> DataFrame:
-    """``(id, n, hashes, cluster)``: sets joined by a shingle of their prefixes."""
+def _candidates(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Ordered sets ``(id, n, hashes)`` that may be linked, and ``(id, cluster)``: those joined by
+    a shingle of their prefixes."""
     grams = classes.select("id", "n", F.explode("hashes").alias("h"))
     freq = grams.groupBy("h").count().filter("count > 1")
     need = F.ceil(F.col("n") * PERCENT / F.lit(100)).cast("int")
@@ -216,30 +220,29 @@ def _candidates(classes: DataFrame) -> DataFrame:
     prefix = sets.select("id", F.explode(F.slice("hashes", F.lit(1), F.size("hashes") - need + 1)).alias("h"))
     first = prefix.groupBy("h").agg(F.min("id").alias("lead"), F.count(F.lit(1)).alias("k")).filter("k > 1")
     cluster = connected_components(prefix.join(first, "h").select("id", "lead"), "id", "lead")
-    return sets.join(cluster.withColumnRenamed("component", "cluster"), "id")
+    return sets, cluster.withColumnRenamed("component", "cluster")
 
 
 def _class_components(classes: DataFrame) -> DataFrame:
     """``(id, component)`` of linked classes."""
-    sets = saved(_candidates(classes))
-    blocks = sets.groupBy("cluster").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("nb"))
-    rows = sets.join(blocks, "cluster").withColumn("blk", F.pmod(F.xxhash64("id"), F.col("nb")).cast("int"))
+    sets, cluster = _candidates(classes)
+    blocks = cluster.groupBy("cluster").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("nb"))
+    place = cluster.join(blocks, "cluster").withColumn("blk", F.pmod(F.xxhash64("id"), F.col("nb")).cast("int"))
     everywhere = F.when(F.col("id") == F.col("cluster"), F.sequence(F.lit(0), F.col("nb") - 1)).otherwise(
         F.array("blk"))
-    links = _joined(rows.withColumn("bi", F.explode(everywhere)).withColumn("bj", F.col("bi"))
-                    .withColumn("label", F.col("id")))
+    links = _joined(sets.join(place.withColumn("bi", F.explode(everywhere)), "id")
+                    .withColumn("bj", F.col("bi")).withColumn("label", F.col("id")))
     comp = connected_components(links, "id", "root")
-    parted = (rows.filter("nb > 1").join(comp, "id", "left")
+    parted = (place.filter("nb > 1").join(comp, "id", "left")
               .withColumn("label", F.coalesce("component", "id")).drop("component"))
     open_clusters = parted.groupBy("cluster").agg(F.min("label").alias("a"), F.max("label").alias("b")).filter(
         "a < b").select("cluster")
+    if open_clusters.isEmpty():
+        return comp
     other = F.explode(F.sequence(F.lit(0), F.col("nb") - 1))
     cross = (parted.join(open_clusters, "cluster").withColumn("o", other).filter("o != blk")
              .withColumn("bi", F.least("blk", "o")).withColumn("bj", F.greatest("blk", "o")).drop("o"))
-    more = _joined(cross)
-    if more.isEmpty():
-        return comp
-    return connected_components(links.union(more), "id", "root")
+    return connected_components(links.union(_joined(sets.join(cross, "id"))), "id", "root")
 
 
 def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -249,14 +252,15 @@ def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     per_chunk = chunked(df, id_col, text_col).groupBy("chunk")
     answers = shared_cells(per_chunk.applyInPandas(_offer(buckets), CELL_SCHEMA))
     docs = saved(per_chunk.cogroup(answers.groupBy("chunk")).applyInPandas(
-        _survivors(buckets), "id long, n long, s1 long, s2 long, hashes array<long>"))
+        _survivors(buckets), "id long, n long, s1 long, s2 long, stays boolean, hashes array<long>"))
 
-    able = docs.filter("hashes is not null and id is not null")
+    able = docs.filter("stays")
     same = able.groupBy("s1", "s2", "n").agg(F.min("id").alias("rep"))
     member = able.select("id", "s1", "s2", "n").distinct().join(same, ["s1", "s2", "n"]).select("id", "rep")
     # An id on several rows with different sets belongs to all their classes.
-    classes = (able.join(same.select(F.col("rep").alias("id"), "s1", "s2", "n"), ["id", "s1", "s2", "n"])
-               .dropDuplicates(["id", "s1", "s2", "n"]).select("id", "n", "hashes"))
+    classes = (able.filter("hashes is not null")
+               .join(same.select(F.col("rep").alias("id"), "s1", "s2", "n"), ["id", "s1", "s2", "n"], "left_semi")
+               .select("id", "n", "hashes"))
     comp = _class_components(classes)
     of_rep = member.join(comp.withColumnRenamed("id", "rep"), "rep", "left").select(
         "id", F.coalesce("component", "rep").alias("component")).groupBy("id").agg(
