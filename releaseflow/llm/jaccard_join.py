@@ -1,10 +1,10 @@
 """Near-duplicate documents by n-gram Jaccard similarity (operator 3): prefix-tree join.
 
-1. Documents are turned into sets of 5-word shingles (64-bit hashes). Chunks of
-   documents learn which of their shingles another document has too
-   (``windows.shared_cells``); a document needs that for three quarters of its set
-   to be linked with anything, all others leave here.
-2. Equal sets fold into one class, kept by its smallest id.
+1. Documents are turned into sets of 5-word shingles (64-bit hashes). Equal sets
+   fold into one class, kept by its smallest id.
+2. Chunks of documents learn which shingles of their classes another class has too
+   (``windows.shared_cells``); a class needs that for three quarters of its set to
+   be linked with anything, all others leave here.
 3. Shingles get a global order, rarest first. Two linked classes share one of the
    first ``n - ceil(0.75 n) + 1`` shingles of each; classes joined by such shingles
    form candidate clusters.
@@ -27,6 +27,7 @@ ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -61,36 +62,73 @@ def _sets(docs: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return owner[new], hashes[new]
 
 
+@dataclass
+class _Chunk:
+    """The sets of a chunk's documents: ``hashes[edges[k]:edges[k + 1]]`` for document k."""
+
+    ids: list
+    edges: np.ndarray
+    hashes: np.ndarray
+
+    @classmethod
+    def of(cls, docs: pd.DataFrame) -> _Chunk:
+        owner, hashes = _sets(docs)
+        return cls(docs["id"].tolist(), np.cumsum([0, *np.bincount(owner, minlength=len(docs))]), hashes)
+
+    def signature(self, doc: int) -> tuple[int, int]:
+        mine = self.hashes[self.edges[doc]:self.edges[doc + 1]]
+        return tuple(int(mix(mine ^ np.uint64(k)).sum(dtype=np.uint64).astype(np.int64)) for k in (0, 0x5DEECE66D))
+
+    def leads(self, told: pd.DataFrame) -> list[int]:
+        """Documents that stand for their class; of rows that repeat an id, one."""
+        left = set(zip(told["id"], told["s1"], told["s2"]))
+        out = []
+        for doc, name in enumerate(self.ids):
+            key = (name, *self.signature(doc))
+            if key in left:
+                left.remove(key)
+                out.append(doc)
+        return out
+
+    def members(self, docs: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Distinct hashes of some documents, where each occurs among them, and how often."""
+        parts = [self.hashes[self.edges[d]:self.edges[d + 1]] for d in docs]
+        flat = np.concatenate(parts) if parts else np.zeros(0, np.uint64)
+        return np.unique(flat, return_inverse=True, return_counts=True)
+
+
+def _describe(key: tuple, docs: pd.DataFrame) -> pd.DataFrame:
+    chunk = _Chunk.of(docs)
+    rows = [(key[0], name, int(n), *chunk.signature(k))
+            for k, (name, n) in enumerate(zip(chunk.ids, np.diff(chunk.edges)))]
+    return pd.DataFrame(rows, columns=["chunk", "id", "n", "s1", "s2"]).astype({"id": "Int64"})
+
+
 def _offer(buckets: int):
-    def run(key: tuple, docs: pd.DataFrame) -> pd.DataFrame:
-        uniq, count = np.unique(_sets(docs)[1], return_counts=True)
+    def run(key: tuple, docs: pd.DataFrame, told: pd.DataFrame) -> pd.DataFrame:
+        chunk = _Chunk.of(docs)
+        uniq, _, count = chunk.members(chunk.leads(told))
         return Cells(uniq, buckets).rows(key[0], count > 1, np.ones(len(uniq), bool))
 
     return run
 
 
 def _survivors(buckets: int):
-    """Every document with its set's size; the set itself only where enough of it is shared."""
-
-    def run(key: tuple, docs: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
-        owner, hashes = _sets(docs)
-        uniq, inv = np.unique(hashes, return_inverse=True)
-        shared = Cells(uniq, buckets).answers(answers)[inv]
-        n = np.bincount(owner, minlength=len(docs))
-        met = np.bincount(owner, shared, minlength=len(docs))
-        edges = np.cumsum([0, *n])
-        out, told = [], set()
-        for row, doc in enumerate(docs["id"]):
-            mine = hashes[edges[row]:edges[row + 1]]
-            stays = n[row] and 100 * met[row] >= PERCENT * n[row]
-            sig = [int(x) for x in (mix(mine).sum(dtype=np.uint64), mix(mine ^ np.uint64(0x5DEECE66D)).sum(
-                dtype=np.uint64))] if stays else [0, 0]
-            stays = stays and not pd.isna(doc)
-            first = stays and (doc, *sig) not in told  # rows that repeat an id lie in one chunk
-            told.add((doc, *sig))
-            out.append((doc, int(n[row]), np.uint64(sig[0]).astype(np.int64), np.uint64(sig[1]).astype(np.int64),
-                        stays, mine[shared[edges[row]:edges[row + 1]]].astype(np.int64) if first else None))
-        return pd.DataFrame(out, columns=["id", "n", "s1", "s2", "stays", "hashes"]).astype({"id": "Int64"})
+    """Classes whose sets are shared enough, with what they share."""
+
+    def run(key: tuple, docs: pd.DataFrame, told: pd.DataFrame) -> pd.DataFrame:
+        chunk = _Chunk.of(docs)
+        leads = chunk.leads(told[told["bits"].isna()])
+        uniq, inv, _ = chunk.members(leads)
+        shared = Cells(uniq, buckets).answers(told[told["bits"].notna()])[inv]
+        out, at = [], 0
+        for doc in leads:
+            mine = chunk.hashes[chunk.edges[doc]:chunk.edges[doc + 1]]
+            met = mine[shared[at:at + len(mine)]]
+            at += len(mine)
+            if 100 * len(met) >= PERCENT * len(mine):
+                out.append((chunk.ids[doc], len(mine), met.astype(np.int64)))
+        return pd.DataFrame(out, columns=["id", "n", "hashes"])
 
     return run
 
@@ -250,21 +288,26 @@ def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     ship(df.sparkSession)
     buckets = bucket_count(df)
     per_chunk = chunked(df, id_col, text_col).groupBy("chunk")
-    answers = shared_cells(per_chunk.applyInPandas(_offer(buckets), CELL_SCHEMA))
-    docs = saved(per_chunk.cogroup(answers.groupBy("chunk")).applyInPandas(
-        _survivors(buckets), "id long, n long, s1 long, s2 long, stays boolean, hashes array<long>"))
+    docs = saved(per_chunk.applyInPandas(_describe, "chunk long, id long, n long, s1 long, s2 long"))
+
+    able = docs.filter("n > 0 and id is not null")
+    # Repeated ids lie in one chunk, so the smallest id brings its own chunk along.
+    lead = able.groupBy("s1", "s2", "n").agg(F.min(F.struct("id", "chunk")).alias("m"))
+    lead = saved(lead.select("m.id", "m.chunk", "s1", "s2", "n"))
+    told = lead.select("chunk", "id", "s1", "s2")
+    answers = shared_cells(per_chunk.cogroup(told.groupBy("chunk")).applyInPandas(_offer(buckets), CELL_SCHEMA))
+    zero, none = F.lit(0).cast("long"), F.lit(None).cast("binary")  # no nulls in number columns for pandas
+    told = told.select("*", F.lit(-1).alias("bucket"), none.alias("bits")).unionByName(
+        answers.select("chunk", zero.alias("id"), zero.alias("s1"), zero.alias("s2"), "bucket", "bits"))
+    classes = saved(per_chunk.cogroup(told.groupBy("chunk")).applyInPandas(
+        _survivors(buckets), "id long, n long, hashes array<long>"))
 
-    able = docs.filter("stays")
-    same = able.groupBy("s1", "s2", "n").agg(F.min("id").alias("rep"))
-    member = able.select("id", "s1", "s2", "n").distinct().join(same, ["s1", "s2", "n"]).select("id", "rep")
-    # An id on several rows with different sets belongs to all their classes.
-    classes = (able.filter("hashes is not null")
-               .join(same.select(F.col("rep").alias("id"), "s1", "s2", "n"), ["id", "s1", "s2", "n"], "left_semi")
-               .select("id", "n", "hashes"))
     comp = _class_components(classes)
-    of_rep = member.join(comp.withColumnRenamed("id", "rep"), "rep", "left").select(
-        "id", F.coalesce("component", "rep").alias("component")).groupBy("id").agg(
-        F.min("component").alias("component"))
-    return docs.select("id", "n").join(of_rep, "id", "left").select(
+    member = able.select("id", "s1", "s2", "n").distinct().join(
+        lead.select("s1", "s2", "n", F.col("id").alias("rep")), ["s1", "s2", "n"])
+    # An id on several rows with different sets belongs to all their classes.
+    of_id = member.join(comp.withColumnRenamed("id", "rep"), "rep", "left").groupBy("id").agg(
+        F.min(F.coalesce("component", "rep")).alias("component"))
+    return docs.select("id", "n").join(of_id, "id", "left").select(
         F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
         F.coalesce("component", "id").alias("component_id"))
