@@ -56,20 +56,26 @@ def _checked(found: Column, kind: str) -> Column:
 
 
 def _found(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``(id, row, base, tokens)``: base spans sorted, tokens with the words before them."""
+    """``(id, row, base, mentions)``: base spans sorted; these and other tokens with the words before them."""
     rows = df.select(F.col(id_col).alias("id"), F.xxhash64(id_col, text_col).alias("row"),
                      searchable(F.col(text_col)).alias("clean"))
     rows = rows.select("*", *(pieces(F.col("clean"), p).alias(f"p_{k}") for k, p in _PATTERNS.items()))
     base = F.sort_array(F.concat(*(
         _checked(find(F.col(f"p_{k}"), k, n), k)
         for n, k in enumerate(KINDS[:4]))))
-    before = lambda s: F.substring(
-        F.col("clean"), F.greatest(s["start"] - CONTEXT_CHARS, F.lit(0)) + 1,
-        F.least(s["start"], F.lit(CONTEXT_CHARS)))
-    tokens = F.transform(find(F.col("p_token"), "context", 4), lambda s: F.struct(
-        s.alias("span"),
-        F.lower(F.regexp_extract(before(s), r"(\S+\s+\S+)\s+$", 1)).alias("words")))
-    return rows.select("id", "row", base.alias("base"), tokens.alias("tokens"))
+    rows = rows.select("*", base.alias("base"))
+
+    def mention(span: Column, seed: bool) -> Column:
+        before = F.substring(F.col("clean"), F.greatest(span["start"] - CONTEXT_CHARS, F.lit(0)) + 1,
+                             F.least(span["start"], F.lit(CONTEXT_CHARS)))
+        return F.struct(span.alias("span"), F.lit(seed).alias("seed"),
+                        F.lower(F.regexp_extract(before, r"(\S+\s+\S+)\s+$", 1)).alias("words"))
+
+    others = F.filter(find(F.col("p_token"), "context", 4), lambda t: ~F.exists(
+        "base", lambda b: (b["start"] < t["end"]) & (b["end"] > t["start"])))
+    mentions = F.concat(F.transform("base", lambda s: mention(s, True)),
+                        F.transform(others, lambda s: mention(s, False)))
+    return rows.select("id", "row", "base", mentions.alias("mentions"))
 
 
 def _pattern_scores(edges: DataFrame) -> DataFrame:
@@ -90,10 +96,9 @@ def _pattern_scores(edges: DataFrame) -> DataFrame:
 def personal_data(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(id, base, spans)``: sorted base spans, and those with what the patterns add."""
     found = saved(_found(df, id_col, text_col))
-    tokens = found.select("row", "base", F.explode("tokens").alias("t")).select(
-        "row", "t.span", "t.words", F.col("t.span.text").alias("token"),
-        F.exists("base", lambda b: (b["start"] < F.col("t.span.end")) & (b["end"] > F.col("t.span.start"))
-                 ).alias("seed")).filter("words != ''")
+    tokens = (found.select("row", F.explode("mentions").alias("m"))
+              .select("row", "m.span", "m.seed", "m.words", F.col("m.span.text").alias("token"))
+              .filter("words != ''"))
     edges = tokens.groupBy("words", "token").agg(F.max("seed").alias("seed"))
     good = _pattern_scores(edges).filter((F.col("score") >= MIN_SCORE) & (F.col("seeds") >= MIN_SEEDS))
     new = (tokens.filter("not seed").join(good.select("words"), "words", "left_semi")
