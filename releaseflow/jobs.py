@@ -5,7 +5,7 @@
     spark-submit releaseflow/jobs.py surprise --root /data/releases [--out /data/reports/surprise]
     spark-submit releaseflow/jobs.py sql --root /data/releases --query "SELECT * FROM surprise_leaderboard"
     spark-submit releaseflow/jobs.py optimize --root /data/releases
-    spark-submit releaseflow/jobs.py vacuum --root /data/releases --retain-hours 168 [--execute]
+    spark-submit releaseflow/jobs.py retention --root /data/releases --retain-hours 168
 
 Reports print a bounded preview (``--n`` rows) or, with ``--out``, are written
 in full as Parquet by the executors; nothing unbounded is collected.
@@ -21,7 +21,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from releaseflow.operators import maintenance as M  # noqa: E402
 from releaseflow.operators import reports as R  # noqa: E402
-from releaseflow.schema import RETENTION_HOURS  # noqa: E402
+from releaseflow.schema import RETENTION_HOURS, TRIGGER_INTERVAL  # noqa: E402
 from releaseflow.session import build_session, shared_dir  # noqa: E402
 from releaseflow.sources.table import VersionedTable  # noqa: E402
 
@@ -41,7 +41,7 @@ REPORTS = {
 
 def main(argv: list[str] | None = None) -> None:
     p = argparse.ArgumentParser(description="releaseflow jobs")
-    p.add_argument("action", choices=["stream", "optimize", "vacuum", "history", "sql", *REPORTS])
+    p.add_argument("action", choices=["stream", "optimize", "retention", "history", "sql", *REPORTS])
     p.add_argument("--query", default=None, help="sql: statement over releases_enriched and the serving views")
     p.add_argument("--root", help="folder holding releases_enriched/ (default: <checkpoint dir>/releaseflow)")
     p.add_argument("--n", type=int, default=20)
@@ -51,10 +51,15 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--timestamp", default=None, help="read the table as of this time")
     p.add_argument("--out", default=None, help="write the full report here (Parquet)")
     p.add_argument("--retain-hours", type=int, default=RETENTION_HOURS)
-    p.add_argument("--execute", action="store_true", help="vacuum: delete instead of listing")
     p.add_argument("--bootstrap-servers", default=None)
     p.add_argument("--landing", default=None, help="stream: folder of landed bus files instead of Kafka")
     p.add_argument("--checkpoints", default=None)
+    p.add_argument("--max-offsets", type=int, default=None, help="stream: Kafka offsets per trigger (default: all)")
+    p.add_argument("--max-files", type=int, default=None, help="stream: landed files per trigger (default: all)")
+    p.add_argument("--trigger", default=TRIGGER_INTERVAL, help="stream: processing interval")
+    p.add_argument("--serving-url", default=None, help="stream: JDBC URL of the serving table")
+    p.add_argument("--serving-table", default="streaming.releases_enriched")
+    p.add_argument("--serving-path", default=None, help="stream: Parquet folder of serving rows instead of JDBC")
     p.add_argument("--available-now", action="store_true")
     a = p.parse_args(argv)
 
@@ -64,15 +69,18 @@ def main(argv: list[str] | None = None) -> None:
 
     if a.action == "stream":
         from releaseflow.streaming.job import StreamConfig, file_bus, kafka_bus, start
-        bus = (kafka_bus(spark, a.bootstrap_servers) if a.bootstrap_servers
-               else file_bus(spark, a.landing, max_files_per_trigger=10))
+        from releaseflow.streaming.sinks import JdbcServingTarget, ParquetServingTarget
+        bus = (kafka_bus(spark, a.bootstrap_servers, max_offsets_per_trigger=a.max_offsets) if a.bootstrap_servers
+               else file_bus(spark, a.landing, max_files_per_trigger=a.max_files))
+        serving = (JdbcServingTarget(a.serving_url, a.serving_table) if a.serving_url
+                   else ParquetServingTarget(a.serving_path) if a.serving_path else None)
         cfg = StreamConfig(root=root, checkpoint_root=a.checkpoints or f"{root}/_checkpoints",
-                           bootstrap_servers=a.bootstrap_servers,
+                           bootstrap_servers=a.bootstrap_servers, serving=serving,
                            trigger={"availableNow": True} if a.available_now else
-                           {"processingTime": "30 seconds"})
+                           {"processingTime": a.trigger})
         qs = start(spark, bus, cfg)
 
-        def _stop(signum, frame):  # graceful shutdown: finish the running micro-batch, then stop
+        def _stop(signum, frame):  # interrupts the running micro-batch, which replays at the next start
             for q in qs["queries"]:
                 q.stop()
 
@@ -91,9 +99,12 @@ def main(argv: list[str] | None = None) -> None:
         target = M.compact(table, f"{root}/releases_enriched_compacted")
         print(f"compacted into {target.root}")
         return
-    if a.action == "vacuum":
-        ids = M.vacuum(table, a.retain_hours, a.as_of, dry_run=not a.execute)
-        print(("dropped" if a.execute else "would drop") + f" batches: {ids}")
+    if a.action == "retention":
+        old = M.retention_candidates(table, a.retain_hours, a.as_of)
+        if a.out:
+            old.write.mode("overwrite").parquet(a.out)
+        else:
+            old.orderBy("batch_id").show(a.n, truncate=False)
         return
     if a.action == "history":
         table.history(a.n).show(truncate=False)

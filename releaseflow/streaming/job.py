@@ -7,6 +7,8 @@ Differences from a one-query-per-sink layout, on purpose:
   the source is read once, every sink sees the same rows and the same
   ``processed_ts`` (the micro-batch clock), and each write is idempotent per
   batch id, so a replay after a failure does not duplicate;
+* late records are kept and marked: first deliveries are found against an index
+  of seen events, not by stream state that forgets what the watermark passed;
 * valid and malformed records go through one de-duplication with different keys
   (event_id for valid records, the bus position for the others, so malformed
   records never merge) and are split inside the fan-out; the dead-letter output
@@ -30,7 +32,6 @@ from releaseflow.operators.history import YEAR_US
 from releaseflow.operators.monitor import windowed_counts
 from releaseflow.schema import (
     BUS_SCHEMA,
-    MAX_OFFSETS_PER_TRIGGER,
     TOPIC_ANOMALIES,
     TOPIC_DLQ,
     TOPIC_ENRICHED,
@@ -39,6 +40,7 @@ from releaseflow.schema import (
     WATERMARK_DELAY,
 )
 from releaseflow.sources.table import VersionedTable
+from releaseflow.streaming.dedup import SeenEvents
 from releaseflow.streaming.history import StreamingHistory
 from releaseflow.streaming.sinks import (
     BusSink,
@@ -54,16 +56,14 @@ from releaseflow.streaming.sinks import (
 
 def kafka_bus(spark: SparkSession, bootstrap_servers: str, topic: str = TOPIC_RAW,
               starting_offsets: str = "earliest",
-              max_offsets_per_trigger: int = MAX_OFFSETS_PER_TRIGGER) -> DataFrame:
+              max_offsets_per_trigger: int | None = None) -> DataFrame:
     """Kafka source (needs the spark-sql-kafka package). ``earliest`` so nothing
     published before the first start is skipped; the checkpoint decides later."""
-    return (spark.readStream.format("kafka")
-            .option("kafka.bootstrap.servers", bootstrap_servers)
-            .option("subscribe", topic)
-            .option("startingOffsets", starting_offsets)
-            .option("failOnDataLoss", "false")
-            .option("maxOffsetsPerTrigger", max_offsets_per_trigger)
-            .load())
+    options = {"kafka.bootstrap.servers": bootstrap_servers, "subscribe": topic,
+               "startingOffsets": starting_offsets, "failOnDataLoss": "false"}
+    if max_offsets_per_trigger:
+        options["maxOffsetsPerTrigger"] = str(max_offsets_per_trigger)
+    return spark.readStream.format("kafka").options(**options).load()
 
 
 def file_bus(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
@@ -79,28 +79,28 @@ def file_bus(spark: SparkSession, path: str, max_files_per_trigger: int | None =
 DEDUP_KEY = "_dedup_key"
 
 def enriched_stream(bus: DataFrame, watermark: str = WATERMARK_DELAY, dedup: bool = True) -> DataFrame:
-    """Valid, de-duplicated (within the watermark), enriched events."""
+    """Valid, enriched events; with ``dedup``, by stream state within the watermark, which
+    also drops events later than that. For the optional stateful window query only."""
     valid = valid_events(parse_bus(bus)).withWatermark("kafka_ts", watermark)
     if dedup:
         valid = valid.dropDuplicatesWithinWatermark(["event_id"])
     return enrich(valid)
 
 
-def routed_stream(bus: DataFrame, watermark: str = WATERMARK_DELAY) -> DataFrame:
-    """Every bus record, parsed, de-duplicated within the watermark and enriched.
+def routed_stream(bus: DataFrame) -> DataFrame:
+    """Every bus record, parsed and enriched, with the key it de-duplicates on.
 
     Valid records de-duplicate on event_id, all others on their bus position
     (partition, offset), so malformed records never merge with each other while
-    a re-read of the same record is still dropped. The fan-out splits the two
-    kinds per micro-batch, so the bus is read by one query only.
+    a re-read of the same record is still dropped. The fan-out does so against the
+    index of seen events (no stream state, so late records are kept) and splits
+    the two kinds per micro-batch: the bus is read by one query only.
     """
     parsed = parse_bus(bus)
     key = (F.when(is_valid(), F.concat(F.lit("e:"), F.col("event_id")))
            .otherwise(F.concat_ws(":", F.lit("p"), F.col("partition").cast("string"),
                                   F.col("offset").cast("string"))))
-    return enrich(parsed.withColumn(DEDUP_KEY, key)
-                  .withWatermark("kafka_ts", watermark)
-                  .dropDuplicatesWithinWatermark([DEDUP_KEY]))
+    return enrich(parsed.withColumn(DEDUP_KEY, key))
 
 
 # -- the fan-out ---------------------------------------------------------------------------------
@@ -120,14 +120,20 @@ class FanOut:
     window_partials: str | None = None
     window: str = "1 hour"
     parallel_sinks: int = 4
+    seen: SeenEvents | None = None
     written: dict = field(default_factory=dict)
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        if self.seen is not None:
+            batch = self.seen.fresh(batch, batch_id)
         batch = batch.persist()
         try:
             if batch.isEmpty():
                 return
             tasks = []
+            if self.seen is not None:
+                everything = batch
+                tasks.append(lambda: self.seen.commit(everything, batch_id))
             if "payload" in batch.columns:  # routed stream: split valid rows and dead letters
                 if self.dead_letters is not None:
                     dlq = dead_letters(batch).unionByName(type_mismatches(batch))
@@ -151,9 +157,9 @@ class FanOut:
                              .parquet(f"{self.window_partials}/batch_id={batch_id}"))
             if self.history is not None:
                 def history():
-                    ctx = self.history.process(b, batch_id)
+                    ctx = self.history.process(b.drop("is_late"), batch_id)
                     ctx.write.mode("overwrite").parquet(f"{self.history_path}/batch_id={batch_id}")
-                    self.history.commit(b, batch_id)
+                    self.history.commit(b.drop("is_late"), batch_id)
                 tasks.append(history)
             # The sinks are independent and idempotent: run their jobs concurrently over the
             # persisted batch. Any failure fails the batch, which then replays as a whole.
@@ -196,8 +202,9 @@ def start(spark: SparkSession, bus: DataFrame, cfg: StreamConfig) -> dict:
         dead_letters=DeadLetterSink(f"{root}/dlq", BusSink(TOPIC_DLQ, cfg.bootstrap_servers)),
         window_partials=f"{root}/window_partials",
         window=cfg.window,
+        seen=SeenEvents(spark, f"{root}/_seen_events", DEDUP_KEY, cfg.watermark),
     )
-    main = (routed_stream(bus, cfg.watermark).writeStream
+    main = (routed_stream(bus).writeStream
             .queryName("releases_main")
             .option("checkpointLocation", f"{cfg.checkpoint_root}/releases_main")
             .trigger(**cfg.trigger)

@@ -1,18 +1,20 @@
 """Micro-batch sinks used by the fan-out.
 
-Every sink is idempotent per batch so a replayed micro-batch (restart after a
-failure, at-least-once delivery into ``foreachBatch``) does not duplicate:
+Every sink but a Kafka topic is idempotent per batch, so a replayed micro-batch
+(restart after a failure, at-least-once delivery into ``foreachBatch``) does not
+duplicate; a topic may receive a replayed batch's messages twice:
 
 * tables: the batch overwrites its own ``batch_id=N`` directory;
 * bus outputs without Kafka: ``batch_id=N`` directories, overwritten;
 * serving table: de-duplicated on event_id inside the batch, then anti-joined
-  against the keys already in the target (recent window, pushed down), then
-  appended. A retry after a partial write only adds the missing rows.
+  against the keys that the target has had since the batch's earliest time
+  (pushed down), then appended. A retry after a partial write only adds the missing rows.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,7 +34,10 @@ def kafka_available(spark: SparkSession) -> bool:
 
 @dataclass
 class BusSink:
-    """Kafka topic when the connector is installed, else a directory per batch."""
+    """A Kafka topic, or a directory per batch where no bootstrap servers are given.
+
+    Kafka appends: a replayed batch sends its messages again (at least once).
+    """
 
     topic: str
     bootstrap_servers: str | None = None
@@ -40,7 +45,9 @@ class BusSink:
 
     def write(self, messages: DataFrame, batch_id: int) -> None:
         spark = messages.sparkSession
-        if self.bootstrap_servers and kafka_available(spark):
+        if self.bootstrap_servers:
+            if not kafka_available(spark):
+                raise RuntimeError(f"{self.topic}: bootstrap servers given, but the Kafka connector is not installed")
             (messages.select(F.col("key").cast("binary"), F.col("value").cast("binary"),
                              *([F.col("headers")] if "headers" in messages.columns else []))
              .write.format("kafka")
@@ -49,7 +56,7 @@ class BusSink:
              .save())
             return
         if not self.fallback_dir:
-            raise ValueError(f"no Kafka connector and no fallback directory for {self.topic}")
+            raise ValueError(f"neither bootstrap servers nor a directory for {self.topic}")
         cols = [F.col("key").cast("string"), F.col("value").cast("string")]
         if "headers" in messages.columns:
             cols.append(F.transform("headers", lambda h: F.struct(
@@ -71,7 +78,7 @@ def write_enriched_topic(batch: DataFrame, batch_id: int, sink: BusSink) -> None
 class ServingTarget:
     """Where serving rows go; implementations read existing keys and append."""
 
-    def existing_keys(self, spark: SparkSession, since_days: int) -> DataFrame:
+    def existing_keys(self, spark: SparkSession, since: datetime) -> DataFrame:
         raise NotImplementedError
 
     def append(self, rows: DataFrame) -> None:
@@ -92,9 +99,9 @@ class JdbcServingTarget(ServingTarget):
         if self.url.startswith("jdbc:postgresql:"):
             self.properties.setdefault("stringtype", "unspecified")
 
-    def existing_keys(self, spark, since_days):
+    def existing_keys(self, spark, since):
         q = (f"(SELECT CAST(event_id AS VARCHAR(64)) AS event_id FROM {self.table} "
-             f"WHERE processed_ts >= CURRENT_TIMESTAMP - INTERVAL '{int(since_days)} days') k")
+             f"WHERE processed_ts >= TIMESTAMP '{since:%Y-%m-%d %H:%M:%S}') k")
         return spark.read.jdbc(self.url, q, properties=self.properties)
 
     def append(self, rows):
@@ -107,26 +114,29 @@ class ParquetServingTarget(ServingTarget):
 
     path: str
 
-    def existing_keys(self, spark, since_days):
+    def existing_keys(self, spark, since):
         if not path_exists(spark, self.path):  # nothing written yet
             return spark.createDataFrame([], "event_id string")
-        return spark.read.parquet(self.path).filter(F.col("processed_ts") >= F.current_timestamp()
-                         - F.make_interval(days=F.lit(since_days))).select("event_id")
+        return spark.read.parquet(self.path).filter(F.col("processed_ts") >= F.lit(since)).select("event_id")
 
     def append(self, rows):
         rows.write.mode("append").parquet(self.path)
 
 
-def write_serving(batch: DataFrame, target: ServingTarget, key_window_days: int = 1) -> DataFrame:
+def write_serving(batch: DataFrame, target: ServingTarget) -> DataFrame:
     """Append the batch's serving rows that the target does not hold yet.
 
-    Re-deliveries within the watermark never reach here (stream de-duplication)
-    and older ones are dropped as late, so the only repeats are replayed
-    micro-batches, minutes apart: one day of target keys covers them.
+    Re-deliveries in later batches never reach here (index of seen events), so the
+    only repeats are rows of this batch from an attempt before. Those were
+    processed no earlier than the bus received them, whenever the replay comes:
+    the batch's earliest bus or processing time bounds the keys to read.
     """
     spark = batch.sparkSession
     rows = serving_rows(batch).dropDuplicates(["event_id"])
-    known = target.existing_keys(spark, key_window_days)
+    since = batch.agg(F.min(F.least("kafka_ts", "processed_ts"))).first()[0]
+    if since is None:
+        return rows
+    known = target.existing_keys(spark, since)
     fresh = rows.join(known, on="event_id", how="left_anti")
     target.append(fresh)
     return fresh
@@ -151,10 +161,3 @@ class DeadLetterSink:
         dlq.write.mode("overwrite").parquet(f"{self.path}/batch_id={batch_id}")
         if self.bus is not None and self.bus.bootstrap_servers:
             self.bus.write(dead_letter_messages(dlq), batch_id)
-
-    def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
-        try:
-            self.write(batch, batch_id)
-        finally:
-            batch.unpersist()

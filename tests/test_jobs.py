@@ -15,7 +15,10 @@ def test_cli_stream_report_maintain(spark, workdir, capsys):
     bus.filter("timestamp < '2024-01-15'").coalesce(1).write.parquet(f"{workdir}/landing/a")
     bus.filter("timestamp >= '2024-01-15'").coalesce(1).write.parquet(f"{workdir}/landing/b")
     root = f"{workdir}/root"
-    jobs.main(["stream", "--landing", f"{workdir}/landing/*", "--root", root, "--available-now"])
+    jobs.main(["stream", "--landing", f"{workdir}/landing/*", "--root", root, "--available-now",
+               "--max-files", "1", "--serving-path", f"{root}/serving"])
+    assert spark.read.parquet(f"{root}/serving").count() == VersionedTable(
+        spark, f"{root}/releases_enriched").scan().count()
     t = VersionedTable(spark, f"{root}/releases_enriched")
     assert t.scan().count() > 900
     jobs.main(["surprise", "--root", root, "--out", f"{workdir}/surprise"])
@@ -28,8 +31,9 @@ def test_cli_stream_report_maintain(spark, workdir, capsys):
     jobs.main(["optimize", "--root", root])
     c = VersionedTable(spark, f"{root}/releases_enriched_compacted")
     assert c.scan().count() == t.scan().count()
-    jobs.main(["vacuum", "--root", root, "--retain-hours", "1"])
-    out = capsys.readouterr().out
-    assert "would drop batches" in out
+    rows = t.scan().count()
+    jobs.main(["retention", "--root", root, "--retain-hours", "1", "--as-of", "2100-01-01 00:00:00"])
+    assert "num_rows" in capsys.readouterr().out
+    assert t.scan().count() == rows
     assert t.scan().filter(F.col("is_anomaly")).count() == \
         VersionedTable(spark, f"{root}/anomalies").scan().count()

@@ -151,3 +151,45 @@ def test_streaming_history_equals_batch_window(spark, workdir):
         for c in ("hist_mean", "hist_std", "zscore"):
             a, b = getattr(r, c), getattr(e2[k], c)
             assert (a is None and b is None) or abs(a - b) < 1e-6, (k, c, a, b)
+
+
+def test_late_first_deliveries_are_kept_and_marked(spark, workdir):
+    bus = bus_rows(releases(spark, SF_SMALL)).drop("seq")
+    edges = ["2024-01-21", "2024-02-01", "2024-01-11", "2024-01-21", "2024-01-01", "2024-01-11"]
+    for i in range(3):  # the newest part lands first
+        (bus.filter((F.col("timestamp") >= edges[2 * i]) & (F.col("timestamp") < edges[2 * i + 1]))
+            .coalesce(1).write.parquet(f"{workdir}/landing/f{i}"))
+    bus.limit(50).coalesce(1).write.parquet(f"{workdir}/landing/f3")  # and some again
+    _run(spark, workdir)
+    table = VersionedTable(spark, f"{workdir}/out/releases_enriched").scan()
+    want = valid_events(parse_bus(bus)).select("event_id").distinct().count()
+    assert table.count() == want == table.select("event_id").distinct().count()
+    first = table.agg(F.min("batch_id")).first()[0]
+    assert table.filter("is_late").count() == table.filter(F.col("batch_id") > first).count() > 0
+
+
+def test_replay_days_later_adds_no_serving_rows(spark, workdir):
+    fan = FanOut(table=VersionedTable(spark, f"{workdir}/t"),
+                 serving=ParquetServingTarget(f"{workdir}/serving"))
+    batch = enrich(releases(spark, SF_SMALL).limit(200), clock=F.current_timestamp() - F.expr("INTERVAL 2 DAYS"))
+    batch = spark.createDataFrame(batch.collect(), batch.schema)
+    fan(batch, 7)
+    fan(batch, 7)
+    assert spark.read.parquet(f"{workdir}/serving").count() == 200
+
+
+def test_nan_is_no_observation(spark):
+    from releaseflow.operators.history import hist_context
+    rows = [(str(i), "X", float(i) if i != 3 else float("nan"), i) for i in range(1, 6)]
+    df = spark.createDataFrame(rows, "event_id string, indicator string, value double, h int").withColumn(
+        "kafka_ts", F.timestamp_seconds(F.col("h") * 3600)).withColumn("seq", F.col("h").cast("long"))
+    got = {r.event_id: (r.hist_n, r.hist_mean) for r in hist_context(df).collect()}
+    assert got["4"] == (2, 1.5) and got["5"] == (3, 7 / 3)
+
+
+def test_prior_value_follows_the_calendar(spark):
+    from releaseflow.operators.history import prior_from_lag
+    obs = spark.createDataFrame([("R", "2024-Q1", 1.0), ("R", "2024-11", 3.0), ("R", "2024-Q2", 2.0)],
+                                "release_name string, period string, value double")
+    got = {r.period: r.prior_value for r in prior_from_lag(obs).collect()}
+    assert got == {"2024-Q1": None, "2024-Q2": 1.0, "2024-11": 2.0}
