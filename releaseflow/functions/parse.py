@@ -63,7 +63,7 @@ def dead_letters(parsed: DataFrame) -> DataFrame:
     return (parsed.filter(~is_valid() | F.col("payload").isNull())
             .select("kafka_ts", "partition", "offset", "event_id", "payload",
                     dlq_reason().alias("dlq_reason"),
-                    F.when(F.col(CORRUPT).isNull() & F.col("payload").isNotNull(), _missing_list())
+                    F.when(dlq_reason() == "missing_field", _missing_list())
                      .alias("missing_fields")))
 
 

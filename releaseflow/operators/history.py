@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from releaseflow.functions.enrich import period_start
 from releaseflow.operators.rolling import DAY_US, HOUR_US, mean_std, rolling_range_stats, rolling_rows_stats
 
 YEAR_US = 365 * DAY_US
@@ -78,7 +79,7 @@ def first_observations(releases: DataFrame) -> DataFrame:
 def prior_from_lag(observations: DataFrame) -> DataFrame:
     """prior_value = the series' previous observation (by period). The window runs
     over one row per (series, period), bounded by the number of periods."""
-    w = Window.partitionBy("release_name").orderBy("period")
+    w = Window.partitionBy("release_name").orderBy(period_start(F.col("period")), "period")
     return observations.withColumn("prior_value", F.lag("value").over(w))
 
 
@@ -90,8 +91,9 @@ def new_observations(observations: DataFrame, known_keys: DataFrame) -> DataFram
 
 def revision_vintages(releases: DataFrame) -> DataFrame:
     """Per (indicator, period): how many vintages, the first and the latest value
-    (ordered by release_ts, event_id) and the total revision."""
-    order = F.struct(F.col("release_ts"), F.col("event_id"))
+    (ordered by release time, original before revision, event_id) and the total revision."""
+    order = F.struct(F.try_to_timestamp(F.col("release_ts")), F.coalesce("revision", F.lit(False)),
+                     F.col("event_id"))
     return (releases.groupBy("indicator", "period")
             .agg(F.count(F.lit(1)).alias("n_vintages"),
                  F.min_by(F.struct("value", "release_name"), order).alias("_first"),

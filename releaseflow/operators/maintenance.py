@@ -4,9 +4,8 @@
 sorted by the clustering columns, so each output file covers a narrow key
 range and Parquet min/max statistics let filters on those columns skip
 files (the Z-order goal). ``batch_id`` stays a data column, so as-of reads
-on the compacted root still work. The source root is then superseded;
-``retention_candidates``/``vacuum`` find and drop its batches older than the
-retention horizon.
+on the compacted root still work. ``retention_candidates`` reports the batches
+older than the retention horizon; nothing here deletes rows.
 """
 
 from __future__ import annotations
@@ -27,11 +26,11 @@ def compact(table: VersionedTable, target_root: str,
     spark = table.spark
     df = table.scan()
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    # processed_ts and event_id extend the range key so one hot release is split
-    # across many range partitions instead of landing in one task.
-    order = [*cluster_by, "processed_ts", "event_id"]
-    clustered = (df.repartitionByRange(n, *[F.col(c) for c in order])
-                   .sortWithinPartitions(*order))
+    # Ranges start with the folder columns, so a task writes to few folders; event_id splits a hot
+    # release over several ranges.
+    order = [*SINK_PARTITION_COLUMNS, *(c for c in cluster_by if c not in SINK_PARTITION_COLUMNS),
+             "processed_ts", "event_id"]
+    clustered = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
     target = VersionedTable(spark, target_root)
     (clustered.write.mode("overwrite")
         .option("partitionOverwriteMode", "static")
@@ -50,22 +49,3 @@ def retention_candidates(table: VersionedTable, retain_hours: int = RETENTION_HO
     newest = commits.agg(F.max("batch_id").alias("v")).scalar()
     return (commits.filter((F.col("commit_ts") < horizon) & (F.col("batch_id") < newest))
             .select("batch_id", "commit_ts", "num_rows"))
-
-
-def vacuum(table: VersionedTable, retain_hours: int = RETENTION_HOURS,
-           as_of: datetime | str | None = None, dry_run: bool = True) -> list[int]:
-    """Drop the batch directories of a *superseded* root older than the horizon.
-
-    Only the ids (one per batch, small) reach the driver; deletion goes through
-    the cluster's Hadoop file system.
-    """
-    ids = [r.batch_id for r in retention_candidates(table, retain_hours, as_of).select("batch_id").collect()]
-    if dry_run or not ids:
-        return ids
-    jvm = table.spark._jvm  # noqa: SLF001
-    conf = table.spark._jsc.hadoopConfiguration()  # noqa: SLF001
-    for b in ids:
-        for p in (f"{table.data_path}/batch_id={b}", f"{table.commits_path}/batch_id={b}"):
-            path = jvm.org.apache.hadoop.fs.Path(p)
-            path.getFileSystem(conf).delete(path, True)
-    return ids

@@ -41,6 +41,12 @@ def _dec(c: Column) -> Column:
     return c.cast(DEC)
 
 
+def _observed(value_col: str) -> Column:
+    """The value as a double; NaN is no observation, in counts as in sums."""
+    v = F.col(value_col).cast("double")
+    return F.when(~F.isnan(v), v)
+
+
 def _stats(v: Column, w) -> list[Column]:
     return [F.count(v).over(w), F.sum(v).over(w), F.sum(v * v).over(w), F.min(v).over(w), F.max(v).over(w),
             _dec(F.sum(_dec(v)).over(w))]
@@ -49,7 +55,7 @@ def _stats(v: Column, w) -> list[Column]:
 def bucket_summaries(df: DataFrame, keys: Sequence[str], ts_col: str, value_col: str,
                      bucket_us: int = DAY_US) -> DataFrame:
     """Per (key, bucket): n, sum, sumsq, min, max of the value (mergeable partials)."""
-    v = F.col(value_col).cast("double")
+    v = _observed(value_col)
     return (df.groupBy(*keys, F.floor(F.unix_micros(F.col(ts_col)) / F.lit(bucket_us)).alias("bucket"))
             .agg(F.count(v).alias("n"), F.sum(v).alias("sum"), F.sum(v * v).alias("sumsq"),
                  F.min(v).alias("min"), F.max(v).alias("max"), _dec(F.sum(_dec(v))).alias("dsum")))
@@ -82,7 +88,7 @@ def rolling_range_stats(df: DataFrame, keys: Sequence[str], ts_col: str, value_c
     T, B, V, P = "_rr_t", "_rr_b", "_rr_v", "_rr_probe"
     d = (df.withColumn(T, F.unix_micros(F.col(ts_col)))
            .withColumn(B, F.floor(F.col(T) / F.lit(bucket_us)))
-           .withColumn(V, F.col(value_col).cast("double")))
+           .withColumn(V, _observed(value_col)))
 
     own = d.withColumn(P, F.lit(False))
     targets = d if target_col is None else d.filter(F.col(target_col))
@@ -151,7 +157,7 @@ def rolling_rows_stats(df: DataFrame, keys: Sequence[str], ts_col: str, tiebreak
     T, B, V = "_ro_t", "_ro_b", "_ro_v"
     d = (df.withColumn(T, F.unix_micros(F.col(ts_col)))
            .withColumn(B, F.floor(F.col(T) / F.lit(bucket_us)))
-           .withColumn(V, F.col(value_col).cast("double")))
+           .withColumn(V, _observed(value_col)))
     order = [F.col(T)] + [F.col(c) for c in tiebreak]
     v = F.col(V)
 

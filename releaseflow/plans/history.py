@@ -98,10 +98,10 @@ SELECT f.indicator, f.period, f.n AS n_vintages, f.value AS first_value, l.value
        round(l.value - f.value, 6) + 0.0 AS revision_delta
 FROM (SELECT indicator, period, value, release_name,
              CAST(count(*) OVER (PARTITION BY indicator, period) AS BIGINT) AS n,
-             row_number() OVER (PARTITION BY indicator, period ORDER BY release_ts, event_id) AS rn
+             row_number() OVER (PARTITION BY indicator, period ORDER BY release_ts, coalesce(revision, false), event_id) AS rn
       FROM rel) f
 JOIN (SELECT indicator, period, value, release_name,
-             row_number() OVER (PARTITION BY indicator, period ORDER BY release_ts DESC, event_id DESC) AS rn
+             row_number() OVER (PARTITION BY indicator, period ORDER BY release_ts DESC, coalesce(revision, false) DESC, event_id DESC) AS rn
       FROM rel) l
   ON f.indicator = l.indicator AND f.period = l.period AND f.rn = 1 AND l.rn = 1"""))
 def q_revision_vintages(spark, sf_dir):

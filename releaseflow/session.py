@@ -54,14 +54,16 @@ def ensure_utc(spark: SparkSession) -> None:
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder for lineage cuts and derived tables.
 
-    Read from ``spark.checkpoint.dir``; only when the session has none (local
-    tests, the driver's smoke check) a fresh private folder is set, once.
+    Read from ``spark.checkpoint.dir``; only in local mode (tests, smoke checks)
+    may it be unset: a fresh private folder is then set, once.
     """
     sc = spark.sparkContext
     d = sc.getCheckpointDir()
     if not d:
         d = spark.conf.get("spark.checkpoint.dir", None)
         if not d:
+            if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+                raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
             d = tempfile.mkdtemp(prefix="releaseflow-ckpt-")
         sc.setCheckpointDir(d)
         d = sc.getCheckpointDir() or d

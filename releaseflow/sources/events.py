@@ -35,17 +35,6 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def spread_small_input(df: DataFrame) -> DataFrame:
-    """Round-robin an input that arrives in fewer splits than the cluster has
-    cores (a small file with one row group). Large inputs have far more splits
-    than cores and pass through untouched, so this never adds a shuffle at scale."""
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < max(2, cores // 2):
-        return df.repartition(cores)
-    return df
-
-
 def _catalog_lookup(idx: Column) -> tuple[Column, Column, Column]:
     """Catalog as literal arrays: an index lookup inside codegen, no join."""
     names = F.array(*[F.lit(r[0]) for r in RELEASE_CATALOG])
@@ -57,7 +46,6 @@ def _catalog_lookup(idx: Column) -> tuple[Column, Column, Column]:
 
 def release_events(events: DataFrame, lag_bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> DataFrame:
     """Release events (payload fields + kafka_ts, partition, offset, seq)."""
-    events = spread_small_input(events)
     eid = F.col("event_id")
     # props is JSON: parse it once. The one-element inline makes k a generator
     # output, so predicates on values derived from k are not pushed below it

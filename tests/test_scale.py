@@ -4,7 +4,6 @@ from pyspark.sql import functions as F
 
 from releaseflow.operators.maintenance import compact
 from releaseflow.plans.common import enriched
-from releaseflow.sources.events import spread_small_input
 from releaseflow.sources.table import VersionedTable
 
 from conftest import SF_SMALL
@@ -14,13 +13,6 @@ def _plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_small_input_spreading_is_skipped_for_split_inputs(spark, workdir):
-    many = spark.range(0, 100_000, numPartitions=32).withColumn("x", F.col("id") * 2)
-    assert "RoundRobinPartitioning" not in _plan(spread_small_input(many))
-    one = spark.range(0, 100, numPartitions=1)
-    assert "RoundRobinPartitioning" in _plan(spread_small_input(one))
-
-
 def test_compaction_splits_a_hot_release(spark, workdir):
     base = enriched(spark, SF_SMALL).drop("seq")
     # one release with ~90 % of the rows

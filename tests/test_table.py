@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from releaseflow.operators.maintenance import compact, retention_candidates, vacuum
+from releaseflow.operators.maintenance import compact, retention_candidates
 from releaseflow.plans.common import enriched
 from releaseflow.sources.table import VersionedTable
 
@@ -53,9 +53,7 @@ def test_compaction_preserves_rows_and_retention(spark, workdir):
     assert c.as_of_version(1).count() == t.as_of_version(1).count()
     cand = [r.batch_id for r in retention_candidates(t, 24, "2024-01-03 12:00:00").collect()]
     assert cand == [0] or sorted(cand) == [0, 1]
-    dropped = vacuum(t, 24, "2024-01-03 12:00:00", dry_run=False)
-    assert sorted(dropped) == sorted(cand)
-    assert t.scan().filter(F.col("batch_id").isin(dropped)).count() == 0
+    assert t.scan().filter(F.col("batch_id").isin(cand)).count() > 0  # a report: nothing is deleted
 
 
 def test_delta_table_is_gated(spark):
