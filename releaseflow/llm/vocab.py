@@ -11,7 +11,7 @@ import pyarrow.compute
 import regex
 
 #: Pre-tokens kept per Python worker; the cache only saves time.
-CACHE_TOKENS = 400_000
+CACHE_TOKENS = 250_000
 
 #: Fixed value: the pre-token pattern of the byte-level vocabularies.
 SPACE_PREFIX_PATTERN = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+"
