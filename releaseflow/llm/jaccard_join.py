@@ -38,6 +38,7 @@ from pyspark.sql import functions as F
 from releaseflow.llm.components import connected_components, saved
 from releaseflow.llm.groups import runs
 from releaseflow.llm.ship import ship
+from releaseflow.llm.vocab import slices
 from releaseflow.llm.windows import (CELL_SCHEMA, Cells, Words, mix, bucket_count, chunked,
                                      shared_cells, texts_of)
 
@@ -97,11 +98,14 @@ class _Chunk:
         return np.unique(flat, return_inverse=True, return_counts=True)
 
 
-def _describe(key: tuple, docs: pd.DataFrame) -> pd.DataFrame:
-    chunk = _Chunk.of(docs)
-    rows = [(key[0], name, int(n), *chunk.signature(k))
-            for k, (name, n) in enumerate(zip(chunk.ids, np.diff(chunk.edges)))]
-    return pd.DataFrame(rows, columns=["chunk", "id", "n", "s1", "s2"]).astype({"id": "Int64"})
+def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Size and signature of every document's set, where the scan left it."""
+    for part, texts in slices(batches, "text"):
+        chunk = _Chunk.of(pd.DataFrame({"id": part.column("id").to_pylist(), "text": texts}))
+        marks = np.array([chunk.signature(k) for k in range(part.num_rows)], np.int64)
+        yield pa.RecordBatch.from_arrays(
+            [part.column("chunk"), part.column("id"), pa.array(np.diff(chunk.edges)), pa.array(marks[:, 0]),
+             pa.array(marks[:, 1])], names=["chunk", "id", "n", "s1", "s2"])
 
 
 def _offer(buckets: int):
@@ -287,8 +291,9 @@ def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     """``(id, n_shingles, component_id)``, one row per input row."""
     ship(df.sparkSession)
     buckets = bucket_count(df)
-    per_chunk = chunked(df, id_col, text_col).groupBy("chunk")
-    docs = saved(per_chunk.applyInPandas(_describe, "chunk long, id long, n long, s1 long, s2 long"))
+    rows = chunked(df, id_col, text_col)
+    docs = saved(rows.mapInArrow(_describe, "chunk long, id long, n long, s1 long, s2 long"))
+    per_chunk = rows.groupBy("chunk")
 
     able = docs.filter("n > 0 and id is not null")
     # Repeated ids lie in one chunk, so the smallest id brings its own chunk along.
