@@ -1,60 +1,28 @@
-"""SQL access: the serving views as Spark SQL temp views over the enriched table.
+"""SQL access: the serving views as temp views over the enriched table.
 
 ``register_views(spark, enriched)`` exposes ``releases_enriched`` and the four
-views users query today (``latest_by_indicator``, ``recent_high_impact``,
-``fomc_history``, ``surprise_leaderboard``), so their SQL keeps working, for
-example ``SELECT * FROM surprise_leaderboard`` or
+views users query today, each being the report of ``operators.reports`` it names,
+so their SQL keeps working, for example ``SELECT * FROM surprise_leaderboard`` or
 ``SELECT release_name, period, value FROM releases_enriched WHERE is_anomaly``.
-The definitions follow the DataFrame reports in ``operators.reports``:
-DISTINCT ON becomes ``row_number() = 1`` (planned as a ``WindowGroupLimit``),
-``now()`` is a parameter, descending sorts put nulls first as the views did.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-VIEWS = {
-    "latest_by_indicator": """
-        SELECT indicator, release_name, source, period, value, prior_value, surprise_pct,
-               market_impact, value_direction, is_anomaly, processed_ts
-        FROM (SELECT *, row_number() OVER (PARTITION BY indicator
-                                           ORDER BY processed_ts DESC, event_id) AS rn
-              FROM releases_enriched)
-        WHERE rn = 1""",
-    "recent_high_impact": """
-        SELECT release_name, source, indicator, period, value, prior_value, surprise_pct,
-               value_direction, anomaly_reason, processed_ts
-        FROM releases_enriched
-        WHERE market_impact = 'HIGH' AND processed_ts > {now} - INTERVAL {days} DAYS
-        ORDER BY processed_ts DESC NULLS FIRST""",
-    "fomc_history": """
-        SELECT period, value AS fed_funds_rate, prior_value AS prior_rate,
-               round(value - coalesce(prior_value, value), 2) + 0.0 AS rate_change_pp,
-               round((value - coalesce(prior_value, value)) * 100, 2) + 0.0 AS rate_change_bps,
-               value_direction AS direction, surprise_pct, processed_ts
-        FROM releases_enriched
-        WHERE release_name = 'FOMC_RATE_DECISION'
-        ORDER BY period DESC NULLS FIRST""",
-    "surprise_leaderboard": """
-        SELECT release_name, source, count(*) AS n_releases,
-               round(avg(abs(surprise_pct)), 2) AS mean_abs_surprise,
-               round(max(abs(surprise_pct)), 2) AS max_abs_surprise,
-               CAST(sum(CASE WHEN surprise_pct > 0 THEN 1 ELSE 0 END) AS BIGINT) AS beats,
-               CAST(sum(CASE WHEN surprise_pct < 0 THEN 1 ELSE 0 END) AS BIGINT) AS misses,
-               CAST(sum(CASE WHEN is_anomaly THEN 1 ELSE 0 END) AS BIGINT) AS anomalies
-        FROM releases_enriched
-        WHERE surprise_pct IS NOT NULL
-        GROUP BY release_name, source
-        ORDER BY mean_abs_surprise DESC NULLS FIRST""",
-}
+from releaseflow.operators import reports
 
 
 def register_views(spark: SparkSession, enriched: DataFrame, as_of: str | None = None,
                    recent_days: int = 90) -> list[str]:
     """Register ``releases_enriched`` and the serving views as temp views; return their names."""
-    enriched.createOrReplaceTempView("releases_enriched")
-    now = "current_timestamp()" if as_of is None else f"TIMESTAMP '{as_of}'"
-    for name, sql in VIEWS.items():
-        spark.sql(f"CREATE OR REPLACE TEMP VIEW {name} AS {sql.format(now=now, days=int(recent_days))}")
-    return ["releases_enriched", *VIEWS]
+    views = {
+        "releases_enriched": enriched,
+        "latest_by_indicator": reports.latest_by_indicator(enriched),
+        "recent_high_impact": reports.recent_high_impact(enriched, recent_days, as_of),
+        "fomc_history": reports.fomc_rate_change(enriched),
+        "surprise_leaderboard": reports.surprise_leaderboard(enriched),
+    }
+    for name, view in views.items():
+        view.createOrReplaceTempView(name)
+    return list(views)

@@ -99,8 +99,10 @@ class StreamingHistory:
         """
         slim = self._slim(batch)
         lo, hi = slim.agg(F.min("bucket"), F.max("bucket")).first()
-        if lo is None:
-            return slim.limit(0)
+        if lo is None:  # no rows, but the same columns as other batches
+            none = rolling_range_stats(slim.drop("bucket"), [self.key], "kafka_ts", "value", [self.id_col],
+                                       self.window_us, self.bucket_us)
+            return zscore_columns(none, "hist_", keep_min_max=True)
         lo, hi, m = int(lo), int(hi), self.m
         # The bucket before the batch stays open (summarised from raw rows) so a
         # row up to one bucket late never leaves a stale closed summary behind.

@@ -193,3 +193,14 @@ def test_prior_value_follows_the_calendar(spark):
                                 "release_name string, period string, value double")
     got = {r.period: r.prior_value for r in prior_from_lag(obs).collect()}
     assert got == {"2024-Q1": None, "2024-Q2": 1.0, "2024-11": 2.0}
+
+
+def test_history_of_an_empty_batch_has_every_column(spark, workdir):
+    from releaseflow.streaming.history import StreamingHistory
+
+    good = enrich(valid_events(parse_bus(bus_rows(releases(spark, SF_SMALL)).drop("seq"))))
+    hist = StreamingHistory(spark, f"{workdir}/hist_state")
+    empty = hist.process(good.filter("false"), 0)
+    assert empty.count() == 0
+    full = hist.process(good.limit(20), 1)
+    assert dict(empty.dtypes) == dict(full.dtypes)
