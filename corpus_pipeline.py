@@ -6,7 +6,8 @@ returns the columns of documents (the last one: packed pieces). ``run`` writes e
 stage's result as Parquet in the shared folder and reads it again.
 
 Null texts: rejected by the first stage as having no language. Extra columns pass
-through; repeated rows are copies, of which one stays.
+through, also under names that the operators use for their results; repeated rows
+are copies, of which one stays.
 """
 
 from __future__ import annotations
@@ -25,7 +26,9 @@ ORACLE_SQL = None
 def keep_known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language the model is sure enough of."""
     model = langid.fit_languages(docs)
-    return langid.predict_languages(docs, model).filter(~F.col("rejected")).select(docs.columns)
+    places = [f"in_{k}" for k in range(len(docs.columns))]  # the caller's names meet none of the operator's
+    judged = langid.predict_languages(docs.toDF(*places), model, places[docs.columns.index("text")])
+    return judged.filter(~F.col("rejected")).select(places).toDF(*docs.columns)
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,8 +42,8 @@ def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without words of passages that occur earlier; texts without any stay as they are."""
     cut = substring_dedup.strip_repeats(docs).filter("n_removed > 0").select(
-        "doc_id", "kept_text").dropDuplicates(["doc_id"])
-    text = F.coalesce("kept_text", "text")
+        "doc_id", F.struct("kept_text").alias("__cut")).dropDuplicates(["doc_id"])
+    text = F.coalesce("__cut.kept_text", "text")
     joined = docs.join(cut, "doc_id", "left").withColumn("text", text)
     return joined.withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
 

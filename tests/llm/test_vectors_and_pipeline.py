@@ -132,6 +132,22 @@ def test_pipeline_stages(spark):
     assert corpus_pipeline.ORACLE_SQL is None and len(corpus_pipeline.STAGES) == 5
 
 
+def test_pipeline_stages_keep_columns_of_clashing_names(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    mine = {c: F.concat(F.lit(f"{c} "), F.col("doc_id").cast("string")) for c in (
+        "lang_pred", "score", "rejected", "kept_text", "n_removed", "component_id", "spans", "blob", "id", "chunk")}
+    seen = docs.select("*", *(v.alias(c) for c, v in mine.items()))
+    columns = seen.columns
+    for name, stage in corpus_pipeline.STAGES[:4]:
+        path = scratch_path(spark, f"test-clash-{name}", unique=True)
+        stage(spark, seen, SF).write.parquet(path)
+        seen = spark.read.parquet(path)
+        assert seen.columns == columns
+        for c, v in mine.items():
+            assert seen.filter(~F.col(c).eqNullSafe(v)).count() == 0, (name, c)
+    assert seen.count() > 0
+
+
 def test_pipeline_run_is_registered(spark):
     assert entry.queries()["pipeline"](spark, SF).columns == [
         "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
