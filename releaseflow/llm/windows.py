@@ -17,10 +17,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 CHUNK_DOCS = 256
+#: Stretches of the id range, told apart by quantiles; within one, ids are taken as evenly spread.
+STRETCHES = 256
 CELL_BITS = 26
 _STEP = 0xFFFF
 
@@ -86,13 +88,33 @@ class Words:
         return np.repeat(np.arange(len(self.start) - 1), np.diff(self.start))
 
 
+def _stretches(df: DataFrame, id_col: str) -> list[tuple[int, int, int]]:
+    """``(first id, id width of a chunk, first chunk)`` of stretches with equal shares of the rows."""
+    shares = [k / STRETCHES for k in range(1, STRETCHES)]
+    low, high, n, inner = df.agg(F.min(id_col).cast("long"), F.max(id_col).cast("long"), F.count(id_col),
+                                 F.percentile_approx(F.col(id_col).cast("long"), shares)).first()
+    if not n:
+        return [(0, 1, 0)]
+    step = max(1, -(-STRETCHES * CHUNK_DOCS // n))  # a small table needs fewer stretches
+    edges = sorted({low, *inner[step - 1::step]})
+    per = max(1, round(n / len(edges) / CHUNK_DOCS))
+    return [(lo, -(-(hi - lo) // per), per * k) for k, (lo, hi) in enumerate(zip(edges, [*edges[1:], high + 1]))]
+
+
 def chunked(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``(chunk, id, text)``; chunks follow the order of ids, null ids come first."""
-    span = df.agg(F.min(id_col), F.max(id_col), F.count(F.lit(1))).first()
-    width = CHUNK_DOCS
-    if span[0] is not None:
-        width = max(1, -(-CHUNK_DOCS * (span[1] - span[0] + 1) // span[2]))
-    chunk = F.floor(F.col(id_col) / F.lit(width).cast("decimal(20,0)")).cast("long")
+    """``(chunk, id, text)``; chunks follow the order of ids, null ids come first.
+
+    Quantiles of the ids cut the table into stretches of equal shares, so a few ids
+    far from all others don't widen the chunks of the rest.
+    """
+    def number(x: int) -> Column:
+        return F.lit(str(x)).cast("decimal(20,0)")
+
+    known = F.array(*(F.struct(number(lo).alias("lo"), number(width).alias("width"), F.lit(k).cast("long").alias("k"))
+                      for lo, width, k in _stretches(df, id_col)))
+    own = F.col(id_col).cast("decimal(20,0)")
+    at = F.slice(F.filter(known, lambda s: s["lo"] <= own), -1, 1)
+    chunk = F.get(F.transform(at, lambda s: s["k"] + F.floor((own - s["lo"]) / s["width"]).cast("long")), 0)
     nulls = F.pmod(F.xxhash64(text_col), F.lit(4096)) - F.lit(1 << 62)
     return df.select(F.coalesce(chunk, nulls).alias("chunk"), F.col(id_col).cast("long").alias("id"),
                      F.col(text_col).alias("text"))

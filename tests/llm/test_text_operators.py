@@ -189,6 +189,16 @@ def test_substring_dedup_equals_brute_force(spark, monkeypatch):
     assert substring_dedup.strip_repeats(table(spark, [])).count() == 0
 
 
+def test_far_ids_leave_chunks_small_and_in_order(spark):
+    docs = spark.range(20_000).selectExpr("id AS doc_id", "'x' AS text")
+    far = spark.createDataFrame([(2**62, "a"), (-2**63, "b"), (2**63 - 1, "c"), (None, "d")], docs.schema)
+    rows = windows.chunked(docs.union(far), "doc_id", "text").filter("id is not null").groupBy("chunk").agg(
+        F.count("id").alias("n"), F.min("id").alias("low"), F.max("id").alias("high")).orderBy("chunk").collect()
+    assert sum(r.n for r in rows) == 20_003 and max(r.n for r in rows) <= 4 * windows.CHUNK_DOCS
+    assert all(a.high < b.low for a, b in zip(rows, rows[1:]))
+    assert windows.chunked(far.filter("doc_id is null"), "doc_id", "text").filter("chunk is null").isEmpty()
+
+
 def test_cells_survive_packing():
     cells = np.sort(np.random.default_rng(2).integers(0, 1 << windows.CELL_BITS, 300))
     assert (windows.unpack_cells(windows.pack_cells(cells)) == cells).all()
