@@ -191,7 +191,7 @@ def test_substring_dedup_equals_brute_force(spark, monkeypatch):
 
 def test_far_ids_leave_chunks_small_and_in_order(spark):
     docs = spark.range(20_000).selectExpr("id AS doc_id", "'x' AS text")
-    far = spark.createDataFrame([(2**62, "a"), (-2**63, "b"), (2**63 - 1, "c"), (None, "d")], docs.schema)
+    far = spark.createDataFrame([(2**62, "a"), (-2**63, "b"), (2**63 - 1, "c"), (None, "d")], "doc_id long, text string")
     rows = windows.chunked(docs.union(far), "doc_id", "text").filter("id is not null").groupBy("chunk").agg(
         F.count("id").alias("n"), F.min("id").alias("low"), F.max("id").alias("high")).orderBy("chunk").collect()
     assert sum(r.n for r in rows) == 20_003 and max(r.n for r in rows) <= 4 * windows.CHUNK_DOCS
