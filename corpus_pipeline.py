@@ -41,11 +41,8 @@ def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without words of passages that occur earlier; texts without any stay as they are."""
-    cut = substring_dedup.strip_repeats(docs).filter("n_removed > 0").select(
-        "doc_id", F.struct("kept_text").alias("__cut")).dropDuplicates(["doc_id"])
-    text = F.coalesce("__cut.kept_text", "text")
-    joined = docs.join(cut, "doc_id", "left").withColumn("text", text)
-    return joined.withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
+    out = substring_dedup.cut_repeats(docs)
+    return out.withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
 
 
 def hide_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

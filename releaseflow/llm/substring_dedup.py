@@ -20,8 +20,11 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import StringType, StructField, StructType
 
 from releaseflow.llm.ship import ship
 from releaseflow.llm.windows import (CELL_SCHEMA, Cells, Words, bucket_count, chunked, in_order,
@@ -89,33 +92,53 @@ def _met_before(rows: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(out, columns=["chunk", "hashes"])
 
 
-def _strip(key: tuple, docs: pd.DataFrame, before: pd.DataFrame) -> pd.DataFrame:
-    docs = in_order(docs)
+def _kept(docs: pd.DataFrame, before: list[bytes]) -> list[tuple[int, int, str]]:
+    """``(words, words removed, words kept)`` of a chunk's documents, which are in order."""
     words = Words.of(texts_of(docs))
     hashes, at = words.windows(WINDOW), np.flatnonzero(words.fits(WINDOW))
     _, first, inv = np.unique(hashes[at], return_index=True, return_inverse=True)
     repeat = first[inv] != np.arange(len(at))
-    if len(before):
-        repeat |= np.isin(hashes[at], np.frombuffer(b"".join(before["hashes"]), np.uint64))
+    if before:
+        repeat |= np.isin(hashes[at], np.frombuffer(b"".join(before), np.uint64))
     starts = np.zeros(len(hashes) + 1, np.int64)
     starts[at[repeat] + 1] = 1
     starts = np.cumsum(starts)
     here = np.arange(len(hashes))
     gone = starts[here + 1] > starts[np.maximum(here - WINDOW + 1, 0)]
     out = []
-    for row, (lo, hi) in enumerate(zip(words.start, words.start[1:])):
+    for lo, hi in zip(words.start, words.start[1:]):
         drop = gone[lo:hi]
         kept = words.words[lo:hi]
         if drop.any():
             kept = [w for w, d in zip(kept, drop.tolist()) if not d]
-        out.append((docs["id"][row], hi - lo, int(drop.sum()),
-                    b" ".join(kept).decode("utf-8", "surrogatepass")))
-    out = pd.DataFrame(out, columns=["id", "n_words", "n_removed", "kept_text"])
+        out.append((hi - lo, int(drop.sum()), b" ".join(kept).decode("utf-8", "surrogatepass")))
+    return out
+
+
+def _strip(key: tuple, docs: pd.DataFrame, before: pd.DataFrame) -> pd.DataFrame:
+    docs = in_order(docs)
+    kept = _kept(docs, list(before["hashes"]))
+    out = pd.DataFrame([(i, *k) for i, k in zip(docs["id"], kept)], columns=["id", "n_words", "n_removed", "kept_text"])
     return out.astype({"id": "Int64"})
 
 
-def strip_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(id, n_words, n_removed, kept_text)``; kept words joined by one blank."""
+def _cut(row_type: pa.DataType):
+    """Every row as it came, with its text without the repeats; a text without any stays as it is."""
+
+    def run(docs: pa.Table, before: pa.Table) -> pa.Table:
+        frame = docs.select(["id", "text"]).to_pandas()
+        frame["at"] = np.arange(len(frame))
+        frame = in_order(frame)
+        texts = [kept if removed else text for text, (_, removed, kept) in
+                 zip(texts_of(frame), _kept(frame, before.column("hashes").to_pylist()))]
+        rows = docs.column("row").take(pa.array(frame["at"])).cast(row_type)
+        return pa.table({"row": rows, "cut": pa.array(texts, pa.string())})
+
+    return run
+
+
+def _met_passages(df: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+    """The chunks' documents, and per chunk the window hashes that a chunk before it has too."""
     ship(df.sparkSession)
     buckets = bucket_count(df)
     docs = chunked(df, id_col, text_col)
@@ -123,7 +146,26 @@ def strip_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     answers = shared_cells(per_chunk.applyInPandas(_probe(buckets), CELL_SCHEMA))
     repeats = per_chunk.cogroup(answers.groupBy("chunk")).applyInPandas(
         _around_hits(buckets), "bucket int, chunk long, hashes binary")
-    before = repeats.groupBy("bucket").applyInPandas(_met_before, "chunk long, hashes binary")
-    out = per_chunk.cogroup(before.groupBy("chunk")).applyInPandas(
+    return docs, repeats.groupBy("bucket").applyInPandas(_met_before, "chunk long, hashes binary")
+
+
+def strip_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``(id, n_words, n_removed, kept_text)``; kept words joined by one blank."""
+    docs, before = _met_passages(df, id_col, text_col)
+    out = docs.groupBy("chunk").cogroup(before.groupBy("chunk")).applyInPandas(
         _strip, "id long, n_words long, n_removed long, kept_text string")
     return out.withColumnRenamed("id", id_col).select(F.col(id_col), "n_words", "n_removed", "kept_text")
+
+
+def cut_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``df`` with the repeats cut out of its texts; texts without any stay as they are.
+
+    Rows travel whole beside their texts, so ids may be null or shared.
+    """
+    _, before = _met_passages(df, id_col, text_col)
+    row = F.struct(*(F.col(f"`{c}`") for c in df.columns if c != text_col)).alias("row")
+    docs = chunked(df, id_col, text_col, row)
+    out = docs.groupBy("chunk").cogroup(before.groupBy("chunk")).applyInArrow(
+        _cut(to_arrow_type(docs.schema["row"].dataType)),
+        StructType([StructField("row", docs.schema["row"].dataType), StructField("cut", StringType())]))
+    return out.select(*((F.col("cut") if c == text_col else F.col(f"row.`{c}`")).alias(c) for c in df.columns))

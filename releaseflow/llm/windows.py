@@ -101,8 +101,8 @@ def _stretches(df: DataFrame, id_col: str) -> list[tuple[int, int, int]]:
     return [(lo, -(-(hi - lo) // per), per * k) for k, (lo, hi) in enumerate(zip(edges, [*edges[1:], high + 1]))]
 
 
-def chunked(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``(chunk, id, text)``; chunks follow the order of ids, null ids come first.
+def chunked(df: DataFrame, id_col: str, text_col: str, *more: Column) -> DataFrame:
+    """``(chunk, id, text)`` and ``more``; chunks follow the order of ids, null ids come first.
 
     Quantiles of the ids cut the table into stretches of equal shares, so a few ids
     far from all others don't widen the chunks of the rest.
@@ -117,7 +117,7 @@ def chunked(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     chunk = F.get(F.transform(at, lambda s: s["k"] + F.floor((own - s["lo"]) / s["width"]).cast("long")), 0)
     nulls = F.pmod(F.xxhash64(text_col), F.lit(4096)) - F.lit(1 << 62)
     return df.select(F.coalesce(chunk, nulls).alias("chunk"), F.col(id_col).cast("long").alias("id"),
-                     F.col(text_col).alias("text"))
+                     F.col(text_col).alias("text"), *more)
 
 
 def in_order(docs: pd.DataFrame) -> pd.DataFrame:

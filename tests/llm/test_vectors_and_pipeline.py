@@ -157,3 +157,24 @@ def test_language_model_is_deterministic():
     sample = [("en", "the cat and the dog"), ("fr", "le chat et le chien")] * 10
     a, b = langid.train(sample), langid.train(sample)
     assert (a.weights == b.weights).all()
+
+
+def documents(spark, rows):
+    """Rows ``(doc_id, text)`` with the other columns of documents and one more."""
+    schema = spark.read.parquet(f"{SF}/documents.parquet").schema
+    frame = spark.createDataFrame([(*r, k) for k, r in enumerate(rows)], "doc_id long, text string, at int")
+    more = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema if f.name not in ("doc_id", "text")]
+    return frame.select("doc_id", "text", *more, "at")
+
+
+def test_passages_of_repeated_rows_shared_and_null_ids(spark):
+    passage, other, third = (" ".join(f"{c}{k}" for k in range(25)) for c in "abc")
+    rows = [(1, passage), (1, passage), (2, f"own  {other}"), (2, "short\ttext"), (3, f"x {other} y"),
+            (None, third), (None, third), (4, f"{third} end"), (None, None)]
+    got = corpus_pipeline.drop_repeated_passages(spark, documents(spark, rows), SF)
+    assert got.columns == documents(spark, rows).columns
+    text = {r.at: r.text for r in got.collect()}
+    assert len(text) == len(rows) and got.filter("n_chars <> length(text)").isEmpty()
+    assert sorted([text[0], text[1]]) == ["", passage]  # the first copy stays whole
+    assert sorted([text[5], text[6]]) == ["", third]
+    assert [text[k] for k in (2, 3, 4, 7, 8)] == [f"own  {other}", "short\ttext", "x y", "end", None]
