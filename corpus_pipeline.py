@@ -13,10 +13,11 @@ are copies, of which one stays.
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from releaseflow.llm import jaccard_join, langid, packing, secret_ledger, substring_dedup
+from releaseflow.llm.components import saved
 from releaseflow.session import scratch_path
 
 #: SQL cannot express the language model or the packing; tests hold run() against brute force.
@@ -32,11 +33,23 @@ def keep_known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The smallest id of each component of near duplicates; one row of repeated ids."""
-    comp = jaccard_join.jaccard_components(docs).filter("doc_id = component_id").select("doc_id").distinct()
-    first = Window.partitionBy("doc_id").orderBy("text")
-    kept = docs.join(comp, "doc_id").withColumn("__row", F.row_number().over(first)).filter("__row = 1")
-    return kept.select(docs.columns).union(docs.filter("doc_id is null"))
+    """The row of the smallest id (null last) of each component of near duplicates.
+
+    Rows are joined by a surrogate of id and text, so texts that share an id, or have
+    none, are documents of their own; rows equal in both are copies.
+    """
+    sid = F.xxhash64("doc_id", "text").alias("sid")
+    rows = docs.select(sid, F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
+    comp = jaccard_join.jaccard_components(docs.select(sid, "text"), "sid")
+    comp = saved(comp.select("sid", "component_id").distinct())
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "sid")
+    # Only documents that are linked need their ids compared.
+    linked = comp.filter("sid <> component_id").select("component_id").distinct()
+    members = comp.join(linked, "component_id")
+    ids = rows.select("sid", "row.doc_id").join(members, "sid")
+    first = ids.groupBy("component_id").agg(F.min(order).alias("first")).select(F.col("first.sid").alias("sid"))
+    gone = members.select("sid").join(first, "sid", "left_anti")
+    return rows.join(gone, "sid", "left_anti").dropDuplicates(["sid"]).select("row.*")
 
 
 def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -178,3 +178,16 @@ def test_passages_of_repeated_rows_shared_and_null_ids(spark):
     assert sorted([text[0], text[1]]) == ["", passage]  # the first copy stays whole
     assert sorted([text[5], text[6]]) == ["", third]
     assert [text[k] for k in (2, 3, 4, 7, 8)] == [f"own  {other}", "short\ttext", "x y", "end", None]
+
+
+def test_one_of_each_with_shared_and_null_ids(spark):
+    a, b, c, d = (" ".join(f"{x}{k}" for k in range(30)) for x in "abcd")
+    rows = [(1, a), (1, b), (1, a), (2, f"{b} more"), (3, c), (None, c), (None, d), (None, d), (None, f"{d} more"),
+            (4, ""), (5, None), (None, None), (None, None), (5, "")]
+    got = corpus_pipeline.keep_one_of_each(spark, documents(spark, rows), SF)
+    assert got.columns == documents(spark, rows).columns
+    kept = sorted(((r.doc_id, r.text) for r in got.collect()), key=repr)
+    assert (None, d) in kept or (None, f"{d} more") in kept
+    assert [k for k in kept if not (k[0] is None and k[1])] == sorted(
+        [(1, a), (1, b), (3, c), (4, ""), (5, None), (None, None), (5, "")], key=repr)
+    assert sum(k[0] is None and bool(k[1]) for k in kept) == 1
