@@ -42,8 +42,8 @@ _IP = rf"^{_OCTET}(?:\.{_OCTET}){{3}}$"
 def _valid(kind: str, match: Column) -> Column:
     digits = F.regexp_replace(match, "[^0-9]", "")
     if kind == "ip":
-        # Leading zeros are dropped first, so that the octet rule needs no backtracking.
-        return F.regexp_replace(match, r"(?<![0-9])0++(?=[0-9])", "").rlike(_IP)
+        # Leading zeros are dropped first; of a part of zeros alone, one stays.
+        return F.regexp_replace(match, r"(?<![0-9])0+(?=[0-9])", "").rlike(_IP)
     if kind == "card":
         return F.length(digits).between(12, 19) & F.call_function("luhn_check", digits)
     if kind == "phone":

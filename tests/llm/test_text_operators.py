@@ -356,3 +356,13 @@ def test_language_id_of_awkward_rows(spark):
     none = langid.fit_languages(table(spark, ["a"]).withColumn("lang", F.lit(None).cast("string")))
     assert none.predict("some text") == ("und", 0.0, True)
     assert langid.predict_languages(table(spark, []), model).count() == 0
+
+
+# -- round 2 -------------------------------------------------------------------------------------
+
+
+def test_addresses_with_parts_of_zeros_alone(spark):
+    texts = ["192.168.000.001 10.00.0.1", "000.000.000.000", "00.256.0.1 0000256.0.0.0", "0" * 3000 + ".0.0.00"]
+    got = pii.personal_data(table(spark, texts)).select("doc_id", spans.joined(F.col("base"))).collect()
+    assert {r[0]: r[1] for r in got} == {i: base_spans(t, PII_BASE) for i, t in enumerate(texts)}
+    assert {r[0]: r[1].count("ip:") for r in got} == {0: 2, 1: 1, 2: 0, 3: 1}
