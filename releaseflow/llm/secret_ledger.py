@@ -18,17 +18,26 @@ from pyspark.sql import functions as F
 from releaseflow.llm.components import saved
 from releaseflow.llm.spans import SPAN, find, masked, pieces, searchable
 
-RULE_VERSION = 1
+RULE_VERSION = 2
 BASE = ("assign", "access", "hex")
 KINDS = (*BASE, "private_key", "web_token", "service_token")
 MASK = "[SECRET]"
 
 _NAME = r"(?i:password|passwd|secret|token|api_?key)[\"']?\x20*+[:=]\x20*+[\"']?"
+_GAP, _EOL, _BASE64 = r"(?:\s|\\[nrt])", r"(?:\r?\n|(?:\\r)?\\n)", "[A-Za-z0-9+/]"
+_KEY = r"[A-Z ]{0,40}PRIVATE KEY(?: BLOCK)?-----"
+_KEY_END = f"-----END {_KEY}"
+#: What follows the first line of a key: all up to its last line if that is a key's body, or else the run of base64 lines.
+_KEY_BODY = (
+    rf"(?:(?:[A-Za-z0-9+/=\s]++|\\[nrt])*+{_KEY_END}"
+    rf"|(?=(?:(?!-----)[\s\S]){{0,400}}?{_BASE64}{{16}})[^-]*+(?:-(?!----)[^-]*+)*+{_KEY_END}"
+    rf"|(?:{_GAP}*+[A-Z][A-Za-z-]{{2,40}}:\x20[^\n\\]*+)*+"
+    rf"(?:{_GAP}*+{_BASE64}{{16,}}+={{0,2}}|{_EOL}[\x20\t]*+{_BASE64}++={{0,2}}(?=[\x20\t]*+(?:{_EOL}|\z)))++)?+")
 _PATTERNS = {
     "assign": _NAME + r"[A-Za-z0-9+/_.=-]++",
     "access": r"AKIA[A-Z0-9]++",
     "hex": r"(?<![0-9a-f])[0-9a-f]{24,}+",
-    "private_key": r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----",
+    "private_key": f"-----BEGIN {_KEY}{_KEY_BODY}",
     "web_token": r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{12,}+\.eyJ[A-Za-z0-9_-]{12,}+\.[A-Za-z0-9_-]{16,}+",
     "service_token": r"(?<![A-Za-z0-9_])(?:gh[pousr]_[A-Za-z0-9]{36}|xox[abprs]-[A-Za-z0-9-]{24,}+)",
 }

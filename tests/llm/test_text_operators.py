@@ -366,3 +366,27 @@ def test_addresses_with_parts_of_zeros_alone(spark):
     got = pii.personal_data(table(spark, texts)).select("doc_id", spans.joined(F.col("base"))).collect()
     assert {r[0]: r[1] for r in got} == {i: base_spans(t, PII_BASE) for i, t in enumerate(texts)}
     assert {r[0]: r[1].count("ip:") for r in got} == {0: 2, 1: 1, 2: 0, 3: 1}
+
+
+def test_private_keys_go_with_their_bodies(spark):
+    rng = random.Random(6)
+    body = ["".join(rng.choices("ABCDEFabcdef0123456789+/", k=n)) for n in (64, 64, 64, 30)]
+    begin, end = "-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----"
+    lines, header = "\n".join(body), "Proc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,0123ABCD\n\n"
+    cases = [(f"see {begin}\n{lines}==\n{end} there", "see [SECRET] there"),
+             (f"{begin}\r\n{lines}\r\n{end}\r\nmore", "[SECRET]\r\nmore"),
+             (f"{begin} {' '.join(body)} {end} more words", "[SECRET] more words"),
+             (f"{begin}\n{header}{lines}\n{end}.", "[SECRET]."),
+             (f"{begin}\n{header}{lines}", "[SECRET]"),
+             (f'k: "{begin}\\n' + "\\n".join(body) + f'\\n{end}\\n"', 'k: "[SECRET]\\n"'),
+             (f"{begin}\n{lines}\nThe text goes on.", "[SECRET]\nThe text goes on."),
+             (f"{begin} {' '.join(body[:3])} The text goes on.", "[SECRET] The text goes on."),
+             (f"{begin}\nabc+\nQ==\n{end}", "[SECRET]"), (f"{begin}\nMIIabc\nQUJD", "[SECRET]"),
+             (f"a line {begin} opens a key, and {end} ends it.", f"a line [SECRET] opens a key, and {end} ends it."),
+             (f"{begin}\n{lines}\n{end}\n{begin}\n{lines}\n{end}\nx", "[SECRET]\n[SECRET]\nx"),
+             (f"{begin}\n" + "\n".join(body[:1] * 20_000) + f"\n{end}", "[SECRET]"),
+             (f"{begin} " * 5000, "[SECRET] " * 5000)]
+    docs = table(spark, [text for text, _ in cases])
+    got = {r.doc_id: r.text for r in secret_ledger.mask_secrets(docs).collect()}
+    for k, (_, want) in enumerate(cases):
+        assert got[k] == want, k
