@@ -61,3 +61,17 @@ def masked(text: Column, spans: Column, mask: str) -> Column:
 
     return F.aggregate(spans, begin, step, lambda acc: F.concat(
         acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
+
+
+def blanked(text: Column, spans: Column, filler: str) -> Column:
+    """``text`` with every character covered by sorted spans replaced by ``filler``."""
+    begin = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+
+    def step(acc: Column, s: Column) -> Column:
+        begin = F.greatest(acc["at"], s["start"])
+        gap = F.substring(text, acc["at"] + 1, begin - acc["at"])
+        over = F.repeat(F.lit(filler), F.greatest(s["end"] - begin, F.lit(0)))
+        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.concat(acc["out"], gap, over).alias("out"))
+
+    return F.aggregate(spans, begin, step, lambda acc: F.concat(
+        acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))

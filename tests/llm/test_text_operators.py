@@ -390,3 +390,20 @@ def test_private_keys_go_with_their_bodies(spark):
     got = {r.doc_id: r.text for r in secret_ledger.mask_secrets(docs).collect()}
     for k, (_, want) in enumerate(cases):
         assert got[k] == want, k
+
+
+def test_patterns_find_spaced_short_and_second_hop_identifiers(spark):
+    seeds = [f"Please call me +1 (555) 010-{1000 + k} today" for k in range(12)]
+    far = "x" * 5000
+    seeds += [f"{far} reach us +1 (555) 020-{1000 + k}" for k in range(12)]
+    unseen = ["555 017 7221", "(555) 017-7221", "555.017.7222", "4711", "ab12cd", "[12] 34 - 56"]
+    texts = [*seeds, *(f"Please call me {u}, thanks" for u in unseen), f"{far} reach us 77 88",
+             *(f"member number {u}" for u in [*unseen[:5], "99 11 22"]), "number 3 of 10.0.0.1 4 left",
+             "we sold 1234567 items", "we sold 7654321 items"]
+    got = {r.doc_id: r for r in pii.personal_data(table(spark, texts)).collect()}
+    found = {i: [s.text for s in r.spans if s.kind == "context"] for i, r in got.items()}
+    n = len(seeds)
+    assert [found[n + k] for k in range(6)] == [[u] for u in unseen]
+    assert found[n + 6] == ["77 88"]
+    assert found[n + 12] == ["99 11 22"]  # under a pattern that only found identifiers support
+    assert not any(found[k] for k in [*range(n), *range(n + 13, n + 16)])
