@@ -7,9 +7,11 @@ and go, unless the whole page is a copy of its neighbour.
 
 Differencing alone deletes articles that two pages share and keeps furniture that
 differs from page to page, so the page's own markup has the first word: elements
-that are furniture by their tag, role or class go, and inside an ``article`` (or
-else ``main``) element every other line stays. Differencing decides over pages
-without such an element.
+that are furniture by their tag, or by a whole class or role token (or id, outside
+an article), go, and inside an ``article`` (or else ``main``) element every other
+line stays. Where a furniture word is only part of a name ("share-prices"), a block
+is suspect: its lines go if the neighbour shares them. Differencing decides over
+pages without such an element.
 
 The order of paths comes from a range partitioning of hosts and paths alone, so a
 host of any size is spread over many tasks; neighbours exchange hashes of lines.
@@ -52,6 +54,11 @@ _WORDS = frozenset("ad ads advert advertisement adverts alert banner breadcrumb
                    "masthead menu modal nav navbar navigation newsletter notice notification pager pagination "
                    "popup promo related search share sharing sidebar signup social sponsor sponsored subscribe "
                    "toolbar widget".split())
+#: Words beside which a furniture word still makes up a whole name ("share-bar").
+_LAYOUT = frozenset("area bar block bottom box button buttons column container desktop fixed footer global group "
+                    "header icon icons inner item items left link links list main mobile outer page panel primary "
+                    "right row secondary section site sticky title top wrap wrapper".split())
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: Elements whose class may name what they merely contain.
 _FRAMES = frozenset("html body main article".split())
 _COMMENT_WORDS = frozenset("ad advert comment comments promo related sponsored teaser".split())
@@ -72,24 +79,40 @@ class Line:
     article: bool
     main: bool
     furniture: bool
+    suspect: bool = False
 
 
-def _is_furniture(tag: str, attrs: str, in_article: bool) -> bool:
+def _judged(tag: str, attrs: str, in_article: bool) -> tuple[bool, bool]:
+    """Whether an element is furniture, and whether it is suspect."""
     if tag in _FURNITURE and not (tag == "header" and in_article):
-        return True
+        return True, False
     if not attrs:
-        return False
+        return False, False
     if _HIDDEN.search(attrs):
-        return True
-    named = {w for m in _ATTR.finditer(attrs)
-             for w in re.split(r"[^a-z0-9]+", (m[2] or m[3] or m[4] or "").lower())}
-    return bool(named & (_COMMENT_WORDS if tag in _FRAMES else _WORDS))
+        return True, False
+    return _by_name(tag, attrs, in_article)
+
+
+def _by_name(tag: str, attrs: str, in_article: bool) -> tuple[bool, bool]:
+    """Whether a class, role or id names furniture, and whether one has a furniture word in it."""
+    words = _COMMENT_WORDS if tag in _FRAMES else _WORDS
+    whole = part = False
+    for m in _ATTR.finditer(attrs):
+        kind = m[1].lower()
+        if kind == "id" and in_article:
+            continue
+        for token in html.unescape(m[2] or m[3] or m[4] or "").lower().split():
+            named = {w for w in re.split(r"[^a-z0-9]+", token) if w}
+            if named & words:
+                part = True
+                whole = whole or (named <= words | _LAYOUT and not (kind == "id" and tag in _HEADINGS))
+    return whole, part
 
 
 def lines_of(page: str | None) -> list[Line]:
     """Non-empty text blocks in page order, with the kind of element around them."""
     out: list[Line] = []
-    stack: list[tuple[str, bool, bool, bool]] = [("", False, False, False)]
+    stack: list[tuple[str, bool, bool, bool, bool]] = [("", False, False, False, False)]
     text: list[str] = []
 
     def flush() -> None:
@@ -122,9 +145,11 @@ def lines_of(page: str | None) -> list[Line]:
             stack.pop()
         elif names[-1] == "p":  # a block ends an open paragraph
             stack.pop()
-        _, article, main, furniture = stack[-1]
-        furniture = furniture or _is_furniture(tag, m["attrs"], article)
-        stack.append((tag, article or tag == "article", main or tag == "main", furniture))
+        _, article, main, furniture, suspect = stack[-1]
+        if not furniture:
+            furniture, named = _judged(tag, m["attrs"], article)
+            suspect = suspect or named
+        stack.append((tag, article or tag == "article", main or tag == "main", furniture, suspect))
     text.append(page[at:])
     flush()
     return out
@@ -161,21 +186,23 @@ def shared_lines(own: list[int], other: list[int]) -> set[int]:
 
 def main_text(lines: list[Line], other: list[int] | None) -> str:
     """Blocks of the main text, one per line; ``other`` holds the neighbour's line hashes."""
-    body = [ln for ln in lines if not ln.furniture]
-    for inside in (lambda ln: ln.article, lambda ln: ln.main):
-        marked = [ln for ln in body if inside(ln)]
-        if marked:
-            return "\n".join(ln.text for ln in marked)
-    shared = shared_lines(line_hashes(lines).tolist(), other) if other else set()
-    if len(shared) > COPY_SHARE * len(lines):
-        shared = set()
-    return "\n".join(ln.text for i, ln in enumerate(lines) if not ln.furniture and i not in shared)
+    body = [(i, ln) for i, ln in enumerate(lines) if not ln.furniture]
+    marked = next(filter(None, ([(i, ln) for i, ln in body if inside(ln)] for inside in (
+        lambda ln: ln.article, lambda ln: ln.main))), [])
+    shared: set[int] = set()
+    if other and (not marked or any(ln.suspect for _, ln in marked)):
+        shared = shared_lines(line_hashes(lines).tolist(), other)
+        if len(shared) > COPY_SHARE * len(lines):
+            shared = set()
+    if marked:
+        return "\n".join(ln.text for i, ln in marked if not (ln.suspect and i in shared))
+    return "\n".join(ln.text for i, ln in body if i not in shared)
 
 
 def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for part, pages in slices(batches, "html"):
         parsed = [lines_of(p) for p in pages]
-        blobs = [zlib.compress(json.dumps([[ln.text, ln.article, ln.main, ln.furniture] for ln in lines],
+        blobs = [zlib.compress(json.dumps([[ln.text, ln.article, ln.main, ln.furniture, ln.suspect] for ln in lines],
                                           ensure_ascii=False).encode("utf-8", "surrogatepass"), 1)
                  for lines in parsed]
         yield pa.RecordBatch.from_arrays(

@@ -407,3 +407,22 @@ def test_patterns_find_spaced_short_and_second_hop_identifiers(spark):
     assert found[n + 6] == ["77 88"]
     assert found[n + 12] == ["99 11 22"]  # under a pattern that only found identifiers support
     assert not any(found[k] for k in [*range(n), *range(n + 13, n + 16)])
+
+
+def test_html_words_inside_names_need_the_neighbour(spark):
+    def page(title, related):
+        return (f"<body><nav>Menu</nav><article><h1>{title}</h1><h2 id='search'>Search of {title}</h2>"
+                f"<section id='related-work'><p>Work on {title}</p></section><p class='share-prices'>{title} 12.50</p>"
+                f"<div class='notice-of-appeal'>Appeal</div><div class='related-stories'>{related}</div>"
+                f"<div class='share-bar'>Share</div><p role='alert'>Alert</p><p>End of {title}</p></article></body>")
+
+    own = html_extract.main_text(html_extract.lines_of(page("one", "More")), None)
+    assert own == "one\nSearch of one\nWork on one\none 12.50\nAppeal\nMore\nEnd of one"
+    rows = [(k, f"http://h.example/a/{k}", page(t, "More")) for k, t in ((1, "one"), (2, "two"))]
+    rows[1] = (2, rows[1][1], rows[1][2].replace("Appeal", "Other appeal"))
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text.split("\n") for r in html_extract.extract_text(df).collect()}
+    assert got[1] == ["one", "Search of one", "Work on one", "one 12.50", "Appeal", "End of one"]
+    assert got[2][4] == "Other appeal" and "More" not in got[2]
+    outside = html_extract.main_text(html_extract.lines_of("<div id='footer'>F</div><h2 id='search'>S</h2><p>T</p>"), None)
+    assert outside == "S\nT"
