@@ -3,9 +3,9 @@
 A text is the average of hashed subword embeddings (character 1- to 4-grams of
 the lower-cased text, blanks included) under a linear softmax, as in fastText,
 trained by stochastic gradient descent in numpy on the driver. Training rows are
-a bounded sample: about ``PER_LABEL`` documents of each of the ``MAX_LABELS`` most
-frequent languages, chosen by a hash of the id, each giving up to ``SEGMENTS``
-stretches of at most ``SEGMENT_CHARS`` characters. A fifth of the sample is kept
+a bounded sample: about ``PER_LABEL`` documents of each language (fewer beyond
+``FULL_LABELS`` languages, ``LEAST_PER_LABEL`` at least), chosen by a hash of the id,
+each giving up to ``SEGMENTS`` stretches of at most ``SEGMENT_CHARS`` characters. A fifth of the sample is kept
 for calibration: a temperature for the scores and the rejection limit.
 
 Prediction reads whole texts. Null texts and texts without a letter are ``und``
@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from releaseflow.llm.ship import ship
 from releaseflow.llm.vocab import slices
 
-PER_LABEL, MAX_LABELS = 1500, 128
+PER_LABEL, FULL_LABELS, LEAST_PER_LABEL = 1500, 128, 50
 SEGMENTS, SEGMENT_CHARS = 2, 400
 BUCKETS, DIM, ORDERS = 1 << 14, 16, 4
 #: Largest share of right answers on the calibration rows that rejection may cost.
@@ -88,12 +88,13 @@ def learnable(id_col: str = "doc_id") -> Column:
 
 def training_sample(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     label_col: str = "lang") -> list[tuple[str, str]]:
-    """At most about ``PER_LABEL * SEGMENTS`` stretches of text for each label."""
+    """At most about ``PER_LABEL * SEGMENTS`` stretches of text for each label, of every label some."""
     rows = df.filter(learnable(id_col) & F.col(label_col).isNotNull() & F.col(text_col).rlike(r"\p{L}"))
-    counts = rows.groupBy(label_col).count().orderBy(F.desc("count"), label_col).limit(MAX_LABELS).collect()
+    counts = rows.groupBy(label_col).count().orderBy(F.desc("count"), label_col).collect()
     if not counts:
         return []
-    rate = F.create_map(*(F.lit(x) for r in counts for x in (r[0], min(1.0, PER_LABEL / r[1]))))
+    share = min(PER_LABEL, max(LEAST_PER_LABEL, PER_LABEL * FULL_LABELS // len(counts)))
+    rate = F.create_map(*(F.lit(x) for r in counts for x in (r[0], min(1.0, share / r[1]))))
     draw = F.pmod(F.xxhash64(id_col, F.lit(1)), F.lit(1 << 30)) / F.lit(1 << 30)
     size = F.length(text_col)
     at = [F.pmod(F.xxhash64(id_col, F.lit(k + 2)), F.greatest(size - SEGMENT_CHARS + 1, F.lit(1)))
@@ -101,7 +102,7 @@ def training_sample(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     texts = F.array_distinct(F.array(*(F.substring(text_col, a.cast("int") + 1, F.lit(SEGMENT_CHARS)) for a in at)))
     return [(r[0], r[1]) for r in rows.filter(draw < rate[F.col(label_col)])
             .select(label_col, F.explode(texts).alias("piece"))
-            .limit(2 * PER_LABEL * SEGMENTS * len(counts)).collect() if _LETTER.search(r[1])]
+            .limit(2 * share * SEGMENTS * len(counts)).collect() if _LETTER.search(r[1])]
 
 
 def train(sample: list[tuple[str, str]], epochs: int = 4, rate: float = 4.0, seed: int = 3) -> LanguageModel:
@@ -115,6 +116,9 @@ def train(sample: list[tuple[str, str]], epochs: int = 4, rate: float = 4.0, see
     want = np.array([labels.index(lab) for lab, _ in sample])
     order = rng.permutation(len(sample))
     held, fit = order[:len(order) // 5], order[len(order) // 5:]
+    # A label whose stretches were all kept back would not be learnt.
+    missed = np.isin(want[held], want[fit], invert=True)
+    held, fit = held[~missed], np.append(fit, held[missed])
     if not len(held):
         held = fit
     emb = rng.uniform(-1 / DIM, 1 / DIM, (BUCKETS, DIM))

@@ -426,3 +426,17 @@ def test_html_words_inside_names_need_the_neighbour(spark):
     assert got[2][4] == "Other appeal" and "More" not in got[2]
     outside = html_extract.main_text(html_extract.lines_of("<div id='footer'>F</div><h2 id='search'>S</h2><p>T</p>"), None)
     assert outside == "S\nT"
+
+
+def test_every_language_is_learnt(spark, monkeypatch):
+    monkeypatch.setattr(langid, "train", lambda sample: sample)
+    texts = [f"text of language {k % 150}" for k in range(900)]
+    docs = table(spark, texts).withColumn("lang", F.concat(F.lit("l"), F.col("doc_id") % 150))
+    assert {lab for lab, _ in langid.fit_languages(docs)} == {f"l{k}" for k in range(150)}
+
+
+def test_a_language_of_few_rows_is_not_only_kept_back(monkeypatch):
+    monkeypatch.setattr(langid, "_calibrate", lambda model, texts, want: texts)
+    rare = [(f"x{k}", f"only text of {k}") for k in range(20)]
+    kept_back = langid.train([("en", f"the cat and the dog {k}") for k in range(60)] + rare)
+    assert kept_back and not {text for _, text in rare} & set(kept_back)
