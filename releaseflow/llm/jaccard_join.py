@@ -290,7 +290,6 @@ def _class_components(classes: DataFrame) -> DataFrame:
 def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(id, n_shingles, component_id)``, one row per input row."""
     ship(df.sparkSession)
-    buckets = bucket_count(df)
     rows = chunked(df, id_col, text_col)
     docs = saved(rows.mapInArrow(_describe, "chunk long, id long, n long, s1 long, s2 long"))
     per_chunk = rows.groupBy("chunk")
@@ -300,6 +299,7 @@ def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     lead = able.groupBy("s1", "s2", "n").agg(F.min(F.struct("id", "chunk")).alias("m"))
     lead = saved(lead.select("m.id", "m.chunk", "s1", "s2", "n"))
     told = lead.select("chunk", "id", "s1", "s2")
+    buckets = bucket_count(df, lead.agg(F.sum("n")).first()[0])
     answers = shared_cells(per_chunk.cogroup(told.groupBy("chunk")).applyInPandas(_offer(buckets), CELL_SCHEMA))
     zero, none = F.lit(0).cast("long"), F.lit(None).cast("binary")  # no nulls in number columns for pandas
     told = told.select("*", F.lit(-1).alias("bucket"), none.alias("bits")).unionByName(

@@ -140,7 +140,8 @@ def _cut(row_type: pa.DataType):
 def _met_passages(df: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
     """The chunks' documents, and per chunk the window hashes that a chunk before it has too."""
     ship(df.sparkSession)
-    buckets = bucket_count(df)
+    # A word and the blank after it take two bytes at least, mostly some six.
+    buckets = bucket_count(df, df.agg(F.sum(F.floor(F.octet_length(text_col) / F.lit(6)))).first()[0])
     docs = chunked(df, id_col, text_col)
     per_chunk = docs.groupBy("chunk")
     answers = shared_cells(per_chunk.applyInPandas(_probe(buckets), CELL_SCHEMA))

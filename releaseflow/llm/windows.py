@@ -24,6 +24,8 @@ CHUNK_DOCS = 256
 #: Stretches of the id range, told apart by quantiles; within one, ids are taken as evenly spread.
 STRETCHES = 256
 CELL_BITS = 26
+#: Windows that a bucket holds at most, about: its one task needs some 200 MB for them, and cells of 26 bits seldom clash.
+BUCKET_WINDOWS = 1 << 21
 _STEP = 0xFFFF
 
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -125,8 +127,10 @@ def in_order(docs: pd.DataFrame) -> pd.DataFrame:
     return docs.sort_values(["id", "text"], na_position="first", kind="stable", ignore_index=True)
 
 
-def bucket_count(df: DataFrame) -> int:
-    return 2 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+def bucket_count(df: DataFrame, windows: int | None) -> int:
+    """Buckets of about ``BUCKET_WINDOWS`` of all windows at most; several for each task of a shuffle."""
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(2 * tasks, -(-(windows or 0) // BUCKET_WINDOWS))
 
 
 def pack_cells(cells: np.ndarray) -> bytes:
@@ -155,10 +159,10 @@ class Cells:
         """One row per bucket: its cells, which of them are met several times, which are anchors."""
         several, anchor = several[self.order], anchor[self.order]
         out = []
-        for b, (lo, hi) in enumerate(zip(self.edges, self.edges[1:])):
-            if lo < hi:
-                out.append((b, chunk, int(hi - lo), pack_cells(self.sorted[lo:hi] & ((1 << CELL_BITS) - 1)),
-                            np.packbits(several[lo:hi]).tobytes(), np.packbits(anchor[lo:hi]).tobytes()))
+        for b in np.flatnonzero(np.diff(self.edges)).tolist():
+            lo, hi = self.edges[b], self.edges[b + 1]
+            out.append((b, chunk, int(hi - lo), pack_cells(self.sorted[lo:hi] & ((1 << CELL_BITS) - 1)),
+                        np.packbits(several[lo:hi]).tobytes(), np.packbits(anchor[lo:hi]).tobytes()))
         return pd.DataFrame(out, columns=["bucket", "chunk", "n", "cells", "several", "anchor"])
 
     def answers(self, rows: pd.DataFrame) -> np.ndarray:

@@ -440,3 +440,19 @@ def test_a_language_of_few_rows_is_not_only_kept_back(monkeypatch):
     rare = [(f"x{k}", f"only text of {k}") for k in range(20)]
     kept_back = langid.train([("en", f"the cat and the dog {k}") for k in range(60)] + rare)
     assert kept_back and not {text for _, text in rare} & set(kept_back)
+
+
+def test_buckets_follow_the_number_of_windows(spark, monkeypatch):
+    texts = corpus(9, 60)
+    docs = table(spark, texts)
+    want = [sorted(map(str, f(docs).collect())) for f in (jaccard_join.jaccard_components, substring_dedup.strip_repeats)]
+    seen = []
+    assert windows.bucket_count(docs, None) == windows.bucket_count(docs, 10**6) == 16
+    assert windows.bucket_count(docs, 10**9) * windows.BUCKET_WINDOWS >= 10**9
+    monkeypatch.setattr(windows, "BUCKET_WINDOWS", 20)
+    for module in (jaccard_join, substring_dedup):
+        count = module.bucket_count
+        monkeypatch.setattr(module, "bucket_count", lambda df, n, count=count: seen.append(count(df, n)) or seen[-1])
+    assert [sorted(map(str, f(docs).collect())) for f in (
+        jaccard_join.jaccard_components, substring_dedup.strip_repeats)] == want
+    assert min(seen) > 16
