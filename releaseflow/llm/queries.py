@@ -12,8 +12,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from releaseflow.llm import (bpe, embedding_dedup, html_extract, jaccard_join, langid, packing, pii, secret_ledger,
-                              spans, substring_dedup, topk)
+from releaseflow.llm import (bpe, embedding_dedup, html_extract, jaccard_join, langid, packing, periodic_runs, pii,
+                              secret_ledger, spans, substring_dedup, topk)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -169,3 +169,81 @@ def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_register
 def op10_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _span_digests(secret_ledger.scan_secrets(_table(spark, sf_dir, "documents")), secret_ledger.BASE)
+
+
+def _with_planted_periods(docs: DataFrame) -> DataFrame:
+    """``doc_id`` and the text, in which documents chosen by their id's checksum repeat a stretch of their words."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
+    n, g = F.size("words"), F.floor(h / 10)
+    at = F.pmod(g, n)
+    period = F.floor((n - at) / (F.lit(3) + g % 8)) + 1
+    places = F.transform(F.sequence(F.lit(0).cast("long"), n.cast("long") - 1),
+                         lambda i: F.when(i < at, i).otherwise(at + F.pmod(i - at, period)))
+    moved = F.array_join(F.transform(places, lambda i: F.get("words", i.cast("int"))), " ")
+    words = F.when(F.coalesce(h % 10 == 0, F.lit(False)), words).otherwise(F.array().cast("array<string>"))
+    return docs.select("doc_id", "text", F.coalesce(words, F.array().cast("array<string>")).alias("words")).select(
+        "doc_id", F.when(n > 0, moved).otherwise(F.col("text")).alias("text"))
+
+
+@_register
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = periodic_runs.collapse_runs(_with_planted_periods(_table(spark, sf_dir, "documents")))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    best = F.col("strongest")
+    return out.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), best["start"].alias("start"),
+        best["length"].alias("length"), best["period"].alias("period"),
+        F.expr("1000 * strongest.length div strongest.period").alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform(lines, lambda x: F.concat(x, F.lit("\n"))), ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+ORACLES["op11_periodic_runs"] = r"""
+WITH raw AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+         xor(list_reduce(list_concat([CAST(4294967295 AS BIGINT)], flatten(list_transform(
+           string_split(CAST(doc_id AS VARCHAR), ''),
+           lambda c: list_concat([CAST(ascii(c) AS BIGINT)], list_resize(CAST([] AS BIGINT[]), 8, 256))))),
+           lambda a, b: CASE WHEN b < 256 THEN xor(a, b)
+                             WHEN a % 2 = 1 THEN xor(a // 2, 3988292384) ELSE a // 2 END), 4294967295) AS h
+  FROM documents),
+place AS (
+  SELECT *, len(w) AS n, CASE WHEN h % 10 = 0 AND len(w) > 0 THEN (h // 10) % len(w) ELSE len(w) END AS a,
+         CASE WHEN len(w) > 0 THEN 1 + (len(w) - (h // 10) % len(w)) // (3 + (h // 10) % 8) ELSE 1 END AS p
+  FROM raw),
+d AS (
+  SELECT r, doc_id, CAST(n AS BIGINT) AS n, CASE WHEN a >= n THEN w ELSE list_transform(range(n),
+    lambda i: w[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % p END]) END AS w FROM place),
+grams AS (
+  SELECT r, n, i, array_to_string(list_slice(w, i + 1, i + 5), ' ') AS g
+  FROM (SELECT r, n, w, unnest(range(n - 4)) AS i FROM d WHERE n >= 6)),
+pairs AS (
+  SELECT x.r, x.i, y.i - x.i AS q FROM grams x JOIN grams y
+    ON x.r = y.r AND x.g = y.g AND y.i > x.i AND 4 * (y.i - x.i) <= x.n),
+isles AS (
+  SELECT r, q, min(i) AS start, max(i) - min(i) + 5 + q AS length
+  FROM (SELECT r, q, i, i - row_number() OVER (PARTITION BY r, q ORDER BY i) AS k FROM pairs)
+  GROUP BY r, q, k),
+runs AS (
+  SELECT r, start, length, min(q) AS period FROM isles WHERE length >= greatest(6, 4 * q) GROUP BY r, start, length),
+gone AS (
+  SELECT DISTINCT r, unnest(range(start + period, start + length)) AS i FROM runs),
+kept AS (
+  SELECT r, string_agg(word, ' ' ORDER BY i) AS t
+  FROM (SELECT r, unnest(w) AS word, unnest(range(n)) AS i FROM d WHERE r IN (SELECT r FROM runs))
+  ANTI JOIN gone USING (r, i) GROUP BY r),
+sums AS (
+  SELECT r, count(*) AS n_runs,
+         string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS s
+  FROM runs GROUP BY r),
+best AS (
+  SELECT r, start, length, period FROM runs x WHERE NOT EXISTS (
+    SELECT 1 FROM runs y WHERE y.r = x.r AND (y.length * x.period > x.length * y.period
+      OR (y.length * x.period = x.length * y.period AND (y.start, y.period) < (x.start, x.period)))))
+SELECT d.doc_id, coalesce(s.n_runs, 0) AS n_runs, b.start, b.length, b.period,
+       1000 * b.length // b.period AS exponent_milli, sha256(coalesce(s.s, '')) AS runs_sha256,
+       sha256(CASE WHEN s.r IS NULL THEN array_to_string(d.w, ' ') ELSE coalesce(k.t, '') END) AS collapsed_sha256
+FROM d LEFT JOIN sums s USING (r) LEFT JOIN best b USING (r) LEFT JOIN kept k USING (r)
+"""
