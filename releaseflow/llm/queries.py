@@ -12,8 +12,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from releaseflow.llm import (bpe, embedding_dedup, html_extract, jaccard_join, langid, packing, periodic_runs, pii,
-                              secret_ledger, spans, substring_dedup, topk)
+from releaseflow.llm import (bpe, embedding_dedup, html_extract, jaccard_join, langid, lexical_search, packing,
+                              periodic_runs, pii, secret_ledger, spans, substring_dedup, topk, toxicity)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -247,3 +247,43 @@ SELECT d.doc_id, coalesce(s.n_runs, 0) AS n_runs, b.start, b.length, b.period,
        sha256(CASE WHEN s.r IS NULL THEN array_to_string(d.w, ' ') ELSE coalesce(k.t, '') END) AS collapsed_sha256
 FROM d LEFT JOIN sums s USING (r) LEFT JOIN best b USING (r) LEFT JOIN kept k USING (r)
 """
+
+
+@_register
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+ORACLES["op12_lexical_search"] = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS t FROM documents),
+c AS (SELECT count(*) AS n, CAST(sum(len(t)) AS BIGINT) AS l FROM d WHERE len(t) > 0),
+m AS (SELECT r, doc_id, 75 + (25 * len(t) * c.n) // c.l AS m FROM d, c WHERE len(t) > 0),
+tf AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(t) AS term FROM d) GROUP BY r, term),
+w AS (
+  SELECT term, CAST(floor(1000 * ln((2 * c.n + 2) / (2 * df + 1))) AS BIGINT) AS w
+  FROM (SELECT term, count(*) AS df FROM tf GROUP BY term), c),
+i AS (
+  SELECT item_id, term, count(*) AS times FROM (
+    SELECT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+      'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark)
+  GROUP BY item_id, term),
+s AS (
+  SELECT i.item_id, m.r, m.doc_id,
+         CAST(sum(i.times * w.w * ((1000000000 * tf.tf) // (1000 * tf.tf + 12 * m.m))) AS BIGINT) AS score
+  FROM i JOIN w USING (term) JOIN tf USING (term) JOIN m ON m.r = tf.r GROUP BY ALL)
+SELECT item_id, CAST(k AS INTEGER) AS rank, doc_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS k FROM s WHERE score > 0)
+WHERE k <= 20
+"""
+
+
+@_register
+def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = toxicity.fit_toxicity(docs, _table(spark, sf_dir, "labels"))
+    held_out = F.coalesce(~toxicity.learnable(), F.lit(False))
+    return toxicity.score_toxicity(docs.select("doc_id", "text"), model).select(
+        "doc_id", held_out.alias("held_out"), "score", "predicted")
