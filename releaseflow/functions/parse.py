@@ -67,6 +67,14 @@ def dead_letters(parsed: DataFrame) -> DataFrame:
                      .alias("missing_fields")))
 
 
+def warned(parsed: DataFrame) -> DataFrame:
+    """Valid rows without a release name or period, kept in the main path and reported as ``incomplete``."""
+    lacking = F.concat_ws(",", *[F.when(F.col(c).isNull(), F.lit(c)) for c in ("release_name", "period")])
+    return (parsed.filter(is_valid() & (F.col("release_name").isNull() | F.col("period").isNull()))
+            .select("kafka_ts", "partition", "offset", "event_id", "payload",
+                    F.lit("incomplete").alias("dlq_reason"), lacking.alias("missing_fields")))
+
+
 def type_mismatches(parsed: DataFrame) -> DataFrame:
     """Valid rows whose payload did not fully match the schema (kept in the main path,
     reported on the DLQ as ``type_mismatch``)."""
@@ -76,6 +84,34 @@ def type_mismatches(parsed: DataFrame) -> DataFrame:
                     F.lit(None).cast("string").alias("missing_fields")))
 
 
+#: Fixed value: how polled series write a missing observation.
+MISSING_OBSERVATION = "."
+
+
+def observed_value(text: Column) -> Column:
+    """A polled observation's text as a number; the sentinel and unreadable text are null (fn11)."""
+    return F.nullif(F.trim(text), F.lit(MISSING_OBSERVATION)).try_cast("double")
+
+
+def parse_observations(polled: DataFrame, text_col: str = "value_text") -> DataFrame:
+    """``value`` from the text of polled rows, ``is_missing`` (the sentinel or no text) and ``is_unreadable``."""
+    text = F.trim(F.col(text_col))
+    missing = text.isNull() | (text == MISSING_OBSERVATION)
+    value = observed_value(F.col(text_col))
+    return polled.select("*", value.alias("value"), missing.alias("is_missing"),
+                         (~missing & value.isNull()).alias("is_unreadable")).drop(text_col)
+
+
+def generated_event_id(*parts: str) -> Column:
+    """An id of UUID shape that follows from what the event is (fn13): polling a release again gives the same.
+
+    ``parts`` are columns; nulls count as a part of their own."""
+    key = F.to_json(F.array(*(F.col(p).cast("string") for p in parts)))
+    digits = F.sha2(key, 256)
+    cuts = ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))
+    return F.concat_ws("-", *(F.substring(digits, a, n) for a, n in cuts))
+
+
 def event_to_json(df: DataFrame, ignore_null_fields: bool = True) -> Column:
     return F.to_json(F.struct(*[F.col(c) for c in EVENT_FIELDS]),
                      {"ignoreNullFields": str(ignore_null_fields).lower()})

@@ -48,10 +48,11 @@ ENRICHED_PAYLOAD_COLUMNS = [
 ]
 
 
-def enriched_messages(enriched: DataFrame) -> DataFrame:
-    """Every enriched event for the enriched topic; nulls kept as JSON null."""
+def enriched_messages(enriched: DataFrame, *more: str) -> DataFrame:
+    """Every enriched event for the enriched topic, with headers; nulls kept as JSON null."""
     return enriched.select(raw_key().alias("key"),
-                           json_of(ENRICHED_PAYLOAD_COLUMNS, ignore_null_fields=False).alias("value"))
+                           json_of(ENRICHED_PAYLOAD_COLUMNS, ignore_null_fields=False).alias("value"),
+                           headers().alias("headers"), *more)
 
 
 def serving_rows(df: DataFrame) -> DataFrame:

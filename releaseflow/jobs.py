@@ -5,6 +5,7 @@
     spark-submit releaseflow/jobs.py surprise --root /data/releases [--out /data/reports/surprise]
     spark-submit releaseflow/jobs.py sql --root /data/releases --query "SELECT * FROM surprise_leaderboard"
     spark-submit releaseflow/jobs.py optimize --root /data/releases
+    spark-submit releaseflow/jobs.py leaderboard --root /data/releases --optimized
     spark-submit releaseflow/jobs.py retention --root /data/releases --retain-hours 168
 
 Reports print a bounded preview (``--n`` rows) or, with ``--out``, are written
@@ -19,6 +20,8 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
+from pyspark.sql import functions as F  # noqa: E402
+
 from releaseflow.operators import maintenance as M  # noqa: E402
 from releaseflow.operators import reports as R  # noqa: E402
 from releaseflow.schema import RETENTION_HOURS, TRIGGER_INTERVAL  # noqa: E402
@@ -50,6 +53,9 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--version", type=int, default=None, help="read the table as of this version")
     p.add_argument("--timestamp", default=None, help="read the table as of this time")
     p.add_argument("--out", default=None, help="write the full report here (Parquet)")
+    p.add_argument("--optimized", action="store_true",
+                   help="reports: read the copy that optimize wrote, and the batches since")
+    p.add_argument("--z-order", default=",".join(M.ZORDER_COLUMNS), help="optimize: columns, comma-separated")
     p.add_argument("--retain-hours", type=int, default=RETENTION_HOURS)
     p.add_argument("--bootstrap-servers", default=None)
     p.add_argument("--landing", default=None, help="stream: folder of landed bus files instead of Kafka")
@@ -66,6 +72,7 @@ def main(argv: list[str] | None = None) -> None:
     spark = build_session()
     root = (a.root or f"{shared_dir(spark)}/releaseflow").rstrip("/")
     table = VersionedTable(spark, f"{root}/releases_enriched")
+    optimized = VersionedTable(spark, f"{root}/releases_enriched_compacted")
 
     if a.action == "stream":
         from releaseflow.streaming.job import StreamConfig, file_bus, kafka_bus, start
@@ -96,8 +103,8 @@ def main(argv: list[str] | None = None) -> None:
             spark.streams.awaitAnyTermination()
         return
     if a.action == "optimize":
-        target = M.compact(table, f"{root}/releases_enriched_compacted")
-        print(f"compacted into {target.root}")
+        target = M.zorder(table, optimized.root, tuple(a.z_order.split(",")))
+        print(f"rewritten in Z-order of {a.z_order} into {target.root}")
         return
     if a.action == "retention":
         old = M.retention_candidates(table, a.retain_hours, a.as_of)
@@ -110,8 +117,11 @@ def main(argv: list[str] | None = None) -> None:
         table.history(a.n).show(truncate=False)
         return
 
-    df = (table.as_of_version(a.version) if a.version is not None
-          else table.as_of_timestamp(a.timestamp) if a.timestamp else table.scan())
+    df = M.with_newer_batches(table, optimized) if a.optimized else table.scan()
+    if a.version is not None:
+        df = df.filter(F.col("batch_id") <= a.version)
+    elif a.timestamp:
+        df = df.filter(F.col("batch_id") <= table.version_at(a.timestamp).scalar())
     if a.action == "sql":
         from releaseflow.plans.views import register_views
         register_views(spark, df, as_of=a.as_of, recent_days=a.since_days)

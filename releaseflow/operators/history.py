@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from releaseflow.functions.enrich import period_start
 from releaseflow.operators.rolling import DAY_US, HOUR_US, mean_std, rolling_range_stats, rolling_rows_stats
+from releaseflow.operators.sequence import asof_last, bucketed_row_number
 
 YEAR_US = 365 * DAY_US
 ZSCORE_THRESHOLD = 2.0
@@ -28,25 +29,22 @@ def hist_context(enriched: DataFrame, window_us: int = YEAR_US, bucket_us: int =
                  key: str = "indicator", id_cols: tuple[str, ...] = ("event_id",)) -> DataFrame:
     """Value against the same indicator's history in (ts - window, ts]: count, mean, min, max."""
     st = rolling_range_stats(enriched, [key], "kafka_ts", "value", list(id_cols), window_us, bucket_us)
-    mean, _ = mean_std(F.col("hist_n"), F.col("hist_sum"), F.col("hist_sumsq"), F.col("hist_dsum"))
-    return st.select("*", mean.alias("hist_mean")).drop("hist_sum", "hist_sumsq", "hist_dsum")
-
-
-def zscore_columns(df: DataFrame, prefix: str, keep_min_max: bool = False) -> DataFrame:
-    """hist_mean, hist_std, zscore, is_zscore_anomaly from {prefix}n/sum/sumsq."""
-    n, s, ss = F.col(f"{prefix}n"), F.col(f"{prefix}sum"), F.col(f"{prefix}sumsq")
-    exact = F.col(f"{prefix}dsum") if f"{prefix}dsum" in df.columns else None
-    mean, sd = mean_std(n, s, ss, exact)
-    z = F.when((n >= 2) & (sd > 0), (F.col("value") - mean) / sd)
-    drop = [f"{prefix}sum", f"{prefix}sumsq", f"{prefix}dsum"] + (
-        [] if keep_min_max else [f"{prefix}min", f"{prefix}max"])
+    mean, _ = mean_std("hist_")
+    return st.select("*", mean.alias("hist_mean")).drop("hist_sum", "hist_dsum", "hist_m2")
+
+
+def zscore_columns(df: DataFrame, prefix: str, keep: tuple[str, ...] = ()) -> DataFrame:
+    """hist_mean, hist_std, zscore, is_zscore_anomaly from the statistics {prefix}n, dsum, m2, min, max,
+    which are dropped unless named in ``keep``."""
+    mean, sd = mean_std(prefix)
+    z = F.when((F.col(f"{prefix}n") >= 2) & (sd > 0), (F.col("value") - mean) / sd)
+    drop = [f"{prefix}{s}" for s in ("sum", "dsum", "m2", "min", "max") if s not in keep]
     return df.select("*", mean.alias("hist_mean"), _r(sd, 6).alias("hist_std"),
                      _r(z, 4).alias("zscore"),
                      F.coalesce(F.abs(z) > ZSCORE_THRESHOLD, F.lit(False)).alias("is_zscore_anomaly")
                      ).drop(*drop)
 
 
-
 def rolling_zscore(enriched: DataFrame, window_us: int = YEAR_US, bucket_us: int = HOUR_US,
                    key: str = "indicator", id_cols: tuple[str, ...] = ("event_id",)) -> DataFrame:
     """z-score of value against the indicator's values in the preceding window
@@ -89,6 +87,34 @@ def new_observations(observations: DataFrame, known_keys: DataFrame) -> DataFram
                              on=["release_name", "period"], how="left_anti")
 
 
+def numbered_vintages(releases: DataFrame) -> DataFrame:
+    """Every published value of a (release_name, period) with its vintage, 1 for the first.
+
+    Values at the same time are one vintage: the last by seq."""
+    same = releases.filter(F.col("value").isNotNull()).groupBy("release_name", "period", "kafka_ts").agg(
+        F.max_by(F.struct("value", "event_id", "seq"), "seq").alias("_v"))
+    rows = same.select("release_name", "period", "kafka_ts", "_v.*")
+    return bucketed_row_number(rows, ["release_name", "period"], "kafka_ts", ["seq"], "vintage")
+
+
+def prior_as_known(releases: DataFrame) -> DataFrame:
+    """Each event with the prior period's value as it was known when the event came: no later revision.
+
+    The prior period is the release's previous one by the calendar. ``prior_known`` and its
+    ``prior_vintage`` and ``prior_event_id`` are null if nothing had been published for it by then.
+    """
+    w = Window.partitionBy("release_name").orderBy(period_start(F.col("period")), "period")
+    periods = (releases.filter(F.col("period").isNotNull()).select("release_name", "period").distinct()
+               .withColumn("prior_period", F.lag("period").over(w)))
+    events = releases.join(periods, ["release_name", "period"], "left").select(
+        "event_id", "release_name", "period", "kafka_ts", "value", "prior_period")
+    facts = numbered_vintages(releases).select(
+        "release_name", F.col("period").alias("prior_period"), "kafka_ts", "seq", F.col("value").alias("prior_known"),
+        F.col("vintage").alias("prior_vintage"), F.col("event_id").alias("prior_event_id"))
+    return asof_last(events, facts, ["release_name", "prior_period"], "kafka_ts", ["seq"],
+                     ["prior_known", "prior_vintage", "prior_event_id"])
+
+
 def revision_vintages(releases: DataFrame) -> DataFrame:
     """Per (indicator, period): how many vintages, the first and the latest value
     (ordered by release time, original before revision, event_id) and the total revision."""
@@ -106,6 +132,35 @@ def revision_vintages(releases: DataFrame) -> DataFrame:
                     _r(F.col("_last.value") - F.col("_first.value"), 6).alias("revision_delta")))
 
 
+def release_days(releases: DataFrame) -> DataFrame:
+    """Events of each release on each day."""
+    return (releases.groupBy("release_name", F.to_date("kafka_ts").alias("release_date"))
+            .agg(F.count(F.lit(1)).alias("n_events")))
+
+
+def match_schedule(days: DataFrame, calendar: DataFrame, tolerance_days: int, date_col: str = "release_date",
+                   key: str = "release_name") -> DataFrame:
+    """Add ``matched_date``, ``days_off`` and ``expected_value`` of the nearest scheduled date within ``tolerance_days``.
+
+    A range join by buckets: a scheduled date is put into each bucket of ``tolerance_days + 1`` days that it can
+    match into (two or three), a row looks into its own. ``days_off`` is negative before the scheduled date; of two
+    dates equally near the earlier counts. Rows without a date in reach, or with nulls, keep nulls.
+    """
+    width = tolerance_days + 1
+    day = F.unix_date(date_col)
+    slots = F.sequence(F.floor((F.col("_at") - tolerance_days) / width), F.floor((F.col("_at") + tolerance_days) / width))
+    planned = (calendar.select(F.col(key), F.to_date("release_date").alias("matched_date"), "expected_value")
+               .filter(F.col(key).isNotNull() & F.col("matched_date").isNotNull())
+               .withColumn("_at", F.unix_date("matched_date")).withColumn("_slot", F.explode(slots)))
+    own = days.withColumn("_slot", F.floor(day / width))
+    off = F.datediff(F.col(date_col), F.col("matched_date"))
+    best = (own.select(key, date_col, "_slot").distinct().join(planned, [key, "_slot"])
+            .withColumn("days_off", off).filter(F.abs("days_off") <= tolerance_days)
+            .groupBy(key, date_col).agg(F.min_by(F.struct("matched_date", "days_off", "expected_value"),
+                                                 F.struct(F.abs("days_off"), "matched_date")).alias("_m")))
+    return days.join(best, [key, date_col], "left").select(*days.columns, "_m.*")
+
+
 def calendar_events(releases: DataFrame, calendar: DataFrame, catalog: DataFrame) -> DataFrame:
     """Release schedule seen in the data, joined to the fixed calendar and catalog.
 
@@ -114,8 +169,7 @@ def calendar_events(releases: DataFrame, calendar: DataFrame, catalog: DataFrame
     calendar's expected value when the date was scheduled. The per-day
     aggregate comes first, so the window runs over dates, not events.
     """
-    days = (releases.groupBy("release_name", F.to_date("kafka_ts").alias("release_date"))
-            .agg(F.count(F.lit(1)).alias("n_events")))
+    days = release_days(releases)
     w = Window.partitionBy("release_name").orderBy("release_date")
     days = days.withColumn("gap_days", F.datediff("release_date", F.lag("release_date").over(w)).cast("long"))
     cal = calendar.select("release_name", F.to_date("release_date").alias("release_date"),

@@ -36,6 +36,27 @@ def _flag(cond: Column) -> Column:
     return F.when(cond, F.lit(1)).otherwise(F.lit(0))
 
 
+#: Text forms of a UUID that a database accepts for a UUID column.
+UUID_PATTERN = "^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$"
+
+
+def violations(widths: dict[str, int] | None = None, required: list[str] | None = None,
+               id_pattern: str | None = None) -> Column:
+    """What a serving table would refuse about a row: ``null:column``, ``wide:column``, ``form:event_id``."""
+    found = [F.when(F.col(c).isNull(), F.lit(f"null:{c}")) for c in (REQUIRED_COLUMNS if required is None else required)]
+    found += [F.when(F.length(F.col(c)) > w, F.lit(f"wide:{c}"))
+              for c, w in (COLUMN_WIDTHS if widths is None else widths).items()]
+    if id_pattern:
+        found.append(F.when(~F.col("event_id").rlike(id_pattern), F.lit("form:event_id")))
+    return F.filter(F.array(*found), lambda v: v.isNotNull())
+
+
+def quarantine_split(df: DataFrame, **limits) -> tuple[DataFrame, DataFrame]:
+    """Rows that meet the constraints of ``violations``, and the others with their ``violations``."""
+    marked = df.withColumn("violations", violations(**limits))
+    return marked.filter(F.size("violations") == 0).drop("violations"), marked.filter(F.size("violations") > 0)
+
+
 def constraint_check(df: DataFrame) -> DataFrame:
     """One-row report of constraint violations: null required columns, over-wide text,
     duplicate event ids. One shuffle (by event_id, partially aggregated map-side)."""

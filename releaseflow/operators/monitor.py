@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import json
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.listener import StreamingQueryListener
 
 from releaseflow.schema import LAG_ALERT_THRESHOLD
+from releaseflow.sources.versions import VersionedBuckets, newest_versions
 
 
 def windowed_counts(enriched: DataFrame, window: str = "1 hour", ts_col: str = "kafka_ts") -> DataFrame:
@@ -23,12 +26,46 @@ def windowed_counts(enriched: DataFrame, window: str = "1 hour", ts_col: str = "
                     "source", "n_events", "n_anomalies", "n_high_impact"))
 
 
+_COUNTS = ("n_events", "n_anomalies", "n_high_impact")
+
+
+def _added(counts: DataFrame, *keys: str) -> DataFrame:
+    return counts.groupBy(*keys).agg(*[F.sum(c).cast("long").alias(c) for c in _COUNTS])
+
+
+@dataclass
+class WindowTotals:
+    """Windowed counts kept up to date batch by batch.
+
+    The counts of all windows that begin on one day are one bucket. A batch adds its own
+    counts to the buckets of its rows' days, late ones too, and writes them as their next version: a
+    closed day is one small file, however many batches made it.
+    """
+
+    spark: SparkSession
+    path: str
+    window: str = "1 hour"
+
+    def __post_init__(self):
+        self.store = VersionedBuckets(self.spark, self.path)
+
+    def add(self, batch: DataFrame, batch_id: int) -> None:
+        counts = windowed_counts(batch.filter(F.col("kafka_ts").isNotNull()), self.window).withColumn(
+            "bucket", F.unix_date(F.to_date("window_start")).cast("long")).persist()
+        try:
+            days = sorted(r[0] for r in counts.select("bucket").distinct().collect())
+            if not days:
+                return
+            before = self.store.read(days, batch_id)
+            both = counts if before is None else counts.unionByName(before)
+            self.store.write(_added(both, "bucket", "window_start", "window_end", "source"), days, batch_id)
+        finally:
+            counts.unpersist()
+
+
 def windowed_counts_from_partials(spark: SparkSession, path: str) -> DataFrame:
-    """Windowed counts from the fan-out's per-batch partial counts (batch_id=N folders).
-    Late rows inside the watermark land in a later batch and are simply added."""
-    return (spark.read.parquet(path)
-            .groupBy("window_start", "window_end", "source")
-            .agg(*[F.sum(c).cast("long").alias(c) for c in ("n_events", "n_anomalies", "n_high_impact")]))
+    """Windowed counts as the fan-out's ``WindowTotals`` left them."""
+    return newest_versions(spark, path).drop("bucket")
 
 
 def offset_lag(source_offsets: DataFrame, consumed: DataFrame,
@@ -83,3 +120,70 @@ def watermark_drops(spark: SparkSession, progresses: list) -> DataFrame:
                          int(op.get("numRowsDroppedByWatermark", 0)), int(op.get("numRowsTotal", 0))))
     return spark.createDataFrame(
         rows, "batch_id long, operator string, rows_dropped_by_watermark long, state_rows long")
+
+
+class ProgressLog(StreamingQueryListener):
+    """Writes what each micro-batch reports: input rows and rate, lag per bus partition, rows that a watermark dropped.
+
+    One small file per batch below ``path``; ``batch_progress`` reads them. With ``queries``, only of queries of
+    those names.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, queries: tuple[str, ...] = (),
+                 threshold: int = LAG_ALERT_THRESHOLD):
+        self.spark, self.path, self.queries, self.threshold = spark, path.rstrip("/"), queries, threshold
+        self.ids: set[str] = set()  # if filled, only queries with these ids
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        self.record(json.loads(event.progress.json))
+
+    def record(self, progress: dict) -> None:
+        if (self.queries and progress.get("name") not in self.queries) or (
+                self.ids and progress.get("id") not in self.ids):
+            return
+        lag = progress_lag(self.spark, progress).agg(F.sum("lag"), F.count(F.lit(1))).first()
+        dropped = watermark_drops(self.spark, [progress]).agg(F.sum("rows_dropped_by_watermark")).first()[0]
+        rows = int(progress.get("numInputRows", 0))
+        row = (progress.get("timestamp"), rows, float(progress.get("processedRowsPerSecond") or 0), lag[0] or 0,
+               lag[1], (lag[0] or 0) > self.threshold, dropped or 0, max(0, offsets_passed(progress) - rows))
+        self.spark.createDataFrame([row], PROGRESS_SCHEMA).coalesce(1).write.mode("overwrite").json(
+            f"{self.path}/query={progress.get('name')}/batch_id={int(progress.get('batchId', -1))}")
+
+
+PROGRESS_SCHEMA = ("at string, input_rows long, rows_per_second double, lag long, bus_partitions long, alert boolean, "
+                   "rows_dropped_by_watermark long, offsets_skipped long")
+
+
+def _offsets(text) -> dict[tuple[str, str], int]:
+    """``(topic, partition) -> offset`` of a bus source's offset report; empty for other sources."""
+    try:
+        report = json.loads(text) if isinstance(text, str) else text
+    except ValueError:
+        return {}
+    if not isinstance(report, dict):
+        return {}
+    return {(topic, part): int(off) for topic, parts in report.items() if isinstance(parts, dict)
+            for part, off in parts.items()}
+
+
+def offsets_passed(progress: dict) -> int:
+    """Bus offsets between a batch's start and end: more than its rows if some had expired on the bus."""
+    total = 0
+    for src in progress.get("sources", []):
+        first, end = _offsets(src.get("startOffset")), _offsets(src.get("endOffset"))
+        total += sum(max(0, off - first[k]) for k, off in end.items() if k in first)
+    return total
+
+
+def batch_progress(spark: SparkSession, path: str) -> DataFrame:
+    """What ``ProgressLog`` wrote, one row per query and batch."""
+    return spark.read.schema(f"{PROGRESS_SCHEMA}, query string, batch_id long").json(path)

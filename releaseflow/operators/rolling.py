@@ -5,14 +5,22 @@ sorts every row of a key in one task. Here the frame [t - W, t) of a row in
 time bucket c (bucket width B, W = m * B) is split into three parts:
 
 * the prefix of bucket c before t        - window over (key, bucket)
-* the full buckets c-m+1 .. c-1          - window over per-bucket summaries
-                                            (one row per key and bucket: small)
+* the full buckets c-m+1 .. c-1          - nodes of a tree of bucket summaries
 * the suffix of bucket c-m from t - W    - a *probe* row placed in bucket c-m,
                                             same window partition as that bucket
 
 No window partition holds more than one bucket of one key (plus probes), so
-a key with a third of all rows is spread over all its buckets. The parts
-combine exactly: counts and sums add, minima and maxima take least/greatest.
+a key with a third of all rows is spread over all its buckets.
+
+The tree has a node for every ``FAN`` buckets, every ``FAN`` of those and so on. A
+run of buckets is covered by at most ``2 * (FAN - 1)`` nodes of each level (42 for
+a year of hours), found by arithmetic. Runs and nodes meet in a join on (key,
+level, node), so neither a key nor a long window gathers in one task.
+
+Parts carry count, exact decimal sum, sum of squared deviations from their own mean
+(m2), least and greatest. They combine exactly but for m2, which is the sum over parts of
+``m2 + n * (mean of the part - mean of all)^2``: only non-negative terms, so a series
+of narrow spread around a large level loses nothing to cancellation.
 
 ``rolling_rows_stats`` does the same for a ``rows between n preceding and 1
 preceding`` frame: the in-bucket part is a window, the part before the bucket
@@ -30,11 +38,13 @@ from pyspark.sql import functions as F
 HOUR_US = 3_600_000_000
 DAY_US = 24 * HOUR_US
 
-STAT_NAMES = ("n", "sum", "sumsq", "min", "max", "dsum")
+STAT_NAMES = ("n", "dsum", "m2", "min", "max")
 # Exact sums: values as DECIMAL(35, 9). Adding three window parts stays within 38
 # digits, so Spark never drops scale, and the mean (dsum as double / n) is the same
 # double in every engine that converts decimals to doubles with correct rounding.
 DEC = "decimal(35,9)"
+#: log2 of the buckets or nodes that a node of the next level holds.
+FAN_BITS = 2
 
 
 def _dec(c: Column) -> Column:
@@ -48,35 +58,109 @@ def _observed(value_col: str) -> Column:
 
 
 def _stats(v: Column, w) -> list[Column]:
-    return [F.count(v).over(w), F.sum(v).over(w), F.sum(v * v).over(w), F.min(v).over(w), F.max(v).over(w),
-            _dec(F.sum(_dec(v)).over(w))]
+    """Statistics of ``v`` over a window, in the order of ``STAT_NAMES``."""
+    n = F.count(v).over(w)
+    return [n, _dec(F.sum(_dec(v)).over(w)), F.var_pop(v).over(w) * n, F.min(v).over(w), F.max(v).over(w)]
+
+
+def _summary(v: Column) -> list[Column]:
+    """The same as aggregates of a group."""
+    n = F.count(v)
+    return [c.alias(s) for c, s in zip((n, _dec(F.sum(_dec(v))), F.var_pop(v) * n, F.min(v), F.max(v)), STAT_NAMES)]
+
+
+def mean_of(n: Column, dsum: Column) -> Column:
+    return dsum.cast("double") / n
+
+
+def spread_about(mean: Column, n: Column, dsum: Column, m2: Column) -> Column:
+    """Sum of squared deviations of a part's values from ``mean``; null for a part without values."""
+    off = mean_of(n, dsum) - mean
+    return F.when(n > 0, m2 + n * off * off)
+
+
+def _merged(groups, *keep: Column) -> DataFrame:
+    """Summaries of one group as one."""
+    part = F.when(F.col("n") > 0, F.struct("n", "dsum", "m2"))
+    both = groups.agg(*keep, F.sum("n").alias("n"), _dec(F.sum("dsum")).alias("dsum"),
+                      F.collect_list(part).alias("_parts"), F.min("min").alias("min"), F.max("max").alias("max"))
+    mean = mean_of(F.col("n"), F.col("dsum"))
+    m2 = F.aggregate("_parts", F.lit(0.0), lambda a, p: a + spread_about(mean, p["n"], p["dsum"], p["m2"]))
+    return both.withColumn("m2", m2).drop("_parts")
 
 
 def bucket_summaries(df: DataFrame, keys: Sequence[str], ts_col: str, value_col: str,
                      bucket_us: int = DAY_US) -> DataFrame:
-    """Per (key, bucket): n, sum, sumsq, min, max of the value (mergeable partials)."""
-    v = _observed(value_col)
+    """Per (key, bucket): n, dsum, m2, min, max of the value (mergeable partials)."""
     return (df.groupBy(*keys, F.floor(F.unix_micros(F.col(ts_col)) / F.lit(bucket_us)).alias("bucket"))
-            .agg(F.count(v).alias("n"), F.sum(v).alias("sum"), F.sum(v * v).alias("sumsq"),
-                 F.min(v).alias("min"), F.max(v).alias("max"), _dec(F.sum(_dec(v))).alias("dsum")))
+            .agg(*_summary(_observed(value_col))).select(*keys, "bucket", *STAT_NAMES))
 
 
 def merge_summaries(parts: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Merge partial summaries of the same (key, bucket)."""
-    return (parts.groupBy(*keys, "bucket")
-            .agg(F.sum("n").alias("n"), F.sum("sum").alias("sum"), F.sum("sumsq").alias("sumsq"),
-                 F.min("min").alias("min"), F.max("max").alias("max"), _dec(F.sum("dsum")).alias("dsum")))
+    return _merged(parts.groupBy(*keys, "bucket")).select(*keys, "bucket", *STAT_NAMES)
+
+
+def tree_levels(span: int) -> int:
+    """Levels of the tree that cover any run of ``span`` buckets in a few nodes each."""
+    levels = 1
+    while (1 << (FAN_BITS * levels)) <= span:
+        levels += 1
+    return levels
+
+
+def summary_tree(summaries: DataFrame, keys: Sequence[str], levels: int) -> DataFrame:
+    """``(keys, level, node)`` and the summary of the node's buckets; level 0 has the buckets themselves."""
+    up = summaries.filter("n > 0").withColumn("level", F.explode(F.sequence(F.lit(0), F.lit(levels - 1))))
+    up = up.withColumn("node", F.expr(f"shiftright(bucket, {FAN_BITS} * level)"))
+    return _merged(up.groupBy(*keys, "level", "node"))
+
+
+def covering_nodes(low: Column, high: Column, levels: int) -> Column:
+    """Fewest nodes (level, node) that hold the buckets low .. high - 1 and no others."""
+    fan = 1 << FAN_BITS
+
+    def run(level: int, a: Column, b: Column) -> Column:
+        nodes = F.when(a < b, F.sequence(a, b - 1)).otherwise(F.array().cast("array<bigint>"))
+        return F.transform(nodes, lambda x: F.struct(F.lit(level).alias("level"), x.alias("node")))
+
+    def at(level: int) -> tuple[Column, Column]:  # first node that begins inside, first that ends outside
+        size = F.lit(1 << (FAN_BITS * level)).cast("long")
+        return F.floor((low + size - 1) / size), F.floor(high / size)
+
+    out = []
+    for level in range(levels):
+        a, b = at(level)
+        if level == levels - 1:
+            out.append(run(level, a, b))
+            break
+        up_a, up_b = at(level + 1)
+        whole = up_a <= up_b
+        out.append(run(level, a, F.when(whole, up_a * fan).otherwise(b)))
+        out.append(run(level, F.when(whole, up_b * fan).otherwise(b), b))
+    return F.concat(*out)
+
+
+def _full_buckets(spans: DataFrame, summaries: DataFrame, keys: list[str], bucket: str, m: int) -> DataFrame:
+    """For each (key, bucket c) of ``spans``: the summary of buckets c-m+1 .. c-1 as ``_mid_*``."""
+    levels = tree_levels(m - 1)
+    tree = summary_tree(summaries, keys, levels)
+    c = F.col(bucket)
+    needed = spans.select(*keys, bucket, F.inline(covering_nodes(c - (m - 1), c, levels)))
+    found = needed.join(tree, on=[*keys, "level", "node"])
+    merged = _merged(found.groupBy(*keys, bucket))
+    return merged.select(*keys, bucket, *[F.col(s).alias(f"_mid_{s}") for s in STAT_NAMES])
 
 
 def rolling_range_stats(df: DataFrame, keys: Sequence[str], ts_col: str, value_col: str,
                         id_cols: Sequence[str], window_us: int, bucket_us: int = HOUR_US,
                         prefix: str = "hist_", target_col: str | None = None,
                         summaries: DataFrame | None = None) -> DataFrame:
-    """Add ``{prefix}n, sum, sumsq, min, max, dsum`` (exact decimal sum) of ``value_col`` over rows of the same
+    """Add ``{prefix}n, sum, dsum`` (the exact decimal sum), ``m2, min, max`` of ``value_col`` over rows of the same
     key with ts in [ts - window_us, ts - 1us]. ``id_cols`` must identify a row.
 
     Incremental use (streaming): ``target_col`` marks the rows to compute (the
-    others are context) and ``summaries`` (key, bucket, n, sum, sumsq, min,
+    others are context) and ``summaries`` (key, bucket, n, dsum, m2, min,
     max) replaces the per-bucket aggregate of ``df`` for the full buckets, so
     ``df`` only needs the raw rows of each target's own bucket and of the
     bucket where its window starts.
@@ -110,48 +194,46 @@ def rolling_range_stats(df: DataFrame, keys: Sequence[str], ts_col: str, value_c
     rows = both.filter(own_rows).select(*d.columns, *[f"_pre_{s}" for s in STAT_NAMES])
     suffix = both.filter(F.col(P)).select(*keys, *id_cols, *[f"_suf_{s}" for s in STAT_NAMES])
 
-    if summaries is None:
-        summ = d.groupBy(*keys, B).agg(F.count(v).alias("n"), F.sum(v).alias("sum"),
-                                       F.sum(v * v).alias("sumsq"), F.min(v).alias("min"),
-                                       F.max(v).alias("max"), _dec(F.sum(_dec(v))).alias("dsum"))
-    else:
-        summ = summaries.withColumnRenamed("bucket", B)
     if m > 1:
-        w_mid = Window.partitionBy(*keys).orderBy(F.col(B)).rangeBetween(-(m - 1), -1)
-        mid = summ.select(*keys, B, F.sum("n").over(w_mid).alias("_mid_n"),
-                          F.sum("sum").over(w_mid).alias("_mid_sum"),
-                          F.sum("sumsq").over(w_mid).alias("_mid_sumsq"),
-                          F.min("min").over(w_mid).alias("_mid_min"),
-                          F.max("max").over(w_mid).alias("_mid_max"),
-                          _dec(F.sum("dsum").over(w_mid)).alias("_mid_dsum"))
-        rows = rows.join(mid.hint("merge"), on=keys + [B], how="left")
+        if summaries is None:
+            summaries = bucket_summaries(d, keys, ts_col, V, bucket_us)
+        spans = (targets.select(*keys, B).distinct() if target_col is not None
+                 else summaries.select(*keys, F.col("bucket").alias(B)))
+        rows = rows.join(_full_buckets(spans, summaries, keys, B, m).hint("merge"), on=keys + [B], how="left")
     else:
-        rows = rows.select("*", *[F.lit(None).cast(DEC if s == "dsum" else "double").alias(f"_mid_{s}")
-                                  for s in STAT_NAMES])
+        kinds = dict(zip(STAT_NAMES, ("long", DEC, "double", "double", "double")))
+        rows = rows.select("*", *[F.lit(None).cast(kinds[s]).alias(f"_mid_{s}") for s in STAT_NAMES])
 
     out = rows.join(suffix, on=keys + id_cols, how="left")
-
-    def add(s: str) -> Column:
-        zero = F.lit(0).cast(DEC) if s == "dsum" else F.lit(0)
-        return (F.coalesce(F.col(f"_pre_{s}"), zero) + F.coalesce(F.col(f"_mid_{s}"), zero)
-                + F.coalesce(F.col(f"_suf_{s}"), zero))
-
-    n = add("n").cast("long")
-    out = out.select(
-        *df.columns,
-        n.alias(f"{prefix}n"),
-        F.when(n > 0, add("sum")).alias(f"{prefix}sum"),
-        F.when(n > 0, add("sumsq")).alias(f"{prefix}sumsq"),
-        F.when(n > 0, add("dsum")).alias(f"{prefix}dsum"),
-        F.least(F.col("_pre_min"), F.col("_mid_min"), F.col("_suf_min")).alias(f"{prefix}min"),
-        F.greatest(F.col("_pre_max"), F.col("_mid_max"), F.col("_suf_max")).alias(f"{prefix}max"))
-    return out
+    return out.select(*df.columns, *combined([f"_{p}_" for p in ("pre", "mid", "suf")], prefix))
+
+
+def combined(parts: Sequence[str], prefix: str) -> list[Column]:
+    """Statistics of several parts together, given the prefixes of the parts' columns."""
+    def total(s: str, zero: Column) -> Column:
+        out = zero
+        for p in parts:
+            out = out + F.coalesce(F.col(f"{p}{s}"), zero)
+        return out
+
+    n = total("n", F.lit(0).cast("long"))
+    dsum = _dec(total("dsum", F.lit(0).cast(DEC)))
+    mean = mean_of(n, dsum)
+    m2 = F.lit(0.0)
+    for p in parts:
+        m2 = m2 + F.coalesce(spread_about(mean, *(F.col(f"{p}{s}") for s in ("n", "dsum", "m2"))), F.lit(0.0))
+    return [n.cast("long").alias(f"{prefix}n"),
+            F.when(n > 0, dsum.cast("double")).alias(f"{prefix}sum"),
+            F.when(n > 0, dsum).alias(f"{prefix}dsum"),
+            F.when(n > 0, m2).alias(f"{prefix}m2"),
+            F.least(*(F.col(f"{p}min") for p in parts)).alias(f"{prefix}min"),
+            F.greatest(*(F.col(f"{p}max") for p in parts)).alias(f"{prefix}max")]
 
 
 def rolling_rows_stats(df: DataFrame, keys: Sequence[str], ts_col: str, tiebreak: Sequence[str],
                        value_col: str, n_rows: int, bucket_us: int = HOUR_US,
                        prefix: str = "obs_") -> DataFrame:
-    """Add ``{prefix}n, sum, sumsq, dsum`` of ``value_col`` over the ``n_rows`` rows of
+    """Add ``{prefix}n, sum, dsum, m2, min, max`` of ``value_col`` over the ``n_rows`` rows of
     the same key that precede each row in (ts, tiebreak) order."""
     keys, tiebreak = list(keys), list(tiebreak)
     T, B, V = "_ro_t", "_ro_b", "_ro_v"
@@ -164,9 +246,7 @@ def rolling_rows_stats(df: DataFrame, keys: Sequence[str], ts_col: str, tiebreak
     w_in = Window.partitionBy(*keys, B).orderBy(*order)
     w_frame = w_in.rowsBetween(-n_rows, -1)
     rows = d.select("*", F.row_number().over(w_in).alias("_pos"),
-                    F.count(v).over(w_frame).alias("_in_n"), F.sum(v).over(w_frame).alias("_in_sum"),
-                    F.sum(v * v).over(w_frame).alias("_in_sumsq"),
-                    _dec(F.sum(_dec(v)).over(w_frame)).alias("_in_dsum"))
+                    *[c.alias(f"_in_{s}") for c, s in zip(_stats(v, w_frame), STAT_NAMES)])
 
     # Last n_rows rows of every bucket (sorted once per bucket), then the last n_rows
     # rows before each bucket: the sorted tails of up to n_rows preceding non-empty
@@ -181,45 +261,40 @@ def rolling_rows_stats(df: DataFrame, keys: Sequence[str], ts_col: str, tiebreak
     prev = F.transform(F.flatten(F.collect_list("_tail").over(w_prev)), lambda x: x["v"])
     k = F.size(F.col("_prev_vals"))
     last = F.slice(F.col("_prev_vals"), F.greatest(k - n_rows + 1, F.lit(1)), F.lit(n_rows))
-    acc0 = F.struct(F.lit(0).cast("long").alias("n"), F.lit(0.0).alias("s"), F.lit(0.0).alias("ss"),
-                    F.lit(0).cast(DEC).alias("d"))
-
-    def fold(arr):
-        return F.aggregate(arr, acc0, lambda acc, x: F.when(x.isNull(), acc).otherwise(
-            F.struct((acc["n"] + 1).alias("n"), (acc["s"] + x).alias("s"), (acc["ss"] + x * x).alias("ss"),
-                     _dec(acc["d"] + _dec(x)).alias("d"))))
 
     # suffix[j] = stats of the last j context values, j = 0..n_rows (computed per bucket, not per row)
     kk = F.size(F.col("_ctx"))
-    suffix = F.transform(F.sequence(F.lit(0), F.lit(n_rows)), lambda j: fold(
-        F.slice(F.col("_ctx"), F.greatest(kk - j + 1, F.lit(1)), F.least(j, kk))))
+
+    def values(j: Column) -> Column:
+        own = F.filter(F.slice(F.col("_ctx"), F.greatest(kk - j + 1, F.lit(1)), F.least(j, kk)),
+                       lambda x: x.isNotNull())
+        return F.struct(own.alias("own"), F.size(own).cast("long").alias("n"), F.aggregate(
+            own, F.lit(0).cast(DEC), lambda a, x: _dec(a + _dec(x))).alias("dsum"))
+
+    def stats(s: Column) -> Column:
+        mean = mean_of(s["n"], s["dsum"])
+        return F.struct(s["n"].alias("n"), s["dsum"].alias("dsum"), F.aggregate(
+            s["own"], F.lit(0.0), lambda a, x: a + (x - mean) * (x - mean)).alias("m2"),
+            F.array_min(s["own"]).alias("min"), F.array_max(s["own"]).alias("max"))
+
+    suffix = F.transform(F.transform(F.sequence(F.lit(0), F.lit(n_rows)), values), stats)
     ctx = (tails.select(*keys, B, F.coalesce(prev, F.array().cast("array<double>")).alias("_prev_vals"))
                 .select(*keys, B, last.alias("_ctx"))
                 .select(*keys, B, suffix.alias("_suffix")))
 
     out = rows.join(ctx.hint("merge"), on=keys + [B], how="left")
     need = F.lit(n_rows) - F.least(F.col("_pos") - 1, F.lit(n_rows))
-    part = F.element_at(F.col("_suffix"), (need + 1).cast("int"))
-    ctx_n = F.coalesce(part["n"], F.lit(0).cast("long"))
-    n = (F.col("_in_n") + ctx_n).cast("long")
-    return out.select(
-        *df.columns,
-        n.alias(f"{prefix}n"),
-        F.when(n > 0, F.coalesce(F.col("_in_sum"), F.lit(0.0)) + F.coalesce(part["s"], F.lit(0.0)))
-         .alias(f"{prefix}sum"),
-        F.when(n > 0, F.coalesce(F.col("_in_sumsq"), F.lit(0.0)) + F.coalesce(part["ss"], F.lit(0.0)))
-         .alias(f"{prefix}sumsq"),
-        F.when(n > 0, _dec(F.coalesce(F.col("_in_dsum"), F.lit(0).cast(DEC))
-                           + F.coalesce(part["d"], F.lit(0).cast(DEC)))).alias(f"{prefix}dsum"))
-
-
-def mean_std(n: Column, s: Column, ss: Column, exact_sum: Column | None = None) -> tuple[Column, Column]:
-    """Mean (n >= 1) and sample standard deviation (n >= 2) from count, sum, sum of squares.
-
-    With ``exact_sum`` (a decimal) the mean is that sum as a double divided by n.
-    A variance within rounding noise of zero (all values equal) is reported as 0.
+    out = out.withColumn("_part", F.element_at(F.col("_suffix"), (need + 1).cast("int")))
+    out = out.select("*", *[F.col("_part")[s].alias(f"_ctx_{s}") for s in STAT_NAMES])
+    return out.select(*df.columns, *combined(["_in_", "_ctx_"], prefix))
+
+
+def mean_std(prefix: str) -> tuple[Column, Column]:
+    """Mean (n >= 1) and sample standard deviation (n >= 2) from ``{prefix}n, dsum, m2, min, max``.
+
+    The mean is the exact sum as a double divided by n. Equal values have no spread,
+    whatever the rounding of their mean.
     """
-    mean = F.when(n > 0, (s if exact_sum is None else exact_sum.cast("double")) / n)
-    raw = (ss - s * s / n) / (n - 1)
-    var = F.when(n > 1, F.when(raw <= F.abs(ss / n) * F.lit(1e-12), F.lit(0.0)).otherwise(raw))
-    return mean, F.sqrt(var)
+    n, dsum, m2, low, high = (F.col(f"{prefix}{s}") for s in STAT_NAMES)
+    mean = F.when(n > 0, mean_of(n, dsum))
+    return mean, F.when(n > 1, F.when(low == high, F.lit(0.0)).otherwise(F.sqrt(m2 / (n - 1))))

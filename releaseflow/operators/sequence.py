@@ -64,3 +64,51 @@ def bucketed_lag(df: DataFrame, keys: Sequence[str], ts_col: str, tiebreak: Sequ
             o, F.when(F.col("_lag_first"), F.col("_prev_tail")[v]).otherwise(F.col(f"_lag_in_{o}")))
     drop = [b, "_lag_first", "_prev_tail"] + [f"_lag_in_{o}" for o in out_cols]
     return out.drop(*drop)
+
+
+def bucketed_row_number(df: DataFrame, keys: Sequence[str], ts_col: str, tiebreak: Sequence[str], out_col: str,
+                        bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> DataFrame:
+    """Add ``out_col = row_number() over (partition by keys order by ts, tiebreak)``.
+
+    A row's number is its number in its bucket plus the rows of the key's earlier buckets.
+    """
+    keys, b = list(keys), "_num_bucket"
+    base = df.withColumn(b, time_bucket(ts_col, bucket_seconds))
+    inside = F.row_number().over(Window.partitionBy(*keys, b).orderBy(ts_col, *tiebreak))
+    before = Window.partitionBy(*keys).orderBy(b).rowsBetween(Window.unboundedPreceding, -1)
+    sizes = base.groupBy(*keys, b).agg(F.count(F.lit(1)).alias("_size")).select(
+        *keys, b, F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_before"))
+    out = base.withColumn("_inside", inside).join(sizes.hint("merge"), on=[*keys, b], how="left")
+    return out.withColumn(out_col, F.col("_inside") + F.col("_before")).drop(b, "_inside", "_before")
+
+
+def asof_last(left: DataFrame, right: DataFrame, keys: Sequence[str], ts_col: str, tiebreak: Sequence[str],
+              value_cols: Sequence[str], bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> DataFrame:
+    """As-of join: each left row with ``value_cols`` of the newest right row of its key at or before its time.
+
+    Both sides run through one union, carried as a last known value: inside a (key, bucket)
+    by a window, across buckets by a window over one row per bucket. Of right rows at the same time
+    the last by ``tiebreak`` counts; left rows without a match, or with a null key, get nulls.
+    """
+    keys, b, known = list(keys), "_asof_bucket", "_asof_known"
+    value = F.struct(*[F.col(v).alias(v) for v in value_cols])
+    spare = [c for c in left.columns if c not in (*keys, ts_col)]
+    carry = [F.struct(*[F.col(c) for c in spare]).alias("_left")]
+    events = left.select(*keys, ts_col, *carry, F.lit(1).alias("_side"))
+    facts = right.select(*keys, ts_col, value.alias(known), F.struct(*tiebreak).alias("_tie"), F.lit(0).alias("_side"))
+    both = events.unionByName(facts, allowMissingColumns=True).withColumn(b, time_bucket(ts_col, bucket_seconds))
+
+    so_far = (Window.partitionBy(*keys, b).orderBy(ts_col, "_side", "_tie")
+              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    rows = both.withColumn("_inside", F.last(known, ignorenulls=True).over(so_far)).filter("_side = 1")
+    last = F.max_by(known, F.when(F.col("_side") == 0, F.struct(ts_col, "_tie")))
+    earlier = Window.partitionBy(*keys).orderBy(b).rowsBetween(Window.unboundedPreceding, -1)
+    tails = both.groupBy(*keys, b).agg(last.alias("_tail")).select(
+        *keys, b, F.last("_tail", ignorenulls=True).over(earlier).alias("_before"))
+    out = rows.join(tails.hint("merge"), on=[*keys, b], how="left")
+    some = F.lit(True)
+    for k in keys:
+        some = some & F.col(k).isNotNull()
+    found = F.when(some, F.coalesce("_inside", "_before"))
+    return out.withColumn("_found", found).select(
+        *keys, ts_col, "_left.*", *[F.col("_found")[v].alias(v) for v in value_cols])

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
 
 from releaseflow.operators import history as H
 from releaseflow.operators.rolling import DAY_US
@@ -121,3 +122,45 @@ LEFT JOIN cat c ON c.release_name = d.release_name""",
     "FROM rel GROUP BY 1, 2),\n" + calendar_values_sql()))
 def q_calendar_events(spark, sf_dir):
     return presentable(H.calendar_events(releases(spark, sf_dir), calendar_df(spark), catalog_df(spark)))
+
+
+@register("prior_as_known", with_base("""
+SELECT e.event_id, e.release_name, e.period, e.value, e.prior_period, v.value AS prior_known,
+       v.vintage AS prior_vintage, v.event_id AS prior_event_id
+FROM ev2 e ASOF LEFT JOIN vint v
+  ON e.release_name = v.release_name AND e.prior_period = v.period AND e.kafka_ts >= v.kafka_ts""", """
+per AS (
+  SELECT release_name, period, lag(period) OVER (PARTITION BY release_name ORDER BY period) AS prior_period
+  FROM (SELECT DISTINCT release_name, period FROM rel) t),
+ev2 AS (SELECT rel.*, per.prior_period FROM rel JOIN per USING (release_name, period)),
+vint AS (
+  SELECT *, row_number() OVER (PARTITION BY release_name, period ORDER BY kafka_ts) AS vintage FROM (
+    SELECT release_name, period, kafka_ts, arg_max(value, seq) AS value, arg_max(event_id, seq) AS event_id
+    FROM rel WHERE value IS NOT NULL GROUP BY 1, 2, 3) t)"""))
+def q_prior_as_known(spark, sf_dir):
+    return H.prior_as_known(releases(spark, sf_dir)).select(
+        "event_id", "release_name", "period", "value", "prior_period", "prior_known",
+        F.col("prior_vintage").cast("long").alias("prior_vintage"), "prior_event_id")
+
+
+TOLERANCE_DAYS = 3
+
+
+@register("schedule_match", with_base(f"""
+SELECT release_name, strftime(release_date, '%Y-%m-%d') AS release_date, n_events,
+       strftime(matched_date, '%Y-%m-%d') AS matched_date, days_off, expected_value
+FROM (
+  SELECT d.*, k.release_date AS matched_date, k.expected_value,
+         CAST(d.release_date - k.release_date AS BIGINT) AS days_off,
+         row_number() OVER (PARTITION BY d.release_name, d.release_date
+                            ORDER BY abs(d.release_date - k.release_date), k.release_date) AS rn
+  FROM days d LEFT JOIN calendar k ON k.release_name = d.release_name
+    AND abs(d.release_date - k.release_date) <= {TOLERANCE_DAYS}) t
+WHERE rn = 1""",
+    "days AS (SELECT release_name, CAST(kafka_ts AS DATE) AS release_date, count(*) AS n_events "
+    "FROM rel GROUP BY 1, 2),\n" + calendar_values_sql()))
+def q_schedule_match(spark, sf_dir):
+    """Days with events, each with the nearest scheduled date within a few days."""
+    days = H.release_days(releases(spark, sf_dir))
+    out = H.match_schedule(days, calendar_df(spark), TOLERANCE_DAYS)
+    return presentable(out.withColumn("days_off", F.col("days_off").cast("long")))

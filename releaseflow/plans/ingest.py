@@ -6,12 +6,13 @@ from pyspark.sql import functions as F
 
 from releaseflow.functions import parse as P
 from releaseflow.functions import payload as Y
+from releaseflow.operators import history as H
 from releaseflow.operators import integrity as G
 from releaseflow.plans.common import enriched, presentable, register, releases
 from releaseflow.plans.enrichment import ENRICHED_OUT
 from releaseflow.plans.oracle import BUS_CTES, json_sql, ts, with_base
 from releaseflow.schema import ALERT_COLUMNS, catalog_df
-from releaseflow.sources.events import bus_rows
+from releaseflow.sources.events import bus_rows, polled_rows
 
 EVENT_OUT = ["event_id", "source", "release_name", "indicator", "period", "value", "prior_value",
              "consensus", "revision", "release_ts", "kafka_ts", "partition", "offset"]
@@ -86,7 +87,7 @@ SELECT source || ':' || release_name || ':' || period AS key,
                  keep_nulls=True)} AS value
 FROM enr"""))
 def q_enriched_payload(spark, sf_dir):
-    return Y.enriched_messages(enriched(spark, sf_dir))
+    return Y.enriched_messages(enriched(spark, sf_dir)).select("key", "value")
 
 
 _ENRICHED_OUT_SQL = (
@@ -150,3 +151,72 @@ FROM (
   FROM valid GROUP BY event_id) t""", BUS_CTES))
 def q_constraint_check(spark, sf_dir):
     return G.constraint_check(valid(spark, sf_dir))
+
+
+_POLLED_SQL = """
+polled AS (
+  SELECT seq, event_id, source, release_name, period, release_ts, kafka_ts,
+         CASE WHEN seq % 97 = 0 THEN 'n/a' WHEN value IS NULL THEN '.' ELSE CAST(value AS VARCHAR) END AS v
+  FROM rel),
+obs AS (
+  SELECT *, TRY_CAST(nullif(v, '.') AS DOUBLE) AS value, v = '.' AS is_missing,
+         v <> '.' AND TRY_CAST(nullif(v, '.') AS DOUBLE) IS NULL AS is_unreadable
+  FROM polled)"""
+
+
+@register("polled_observations", with_base(
+    "SELECT event_id, release_name, period, value, is_missing, is_unreadable FROM obs", _POLLED_SQL))
+def q_polled_observations(spark, sf_dir):
+    """fn11: sentinel and text of polled series."""
+    return P.parse_observations(polled_rows(releases(spark, sf_dir))).select(
+        "event_id", "release_name", "period", "value", "is_missing", "is_unreadable")
+
+
+@register("polled_priors", with_base("""
+SELECT release_name, period, value, event_id,
+       lag(value) OVER (PARTITION BY release_name ORDER BY period) AS prior_value
+FROM (SELECT *, row_number() OVER (PARTITION BY release_name, period ORDER BY kafka_ts, seq) AS rn
+      FROM obs WHERE value IS NOT NULL) t
+WHERE rn = 1""", _POLLED_SQL))
+def q_polled_priors(spark, sf_dir):
+    """First readable observation of each period of a polled series, with the period's before."""
+    polled = P.parse_observations(polled_rows(releases(spark, sf_dir)))
+    return H.prior_from_lag(H.first_observations(polled)).select(
+        "release_name", "period", "value", "event_id", "prior_value")
+
+
+@register("generated_event_ids", with_base("""
+SELECT event_id AS source_id, substr(h, 1, 8) || '-' || substr(h, 9, 4) || '-' || substr(h, 13, 4) || '-' ||
+       substr(h, 17, 4) || '-' || substr(h, 21, 12) AS event_id
+FROM (SELECT event_id, sha256('["' || source || '","' || release_name || '","' || period || '","' || release_ts || '"]')
+             AS h FROM rel) t"""))
+def q_generated_event_ids(spark, sf_dir):
+    """fn13: ids that follow from source, release, period and release time."""
+    return releases(spark, sf_dir).select(
+        F.col("event_id").alias("source_id"),
+        P.generated_event_id("source", "release_name", "period", "release_ts").alias("event_id"))
+
+
+QUARANTINE_WIDTHS = {"source": 3, "release_name": 16, "indicator": 60, "period": 20}
+
+
+@register("quarantine_split", with_base("""
+SELECT event_id, concat_ws(',', CASE WHEN length(source) > 3 THEN 'wide:source' END,
+                           CASE WHEN length(release_name) > 16 THEN 'wide:release_name' END,
+                           CASE WHEN NOT regexp_matches(event_id, '[1-9]$') THEN 'form:event_id' END) AS violations
+FROM enr"""))
+def q_quarantine_split(spark, sf_dir):
+    """Rows that tight limits refuse, with the reasons, beside those they take (no reasons)."""
+    good, refused = G.quarantine_split(enriched(spark, sf_dir), widths=QUARANTINE_WIDTHS, id_pattern="[1-9]$")
+    return good.select("event_id", F.lit("").alias("violations")).unionByName(
+        refused.select("event_id", F.concat_ws(",", "violations").alias("violations")))
+
+
+@register("message_headers", with_base("""
+SELECT event_id, 'source=' || source || ';release_name=' || release_name || ';event_id=' || event_id AS headers
+FROM enr"""))
+def q_message_headers(spark, sf_dir):
+    """Headers of the enriched topic's messages."""
+    heads = F.transform("headers", lambda h: F.concat(h["key"], F.lit("="), h["value"].cast("string")))
+    rows = Y.enriched_messages(enriched(spark, sf_dir), "event_id")
+    return rows.select("event_id", F.array_join(heads, ";").alias("headers"))

@@ -91,6 +91,28 @@ def q_compacted_scan(spark, sf_dir):
     return presentable(compacted_table(spark, sf_dir).scan().select(*ENRICHED_OUT))
 
 
+ZORDER_RELEASE, ZORDER_SINCE = "FRED_CPI", "2024-01-25"
+
+
+def zordered_table(spark: SparkSession, sf_dir: str) -> VersionedTable:
+    k = ("zordered",) + _key(spark, sf_dir)
+    if k not in _built:
+        src = release_table(spark, sf_dir)
+        _built[k] = M.zorder(src, src.root + "_zordered")
+    return _built[k]
+
+
+@register("zorder_scan", with_base(f"""
+SELECT {_ENRICHED_OUT_SQL} FROM enr
+WHERE release_name = '{ZORDER_RELEASE}' AND processed_ts >= TIMESTAMP '{ZORDER_SINCE} 00:00:00'"""))
+def q_zorder_scan(spark, sf_dir):
+    """The Z-ordered copy, filtered on two of its columns: both reach the files' statistics."""
+    df = M.with_newer_batches(release_table(spark, sf_dir), zordered_table(spark, sf_dir))
+    df = df.filter((F.col("release_name") == ZORDER_RELEASE)
+                   & (F.col("processed_ts") >= F.lit(ZORDER_SINCE).cast("timestamp")))
+    return presentable(df.select(*ENRICHED_OUT))
+
+
 @register("retention_candidates", with_base(f"""
 SELECT batch_id, {ts('commit_ts')}, num_rows FROM commits
 WHERE commit_ts < TIMESTAMP '{AS_OF}' - INTERVAL 168 HOUR

@@ -93,6 +93,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)  # noqa: SLF001
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Remove a folder of derived state that nothing can read any more."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)  # noqa: SLF001
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)  # noqa: SLF001
+
+
 def partition_values(spark: SparkSession, root: str, column: str) -> set[str]:
     """Values of ``column=value`` sub-folders directly under ``root`` (one listing call)."""
     jvm = spark._jvm  # noqa: SLF001

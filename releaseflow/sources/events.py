@@ -15,6 +15,9 @@ the table. Rules (k = props.k):
 * revision = (event_type = 'error'); period = yyyy-MM-dd of ts
 * partition = id % 3; offset = id div 3; release_ts = ingested_ts = ISO text of ts
 
+Polled rows carry the value as text: "." where it is null, "n/a" when id % 97 = 0, else the
+number, within blanks when id % 7 = 0.
+
 Bus rows additionally carry faults: a malformed payload when id % 101 = 0,
 a missing indicator when id % 103 = 0, a release name outside the catalog
 (lower-cased) when id % 109 = 0, and a duplicate delivery when id % 20 = 0.
@@ -120,3 +123,12 @@ def bus_rows(releases: DataFrame, topic: str = TOPIC_RAW) -> DataFrame:
                     "partition",
                     (F.col("offset") + F.col("_copy") * F.lit(1 << 40)).alias("offset"),
                     F.col("kafka_ts").alias("timestamp")))
+
+
+def polled_rows(releases: DataFrame) -> DataFrame:
+    """Observations as a polled series gives them: release, period and the value as text."""
+    seq, number = F.col("seq"), F.col("value").cast("string")
+    text = (F.when(seq % 97 == 0, F.lit("n/a")).when(number.isNull(), F.lit("."))
+            .when(seq % 7 == 0, F.concat(F.lit("  "), number, F.lit(" "))).otherwise(number))
+    return releases.select("seq", "event_id", "source", "release_name", "period", "release_ts", "kafka_ts",
+                           text.alias("value_text"))

@@ -13,23 +13,33 @@ Differences from a one-query-per-sink layout, on purpose:
   (event_id for valid records, the bus position for the others, so malformed
   records never merge) and are split inside the fan-out; the dead-letter output
   and per-batch windowed counts are written there too, so the bus is read by a
-  single query. Windowed counts are partial counts per micro-batch, summed when
-  read (``operators.monitor.windowed_counts_from_partials``); an append-mode
-  stateful window query is optional.
+  single query. Windowed counts are kept up to date by day
+  (``operators.monitor.WindowTotals``); an append-mode stateful window query is optional.
 """
 
 from __future__ import annotations
 
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from releaseflow.functions.enrich import enrich
-from releaseflow.functions.parse import CORRUPT, dead_letters, is_valid, parse_bus, type_mismatches, valid_events
+from releaseflow.functions.parse import (
+    CORRUPT,
+    dead_letters,
+    is_valid,
+    parse_bus,
+    type_mismatches,
+    valid_events,
+    warned,
+)
 from releaseflow.operators.history import YEAR_US
-from releaseflow.operators.monitor import windowed_counts
+from releaseflow.operators.integrity import quarantine_split
+from releaseflow.operators.monitor import ProgressLog, WindowTotals, windowed_counts
 from releaseflow.schema import (
     BUS_SCHEMA,
     TOPIC_ANOMALIES,
@@ -46,6 +56,7 @@ from releaseflow.streaming.sinks import (
     BusSink,
     DeadLetterSink,
     ServingTarget,
+    quarantined,
     write_alerts,
     write_enriched_topic,
     write_serving,
@@ -56,11 +67,13 @@ from releaseflow.streaming.sinks import (
 
 def kafka_bus(spark: SparkSession, bootstrap_servers: str, topic: str = TOPIC_RAW,
               starting_offsets: str = "earliest",
-              max_offsets_per_trigger: int | None = None) -> DataFrame:
+              max_offsets_per_trigger: int | None = None, fail_on_data_loss: bool = True) -> DataFrame:
     """Kafka source (needs the spark-sql-kafka package). ``earliest`` so nothing
-    published before the first start is skipped; the checkpoint decides later."""
+    published before the first start is skipped; the checkpoint decides later. With
+    ``fail_on_data_loss=False`` the query goes on where offsets have expired on the bus; the
+    progress log counts them as ``offsets_skipped``."""
     options = {"kafka.bootstrap.servers": bootstrap_servers, "subscribe": topic,
-               "startingOffsets": starting_offsets, "failOnDataLoss": "false"}
+               "startingOffsets": starting_offsets, "failOnDataLoss": str(fail_on_data_loss).lower()}
     if max_offsets_per_trigger:
         options["maxOffsetsPerTrigger"] = str(max_offsets_per_trigger)
     return spark.readStream.format("kafka").options(**options).load()
@@ -122,44 +135,60 @@ class FanOut:
     parallel_sinks: int = 4
     seen: SeenEvents | None = None
     written: dict = field(default_factory=dict)
+    refused: dict = field(default_factory=dict)  # per batch, rows kept out of the serving table
+
+    def __post_init__(self):
+        if self.window_partials is not None:
+            self.windows = WindowTotals(self.table.spark, self.window_partials, self.window)
+        if self.history is not None and self.history_path:
+            self.history.context_path = self.history_path.rstrip("/")
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        if self.seen is not None:
-            batch = self.seen.fresh(batch, batch_id)
-        batch = batch.persist()
+        arrived = batch.persist()  # parsed once, whatever reads it
         try:
+            batch = arrived if self.seen is None else self.seen.fresh(arrived, batch_id).persist()
             if batch.isEmpty():
                 return
             tasks = []
             if self.seen is not None:
                 everything = batch
                 tasks.append(lambda: self.seen.commit(everything, batch_id))
-            if "payload" in batch.columns:  # routed stream: split valid rows and dead letters
-                if self.dead_letters is not None:
-                    dlq = dead_letters(batch).unionByName(type_mismatches(batch))
-                    tasks.append(lambda: self.dead_letters.write(dlq, batch_id))
-                batch_valid = batch.filter(is_valid()).drop("payload", CORRUPT, DEDUP_KEY)
-            else:
-                batch_valid = batch
-            b = batch_valid
+            routed = "payload" in batch.columns  # then valid rows and dead letters come together
+            valid = batch.filter(is_valid()) if routed else batch
+            b = valid.drop("payload", CORRUPT, DEDUP_KEY)
+            letters = [dead_letters(batch), type_mismatches(batch), warned(batch)] if routed else []
+            served = b
+            if self.serving is not None:
+                # The table keeps every valid row; the serving table only gets what it can take.
+                good, refused = quarantine_split(valid, id_pattern=self.serving.id_pattern)
+                served = good.drop("payload", CORRUPT, DEDUP_KEY)
+                letters.append(quarantined(refused))
+            if self.dead_letters is not None and letters:
+                dlq = reduce(DataFrame.unionByName, letters)
+
+                def write_letters():
+                    refusals = Observation(f"refused_{batch_id}_{uuid.uuid4().hex}")
+                    count = F.sum(F.when(F.col("dlq_reason") == "constraint", 1).otherwise(0))
+                    self.dead_letters.write(dlq.observe(refusals, count.alias("n")), batch_id)
+                    self.refused[batch_id] = int(refusals.get.get("n") or 0)
+                tasks.append(write_letters)
             tasks.append(lambda: self.written.__setitem__(batch_id, self.table.write_batch(b, batch_id)))
             if self.anomalies is not None:
                 tasks.append(lambda: self.anomalies.write_batch(
                     b.filter(F.col("is_anomaly") == F.lit(True)), batch_id))
             if self.serving is not None:
-                tasks.append(lambda: write_serving(b, self.serving))
+                tasks.append(lambda: write_serving(served, self.serving))
             if self.alerts is not None:
                 tasks.append(lambda: write_alerts(b, batch_id, self.alerts))
             if self.enriched_topic is not None:
                 tasks.append(lambda: write_enriched_topic(b, batch_id, self.enriched_topic))
             if self.window_partials is not None:
-                tasks.append(lambda: windowed_counts(b, self.window).write.mode("overwrite")
-                             .parquet(f"{self.window_partials}/batch_id={batch_id}"))
+                tasks.append(lambda: self.windows.add(b, batch_id))
             if self.history is not None:
                 def history():
-                    ctx = self.history.process(b.drop("is_late"), batch_id)
-                    ctx.write.mode("overwrite").parquet(f"{self.history_path}/batch_id={batch_id}")
-                    self.history.commit(b.drop("is_late"), batch_id)
+                    rows = b.drop("is_late")
+                    self.history.emit(self.history.process(rows, batch_id), batch_id)
+                    self.history.commit(rows, batch_id)
                 tasks.append(history)
             # The sinks are independent and idempotent: run their jobs concurrently over the
             # persisted batch. Any failure fails the batch, which then replays as a whole.
@@ -169,6 +198,7 @@ class FanOut:
                     f.result()
         finally:
             batch.unpersist()
+            arrived.unpersist()
 
 
 @dataclass
@@ -187,7 +217,8 @@ class StreamConfig:
 def start(spark: SparkSession, bus: DataFrame, cfg: StreamConfig) -> dict:
     """Start the fan-out query (one read of the bus); optionally the stateful window query.
 
-    Returns ``{"main", "queries", "fanout"}``.
+    Returns ``{"main", "queries", "fanout", "listener"}``; the listener logs each batch's progress and stays
+    until ``spark.streams.removeListener``.
     """
     root = cfg.root.rstrip("/")
     fan = FanOut(
@@ -204,6 +235,8 @@ def start(spark: SparkSession, bus: DataFrame, cfg: StreamConfig) -> dict:
         window=cfg.window,
         seen=SeenEvents(spark, f"{root}/_seen_events", DEDUP_KEY, cfg.watermark),
     )
+    log = ProgressLog(spark, f"{root}/progress", ("releases_main", "releases_windows"))
+    spark.streams.addListener(log)
     main = (routed_stream(bus).writeStream
             .queryName("releases_main")
             .option("checkpointLocation", f"{cfg.checkpoint_root}/releases_main")
@@ -220,4 +253,5 @@ def start(spark: SparkSession, bus: DataFrame, cfg: StreamConfig) -> dict:
             .option("checkpointLocation", f"{cfg.checkpoint_root}/releases_windows")
             .trigger(**cfg.trigger)
             .start())
-    return {"main": main, "queries": queries, "fanout": fan}
+    log.ids = {q.id for q in queries}
+    return {"main": main, "queries": queries, "fanout": fan, "listener": log}

@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from releaseflow.functions.payload import alert_messages, enriched_messages, serving_rows
+from releaseflow.operators.integrity import UUID_PATTERN
 from releaseflow.session import path_exists
 
 
@@ -76,7 +77,12 @@ def write_enriched_topic(batch: DataFrame, batch_id: int, sink: BusSink) -> None
 # -- serving table ------------------------------------------------------------------------
 
 class ServingTarget:
-    """Where serving rows go; implementations read existing keys and append."""
+    """Where serving rows go; implementations read existing keys and append.
+
+    ``id_pattern`` is the form that the target's event_id column takes, None for any text.
+    """
+
+    id_pattern: str | None = None
 
     def existing_keys(self, spark: SparkSession, since: datetime) -> DataFrame:
         raise NotImplementedError
@@ -98,6 +104,7 @@ class JdbcServingTarget(ServingTarget):
         # Let PostgreSQL cast string parameters into its UUID / TIMESTAMPTZ columns.
         if self.url.startswith("jdbc:postgresql:"):
             self.properties.setdefault("stringtype", "unspecified")
+            self.id_pattern = UUID_PATTERN
 
     def existing_keys(self, spark, since):
         q = (f"(SELECT CAST(event_id AS VARCHAR(64)) AS event_id FROM {self.table} "
@@ -142,6 +149,14 @@ def write_serving(batch: DataFrame, target: ServingTarget) -> DataFrame:
     return fresh
 
 
+def quarantined(refused: DataFrame) -> DataFrame:
+    """Dead letters of valid rows that the serving table would refuse; ``missing_fields`` names what is wrong."""
+    payload = F.col("payload") if "payload" in refused.columns else F.lit(None).cast("string")
+    return refused.select("kafka_ts", "partition", "offset", "event_id", payload.alias("payload"),
+                          F.lit("constraint").alias("dlq_reason"),
+                          F.concat_ws(",", "violations").alias("missing_fields"))
+
+
 def dead_letter_messages(dlq: DataFrame) -> DataFrame:
     """DLQ records for the bus: key = reason, value = JSON of the record and its raw payload."""
     from releaseflow.functions.payload import json_of

@@ -32,6 +32,8 @@ def test_cli_stream_report_maintain(spark, workdir, capsys):
     c = VersionedTable(spark, f"{root}/releases_enriched_compacted")
     assert c.scan().count() == t.scan().count()
     rows = t.scan().count()
+    jobs.main(["leaderboard", "--root", root, "--optimized", "--out", f"{workdir}/leaderboard_optimized"])
+    assert spark.read.parquet(f"{workdir}/leaderboard_optimized").count() == groups.count()
     jobs.main(["retention", "--root", root, "--retain-hours", "1", "--as-of", "2100-01-01 00:00:00"])
     assert "num_rows" in capsys.readouterr().out
     assert t.scan().count() == rows

@@ -78,3 +78,63 @@ def test_concurrent_batch_writes_count_their_own_rows(spark, workdir):
         n1, n2 = f1.result(), f2.result()
     assert (n1, n2) == (10, big.count())
     assert t1.commits().first().num_rows == 10
+
+
+def _groups_read(path, column, low, high):
+    """Share of row groups whose statistics allow values of ``column`` in [low, high]."""
+    import glob
+
+    import pyarrow.parquet as pq
+    total = read = 0
+    for f in glob.glob(f"{path}/*.parquet"):
+        meta = pq.ParquetFile(f).metadata
+        at = meta.schema.names.index(column)
+        for g in range(meta.num_row_groups):
+            stats = meta.row_group(g).column(at).statistics
+            total += 1
+            read += stats.min <= high and stats.max >= low
+    return read / total
+
+
+def test_zorder_prunes_by_each_column_alone(spark, workdir):
+    import datetime
+
+    from releaseflow.operators.maintenance import zorder
+    t = VersionedTable(spark, f"{workdir}/t")
+    rows = enriched(spark, "/root/testdata/sf0.01").drop("seq", "batch_id")
+    t.write_batch(rows, 0, "2024-01-01 00:00:00")
+    z = zorder(t, f"{workdir}/z", num_partitions=32)
+    cols = ["event_id", "value", "surprise_pct", "batch_id", "source", "processing_date", "processed_ts"]
+    assert t.scan().select(*cols).exceptAll(z.scan().select(*cols)).count() == 0
+    assert z.scan().count() == t.scan().count()
+    data = f"{workdir}/z/data"
+    names = sorted({r[0] for r in rows.select("release_name").distinct().collect()})
+    assert max(_groups_read(data, "release_name", n, n) for n in names) < 0.5
+    sources = {r[0]: r[1] for r in rows.groupBy("source").count().collect()}
+    rare = min(sources, key=sources.get)
+    assert _groups_read(data, "source", rare, rare) < 0.5
+    for day in (3, 15, 28):
+        low = datetime.datetime(2024, 1, day, tzinfo=datetime.timezone.utc)
+        assert _groups_read(data, "processed_ts", low, low + datetime.timedelta(days=1)) < 0.5
+
+
+def test_zorder_splits_a_hot_cell_and_takes_nulls(spark, workdir):
+    from releaseflow.operators.maintenance import zorder
+    t = VersionedTable(spark, f"{workdir}/t")
+    rows = enriched(spark, SF_SMALL).drop("seq", "batch_id").withColumn("source", F.lit("one")).withColumn(
+        "release_name", F.when(F.col("event_id").cast("long") % 7 > 0, F.lit("hot")))
+    t.write_batch(rows, 0, "2024-01-01 00:00:00")
+    z = zorder(t, f"{workdir}/z", columns=("release_name", "source"), num_partitions=8)
+    sizes = [r["count"] for r in z.scan().groupBy(F.input_file_name()).count().collect()]
+    assert sum(sizes) == rows.count() and max(sizes) < 0.3 * sum(sizes)
+
+
+def test_optimized_reads_add_newer_batches(spark, workdir):
+    from releaseflow.operators.maintenance import with_newer_batches, zorder
+    t = VersionedTable(spark, f"{workdir}/t")
+    df = _batches(spark)
+    t.write_batch(df.filter("b = 0").drop("b"), 0, "2024-01-01 00:00:00")
+    z = zorder(t, f"{workdir}/z", num_partitions=2)
+    t.write_batch(df.filter("b = 1").drop("b"), 1, "2024-01-02 00:00:00")
+    ids = [r[0] for r in with_newer_batches(t, z).select("event_id").collect()]
+    assert sorted(ids) == sorted(r[0] for r in t.scan().select("event_id").collect()) and len(set(ids)) == len(ids)
