@@ -4,7 +4,7 @@ A text is the average of hashed subword embeddings (character 1- to 4-grams of
 the lower-cased text, blanks included) under a linear softmax, as in fastText,
 trained by stochastic gradient descent in numpy on the driver. Training rows are
 a bounded sample: about ``PER_LABEL`` documents of each language (fewer beyond
-``FULL_LABELS`` languages, ``LEAST_PER_LABEL`` at least), chosen by a hash of the id,
+``FULL_LABELS`` languages, ``LEAST_PER_LABEL`` at least), chosen by a hash of id and text,
 each giving up to ``SEGMENTS`` stretches of at most ``SEGMENT_CHARS`` characters. A fifth of the sample is kept
 for calibration: a temperature for the scores and the rejection limit.
 
@@ -95,14 +95,14 @@ def training_sample(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
         return []
     share = min(PER_LABEL, max(LEAST_PER_LABEL, PER_LABEL * FULL_LABELS // len(counts)))
     rate = F.create_map(*(F.lit(x) for r in counts for x in (r[0], min(1.0, share / r[1]))))
-    draw = F.pmod(F.xxhash64(id_col, F.lit(1)), F.lit(1 << 30)) / F.lit(1 << 30)
+    draw = F.pmod(F.xxhash64(id_col, text_col, F.lit(1)), F.lit(1 << 30)) / F.lit(1 << 30)
     size = F.length(text_col)
     at = [F.pmod(F.xxhash64(id_col, F.lit(k + 2)), F.greatest(size - SEGMENT_CHARS + 1, F.lit(1)))
           for k in range(SEGMENTS)]
     texts = F.array_distinct(F.array(*(F.substring(text_col, a.cast("int") + 1, F.lit(SEGMENT_CHARS)) for a in at)))
+    # Rows are drawn each by itself and equal stretches kept once, so repeated rows can't crowd out others.
     return [(r[0], r[1]) for r in rows.filter(draw < rate[F.col(label_col)])
-            .select(label_col, F.explode(texts).alias("piece"))
-            .limit(2 * share * SEGMENTS * len(counts)).collect() if _LETTER.search(r[1])]
+            .select(label_col, F.explode(texts).alias("piece")).distinct().collect() if _LETTER.search(r[1])]
 
 
 def train(sample: list[tuple[str, str]], epochs: int = 4, rate: float = 4.0, seed: int = 3) -> LanguageModel:
@@ -112,7 +112,6 @@ def train(sample: list[tuple[str, str]], epochs: int = 4, rate: float = 4.0, see
     if not labels:
         return LanguageModel([], np.zeros((BUCKETS, 0)), np.zeros(0))
     rng = np.random.default_rng(seed)
-    grams = [np.concatenate(list(_grams(text, BUCKETS))) for _, text in sample]
     want = np.array([labels.index(lab) for lab, _ in sample])
     order = rng.permutation(len(sample))
     held, fit = order[:len(order) // 5], order[len(order) // 5:]
@@ -127,7 +126,8 @@ def train(sample: list[tuple[str, str]], epochs: int = 4, rate: float = 4.0, see
     for step in range(steps):
         k = fit[rng.integers(len(fit))]
         pace = rate * (1 - step / steps)
-        mean = emb[grams[k]].mean(axis=0)
+        grams = np.concatenate(list(_grams(sample[k][1], BUCKETS)))  # anew each time: the driver keeps the texts only
+        mean = emb[grams].mean(axis=0)
         z = mean @ out + bias
         p = np.exp(z - z.max())
         p /= p.sum()
@@ -135,8 +135,8 @@ def train(sample: list[tuple[str, str]], epochs: int = 4, rate: float = 4.0, see
         back = out @ p
         out -= pace * np.outer(mean, p)
         bias -= 0.1 * pace * p
-        ids, n = np.unique(grams[k], return_counts=True)
-        emb[ids] -= (pace * n / len(grams[k]))[:, None] * back
+        ids, n = np.unique(grams, return_counts=True)
+        emb[ids] -= (pace * n / len(grams))[:, None] * back
     model = LanguageModel(labels, emb @ out, bias)
     return _calibrate(model, [sample[k][1] for k in held], want[held])
 
