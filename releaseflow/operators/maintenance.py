@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from releaseflow.schema import RETENTION_HOURS, SINK_PARTITION_COLUMNS
+from releaseflow.session import setting
 from releaseflow.sources.table import VersionedTable
 
 ZORDER_COLUMNS = ("release_name", "source", "processed_ts")
@@ -96,7 +97,8 @@ def zorder(table: VersionedTable, target_root: str, columns: tuple[str, ...] = Z
     order = ["_z", "processed_ts", "event_id"]  # the last two split a cell that holds many rows
     clustered = coded.repartitionByRange(n, *order).sortWithinPartitions(*order).drop("_z")
     target = VersionedTable(table.spark, target_root)
-    clustered.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(target.data_path)
+    with setting(table.spark, "spark.sql.parquet.outputTimestampType", "TIMESTAMP_MICROS"):  # INT96 has no statistics
+        clustered.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(target.data_path)
     # The record comes last: it says which batches the copy holds.
     copied = clustered.select("batch_id").distinct()
     commits = table.commits().join(copied, "batch_id", "left_semi").select("commit_ts", "operation", "num_rows", "batch_id")

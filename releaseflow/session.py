@@ -10,6 +10,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -23,6 +25,8 @@ _SESSION_DEFAULTS = {
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    # Timestamps of this type carry min/max statistics, so filters on them skip row groups.
+    "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
     # Dynamic partition overwrite makes batch_id=N/ writes replay-safe.
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
@@ -51,6 +55,20 @@ def ensure_utc(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
+@contextmanager
+def setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    """A session setting for one write."""
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder for lineage cuts and derived tables.
 
