@@ -65,11 +65,11 @@ def hide_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Training windows of 1024 ids, one row per piece."""
+    """Training windows of 1024 ids, one row per piece; ``token_bytes`` holds the ids (little-endian 32 bit)."""
     pieces = packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"),
                                     public_tokenizers.PATTERN)
     return pieces.select("doc_id", "start", "length", F.crc32("token_bytes").alias("ids_crc32"),
-                         "doc_tokens", "sequence_id", "offset")
+                         "doc_tokens", "sequence_id", "offset", "token_bytes")
 
 
 STAGES = [
