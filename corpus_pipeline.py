@@ -82,11 +82,14 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents table."""
+    """All stages over the documents table: the pieces' places and checksums.
+
+    The ids themselves (``token_bytes``) stay in the last stage's table in the shared folder.
+    """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     base = scratch_path(spark, "corpus", unique=True)
     for k, (name, stage) in enumerate(STAGES):
         path = f"{base}/{k}_{name}"
         stage(spark, docs, sf_dir).write.mode("overwrite").parquet(path)
         docs = spark.read.parquet(path)
-    return docs
+    return docs.drop("token_bytes")
