@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from releaseflow.llm.components import saved
-from releaseflow.llm.spans import SPAN, blanked, find, pieces, searchable
+from releaseflow.llm.spans import SPAN, blanked, chunks, cut, find, pieces, searchable
 
 KINDS = ("email", "ip", "card", "phone", "context")
 ROUNDS, MIN_SCORE, MIN_SEEDS = 3, 0.8, 5
@@ -69,25 +69,26 @@ def _found(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     base = F.sort_array(F.concat(*(
         _checked(find(F.col(f"p_{k}"), k, n), k)
         for n, k in enumerate(KINDS[:4]))))
-    rows = rows.select("*", base.alias("base"))
-
-    free = F.when(F.size("base") > 0, blanked(F.col("clean"), F.col("base"), _TAKEN)).otherwise(F.col("clean"))
-    rows = rows.withColumn("p_token", pieces(free, _TOKEN))
+    # A generator's outputs are stored: the lists below are made once, not once per element that looks into them.
+    rows = rows.select("id", "row", "clean", F.length("clean").alias("n"), F.inline(F.array(F.struct(
+        base.alias("base"), chunks(F.col("clean")).alias("parts")))))
+    free = F.when(F.size("base") > 0, blanked(F.col("parts"), F.col("n"), F.col("base"), _TAKEN)).otherwise(F.col("clean"))
+    rows = rows.select("*", F.inline(F.array(F.struct(pieces(free, _TOKEN).alias("p_token")))))
 
     def mention(span: Column, seed: bool) -> Column:
         return F.struct(span.alias("span"), F.lit(seed).alias("seed"),
-                        F.lower(_words_before(F.col("clean"), span["start"])).alias("words"))
+                        F.lower(_words_before(F.col("parts"), span["start"])).alias("words"))
 
     mentions = F.concat(F.transform("base", lambda s: mention(s, True)),
                         F.transform(find(F.col("p_token"), "context", 4), lambda s: mention(s, False)))
     return rows.select("id", "row", "base", mentions.alias("mentions"))
 
 
-def _words_before(clean: Column, start: Column) -> Column:
-    """The two words before a place, or an empty text."""
+def _words_before(parts: Column, start: Column) -> Column:
+    """The two words before a place of a text in chunks, or an empty text."""
     def sought(chars: Column) -> Column:
         n = F.least(start, chars)
-        before = F.concat(F.when(n == start, F.lit(" ")).otherwise(F.lit("")), F.substring(clean, start - n + 1, n))
+        before = F.concat(F.when(n == start, F.lit(" ")).otherwise(F.lit("")), cut(parts, start - n, n))
         return F.get(F.regexp_extract_all(before, F.lit(r"\s(\S++\s++\S++)\s++$"), F.lit(1)), F.lit(0))
 
     return F.coalesce(*(sought(F.lit(n)) for n in CONTEXT_CHARS), sought(start), F.lit(""))

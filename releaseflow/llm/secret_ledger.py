@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from releaseflow.llm.components import saved
-from releaseflow.llm.spans import SPAN, find, masked, pieces, searchable
+from releaseflow.llm.spans import SPAN, chunks, find, masked, pieces, searchable
 
 RULE_VERSION = 2
 BASE = ("assign", "access", "hex")
@@ -105,5 +105,6 @@ def mask_secrets(df: DataFrame, ledger: DataFrame | None = None, id_col: str = "
     row = F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("row")  # the caller's names meet none of ours
     out = _joined_back(df.select(row, blob_of(F.col(text_col)).alias("blob")), findings)
     text = F.col(f"row.`{text_col}`")
-    text = F.when(F.size("spans") > 0, masked(text, F.col("spans"), MASK)).otherwise(text)
+    out = out.select("row", "spans", F.inline(F.array(F.struct(F.when(F.size("spans") > 0, chunks(text)).alias("parts")))))
+    text = F.when(F.size("spans") > 0, masked(F.col("parts"), F.length(text), F.col("spans"), MASK)).otherwise(text)
     return out.select(*((text if c == text_col else F.col(f"row.`{c}`")).alias(c) for c in df.columns))

@@ -2,7 +2,12 @@
 
 ``find`` marks every match with a separator, splits at it and adds up lengths, so
 the start and end of each match come out in code points without Python. Java's
-possessive quantifiers keep the patterns linear on very long texts.
+possessive quantifiers keep the patterns linear on very long texts. Nothing here
+copies a text or a list of spans once per span: places are added up in groups
+(``running``), and stretches are cut from chunks of a text (``cut``).
+
+Where an argument must be a stored column, an expression given instead would be
+evaluated once per element.
 """
 
 from __future__ import annotations
@@ -25,19 +30,40 @@ def pieces(clean: Column, pattern: str) -> Column:
     return F.split(F.regexp_replace(clean, pattern, f"{_SEP}$0{_SEP}"), _SEP, -1)
 
 
-def find(parts: Column, kind: str, rank: int) -> Column:
-    """Spans ``(start, rank, end, kind, text)`` of the matches in ``pieces``."""
-    none = F.array().cast(f"array<{SPAN}>")
-    begin = F.struct(F.lit(0).alias("at"), F.lit(False).alias("hit"), none.alias("out"))
+def running(values: Column, start: Column, step) -> Column:
+    """For each value what ``step`` makes of ``start`` and the values before it; ``values`` must be a stored column.
+
+    Adding to an array copies it, so the values are taken in groups of about the root of their number:
+    a group adds to a short array, and only one value for each group to another.
+    """
+    n = F.size(values)
+    width = F.greatest(F.ceil(F.sqrt(n)).cast("int"), F.lit(1))
+    groups = F.transform(F.sequence(F.lit(0), F.greatest(F.ceil(n / width).cast("int") - 1, F.lit(0))),
+                         lambda k: F.slice(values, k * width + 1, width))
 
-    def step(acc: Column, part: Column) -> Column:
-        end = acc["at"] + F.length(part)
-        span = F.struct(acc["at"].alias("start"), F.lit(rank).alias("rank"), end.alias("end"),
-                        F.lit(kind).alias("kind"), part.alias("text"))
-        return F.struct(end.alias("at"), (~acc["hit"]).alias("hit"),
-                        F.when(acc["hit"], F.concat(acc["out"], F.array(span))).otherwise(acc["out"]).alias("out"))
+    def scan(items: Column, first: Column, step_) -> Column:
+        begin = F.struct(first.alias("at"), F.array().cast("array<int>").alias("out"))
+        return F.aggregate(items, begin, lambda acc, x: F.struct(
+            step_(acc["at"], x).alias("at"), F.concat(acc["out"], F.array(acc["at"])).alias("out")),
+            lambda acc: acc["out"])
 
-    return F.when(F.size(parts) > 1, F.aggregate(parts, begin, step, lambda acc: acc["out"])).otherwise(none)
+    def total(at: Column, group: Column) -> Column:
+        return F.aggregate(group, at, step)
+
+    firsts = scan(groups, start, total)
+    return F.flatten(F.transform(F.arrays_zip(groups.alias("g"), firsts.alias("f")),
+                                 lambda z: scan(z["g"], z["f"], step)))
+
+
+def find(parts: Column, kind: str, rank: int) -> Column:
+    """Spans ``(start, rank, end, kind, text)`` of the matches in ``pieces``; ``parts`` must be a stored column."""
+    none = F.array().cast(f"array<{SPAN}>")
+    starts = running(parts, F.lit(0), lambda at, part: at + F.length(part))
+    placed = F.filter(F.arrays_zip(parts.alias("part"), starts.alias("at")), lambda z, i: i % 2 == 1)
+    spans = F.transform(placed, lambda z: F.struct(
+        z["at"].alias("start"), F.lit(rank).alias("rank"), (z["at"] + F.length(z["part"])).alias("end"),
+        F.lit(kind).alias("kind"), z["part"].alias("text")))
+    return F.when(F.size(parts) > 1, spans).otherwise(none)
 
 
 def joined(spans: Column) -> Column:
@@ -49,29 +75,47 @@ def count_of(spans: Column, kind: str) -> Column:
     return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long")
 
 
-def masked(text: Column, spans: Column, mask: str) -> Column:
-    """``text`` with every stretch covered by sorted spans replaced by ``mask``."""
-    begin = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+#: Code points in a chunk of ``chunks``.
+CHUNK = 1024
+
+
+def chunks(text: Column) -> Column:
+    """``text`` cut into chunks of ``CHUNK`` code points, from which ``cut`` takes stretches without counting from the start."""
+    return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{CHUNK}}}"), F.lit(0))
+
+
+def cut(parts: Column, start: Column, length: Column) -> Column:
+    """``length`` code points (none if negative) from place ``start`` (from 0) of a text in ``chunks``, a stored column."""
+    first = F.floor(start / CHUNK).cast("int")
+    last = F.least(F.floor((start + F.greatest(length, F.lit(1)) - 1) / CHUNK).cast("int") + 1, F.size(parts))
+    own = F.array_join(F.slice(parts, first + 1, F.greatest(last - first, F.lit(0))), "")
+    return F.when(length > 0, F.substring(own, start - first * CHUNK + 1, length)).otherwise(F.lit(""))
+
+
+def _rewritten(parts: Column, length: Column, spans: Column, instead) -> Column:
+    """A text in ``chunks`` with the stretches covered by sorted spans rewritten.
+
+    ``instead(start, end, fresh)`` stands for what a span covers beyond the ones before it; ``fresh`` tells
+    that it begins outside them. ``spans`` must be a stored column.
+    """
+    done = running(spans, F.lit(0), lambda at, s: F.greatest(at, s["end"]))
+    placed = F.arrays_zip(spans.alias("s"), done.alias("done"))
 
-    def step(acc: Column, s: Column) -> Column:
-        fresh = s["start"] >= acc["at"]
-        gap = F.substring(text, acc["at"] + 1, s["start"] - acc["at"])
-        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"),
-                        F.when(fresh, F.concat(acc["out"], gap, F.lit(mask))).otherwise(acc["out"]).alias("out"))
+    def piece(z: Column) -> Column:
+        begin = F.greatest(z["done"], z["s"]["start"])
+        gap = cut(parts, z["done"], begin - z["done"])
+        return F.concat(gap, instead(begin, z["s"]["end"], z["s"]["start"] >= z["done"]))
 
-    return F.aggregate(spans, begin, step, lambda acc: F.concat(
-        acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
+    end = F.coalesce(F.array_max(F.transform(spans, lambda s: s["end"])), F.lit(0))
+    return F.concat(F.array_join(F.transform(placed, piece), ""), cut(parts, end, length - end))
 
 
-def blanked(text: Column, spans: Column, filler: str) -> Column:
-    """``text`` with every character covered by sorted spans replaced by ``filler``."""
-    begin = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+def masked(parts: Column, length: Column, spans: Column, mask: str) -> Column:
+    """The text with every stretch covered by sorted spans replaced by ``mask``, overlapping ones by one."""
+    return _rewritten(parts, length, spans, lambda begin, end, fresh: F.when(fresh, F.lit(mask)).otherwise(F.lit("")))
 
-    def step(acc: Column, s: Column) -> Column:
-        begin = F.greatest(acc["at"], s["start"])
-        gap = F.substring(text, acc["at"] + 1, begin - acc["at"])
-        over = F.repeat(F.lit(filler), F.greatest(s["end"] - begin, F.lit(0)))
-        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.concat(acc["out"], gap, over).alias("out"))
 
-    return F.aggregate(spans, begin, step, lambda acc: F.concat(
-        acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
+def blanked(parts: Column, length: Column, spans: Column, filler: str) -> Column:
+    """The text with every character covered by sorted spans replaced by ``filler``."""
+    return _rewritten(parts, length, spans,
+                      lambda begin, end, fresh: F.repeat(F.lit(filler), F.greatest(end - begin, F.lit(0))))

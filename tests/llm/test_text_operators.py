@@ -456,3 +456,58 @@ def test_buckets_follow_the_number_of_windows(spark, monkeypatch):
     assert [sorted(map(str, f(docs).collect())) for f in (
         jaccard_join.jaccard_components, substring_dedup.strip_repeats)] == want
     assert min(seen) > 16
+
+
+# -- spans of long texts -----------------------------------------------------------------------------
+
+
+def test_running_equals_a_plain_scan(spark):
+    rng = random.Random(6)
+    rows = [([rng.randrange(50) for _ in range(n)],) for n in (0, 1, 2, 3, 4, 5, 15, 16, 17, 100, 1000)]
+    df = spark.createDataFrame(rows, "v array<int>")
+    sums = df.select("v", spans.running(F.col("v"), F.lit(0), lambda at, x: at + x).alias("s"),
+                     spans.running(F.col("v"), F.lit(7), lambda at, x: F.greatest(at, x)).alias("m"))
+    for r in sums.collect():
+        assert r["s"] == [sum(r["v"][:k]) for k in range(len(r["v"]))]
+        assert r["m"] == [max([7, *r["v"][:k]]) for k in range(len(r["v"]))]
+
+
+def test_rewriting_spans_equals_plain_slices(spark):
+    rng = random.Random(9)
+    rows = []
+    for k in range(60):
+        n = rng.choice([0, 5, 200, 1023, 1024, 1025, 5000])
+        text = "".join(rng.choice("ab é\U0001F600\n") for _ in range(n))
+        found = sorted((a, 0, min(n, a + rng.randrange(1, rng.choice([4, 40, 3000]))), "k", "t")
+                       for a in (rng.randrange(n) for _ in range(rng.randrange(8) if n else 0)))
+        rows.append((text, found))
+    df = spark.createDataFrame(rows, f"text string, spans array<{spans.SPAN}>").select(
+        "*", F.inline(F.array(F.struct(spans.chunks(F.col("text")).alias("parts")))))
+    n = F.length("text")
+    got = df.select(spans.masked(F.col("parts"), n, F.col("spans"), "[S]"),
+                    spans.blanked(F.col("parts"), n, F.col("spans"), "#")).collect()
+    for (text, found), (masked, blanked) in zip(rows, got):
+        plain, at = "", 0
+        cover = [False] * len(text)
+        for a, _, b, _, _ in found:
+            plain += (text[at:a] + "[S]") if a >= at else ""
+            at = max(at, b)
+            cover[a:b] = [True] * (b - a)
+        assert masked == plain + text[at:]
+        assert blanked == "".join("#" if c else x for c, x in zip(cover, text))
+
+
+def test_one_text_with_very_many_finds(spark):
+    import time
+    line = "mail user{0}@example.org token=abcdef{0} from 10.0.0.1 call +49 30 1234567 ok\n"
+    text = "".join(line.format(k) for k in range(12_000))
+    docs = spark.createDataFrame([(1, text), (2, "short secret=abcdefgh"), (3, None)], "doc_id long, text string")
+    began = time.monotonic()
+    found = {r["doc_id"]: r for r in pii.personal_data(docs).collect()}
+    assert len(found[1]["base"]) == 36_000
+    secrets = {r["doc_id"]: r for r in secret_ledger.scan_secrets(docs).collect()}
+    assert len(secrets[1]["base"]) == 12_000 and len(secrets[2]["base"]) == 1
+    assert all(text[s["start"]:s["end"]] == s["text"] for s in found[1]["base"][::500])
+    hidden = {r["doc_id"]: r["text"] for r in secret_ledger.mask_secrets(docs).collect()}
+    assert hidden[1].count(secret_ledger.MASK) == 12_000 and "abcdef" not in hidden[1] and hidden[3] is None
+    assert time.monotonic() - began < 120  # the square of the finds would take hours
