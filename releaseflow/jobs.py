@@ -17,6 +17,7 @@ from __future__ import annotations
 import argparse
 import os
 import sys
+import time
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -42,6 +43,26 @@ REPORTS = {
 }
 
 
+def _credentials(a: argparse.Namespace) -> dict[str, str]:
+    """JDBC properties; the password comes from a file, not from the command line that others can list."""
+    out = {"user": a.serving_user} if a.serving_user else {}
+    if a.serving_password_file:
+        with open(a.serving_password_file, encoding="utf-8") as f:
+            out["password"] = f.read().strip()
+    return out
+
+
+def stop_after_batch(queries: list, wait: float = 300.0) -> None:
+    """Stop queries once their running micro-batch has ended; after ``wait`` seconds stop them anyway.
+
+    A batch that is interrupted replays at the next start."""
+    end = time.monotonic() + wait
+    for q in queries:
+        while q.isActive and q.status["isTriggerActive"] and time.monotonic() < end:
+            time.sleep(0.1)
+        q.stop()
+
+
 def main(argv: list[str] | None = None) -> None:
     p = argparse.ArgumentParser(description="releaseflow jobs")
     p.add_argument("action", choices=["stream", "optimize", "retention", "history", "sql", *REPORTS])
@@ -65,6 +86,12 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--trigger", default=TRIGGER_INTERVAL, help="stream: processing interval")
     p.add_argument("--serving-url", default=None, help="stream: JDBC URL of the serving table")
     p.add_argument("--serving-table", default="streaming.releases_enriched")
+    p.add_argument("--serving-user", default=None, help="stream: JDBC user")
+    p.add_argument("--serving-password-file", default=None, help="stream: file that holds the JDBC password")
+    p.add_argument("--allow-data-loss", action="store_true",
+                   help="stream: go on where Kafka offsets have expired (counted in the progress log)")
+    p.add_argument("--stop-wait", type=float, default=300.0,
+                   help="stream: seconds that SIGTERM waits for the running micro-batch")
     p.add_argument("--serving-path", default=None, help="stream: Parquet folder of serving rows instead of JDBC")
     p.add_argument("--available-now", action="store_true")
     a = p.parse_args(argv)
@@ -77,9 +104,10 @@ def main(argv: list[str] | None = None) -> None:
     if a.action == "stream":
         from releaseflow.streaming.job import StreamConfig, file_bus, kafka_bus, start
         from releaseflow.streaming.sinks import JdbcServingTarget, ParquetServingTarget
-        bus = (kafka_bus(spark, a.bootstrap_servers, max_offsets_per_trigger=a.max_offsets) if a.bootstrap_servers
+        bus = (kafka_bus(spark, a.bootstrap_servers, max_offsets_per_trigger=a.max_offsets,
+                         fail_on_data_loss=not a.allow_data_loss) if a.bootstrap_servers
                else file_bus(spark, a.landing, max_files_per_trigger=a.max_files))
-        serving = (JdbcServingTarget(a.serving_url, a.serving_table) if a.serving_url
+        serving = (JdbcServingTarget(a.serving_url, a.serving_table, _credentials(a)) if a.serving_url
                    else ParquetServingTarget(a.serving_path) if a.serving_path else None)
         cfg = StreamConfig(root=root, checkpoint_root=a.checkpoints or f"{root}/_checkpoints",
                            bootstrap_servers=a.bootstrap_servers, serving=serving,
@@ -87,9 +115,8 @@ def main(argv: list[str] | None = None) -> None:
                            {"processingTime": a.trigger})
         qs = start(spark, bus, cfg)
 
-        def _stop(signum, frame):  # interrupts the running micro-batch, which replays at the next start
-            for q in qs["queries"]:
-                q.stop()
+        def _stop(signum, frame):
+            stop_after_batch(qs["queries"], a.stop_wait)
 
         import signal
         try:

@@ -45,7 +45,7 @@ def compact(table: VersionedTable, target_root: str,
         .option("partitionOverwriteMode", "static")
         .partitionBy(*SINK_PARTITION_COLUMNS)
         .parquet(target.data_path))
-    (table.commits().write.mode("overwrite").partitionBy("batch_id").parquet(target.commits_path))
+    target.record_commits(table.commits())
     return target
 
 
@@ -100,9 +100,8 @@ def zorder(table: VersionedTable, target_root: str, columns: tuple[str, ...] = Z
     with setting(table.spark, "spark.sql.parquet.outputTimestampType", "TIMESTAMP_MICROS"):  # INT96 has no statistics
         clustered.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(target.data_path)
     # The record comes last: it says which batches the copy holds.
-    copied = clustered.select("batch_id").distinct()
-    commits = table.commits().join(copied, "batch_id", "left_semi").select("commit_ts", "operation", "num_rows", "batch_id")
-    commits.write.mode("overwrite").partitionBy("batch_id").parquet(target.commits_path)
+    copied = target.scan().select("batch_id").distinct()
+    target.record_commits(table.commits().join(copied, "batch_id", "left_semi"))
     return target
 
 

@@ -56,9 +56,7 @@ SELECT {_ENRICHED_OUT_SQL} FROM enr
 WHERE source = '{SCAN_SOURCE}' AND processing_date >= DATE '{SCAN_SINCE}'"""))
 def q_scan_enriched(spark, sf_dir):
     t = release_table(spark, sf_dir)
-    df = t.scan().filter((F.col("source") == SCAN_SOURCE)
-                         & (F.col("processing_date") >= F.lit(SCAN_SINCE).cast("date")))
-    return presentable(df.select(*ENRICHED_OUT))
+    return presentable(t.scan(sources=[SCAN_SOURCE], since=SCAN_SINCE).select(*ENRICHED_OUT))
 
 
 @register("as_of_version", with_base(f"SELECT {_ENRICHED_OUT_SQL} FROM enr WHERE batch_id <= {AS_OF_VERSION}"))

@@ -117,6 +117,19 @@ def delete_path(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)  # noqa: SLF001
 
 
+def make_path(spark: SparkSession, path: str) -> None:
+    """Create an empty folder (and its parents)."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)  # noqa: SLF001
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(p)  # noqa: SLF001
+
+
+def matching_paths(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths that match a glob pattern on the cluster file system."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(pattern)  # noqa: SLF001
+    found = p.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(p)  # noqa: SLF001
+    return [st.getPath().toString() for st in found or []]
+
+
 def partition_values(spark: SparkSession, root: str, column: str) -> set[str]:
     """Values of ``column=value`` sub-folders directly under ``root`` (one listing call)."""
     jvm = spark._jvm  # noqa: SLF001

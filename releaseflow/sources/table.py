@@ -2,38 +2,39 @@
 
 Layout under ``root``::
 
-    data/batch_id=N/source=S/processing_date=D/part-*.parquet
-    commits/batch_id=N/part-*.parquet    one row: commit_ts, operation, num_rows
+    data/source=S/processing_date=D/batch_id=N/part-*.parquet
+    commits/bucket=B/version=V/part-*.parquet    a row per batch: commit_ts, operation, num_rows
 
-A version is a micro-batch id. Each batch is written by overwriting only its
-own ``batch_id=N`` directory, so replaying a batch (after a failure or a
-restart) replaces it instead of appending a second copy, even when the
-replay computes a different processing_date. The commit record (used by
+A version of the table is a micro-batch id. Source and day come first, so a read of some sources
+and days (``scan`` with its arguments) lists only their folders, however many batches there are. The commit
+rows of ``COMMIT_BUCKET`` batches share a file, which is written anew with each commit.
+
+Replaying a batch (after a failure or a restart) replaces it instead of adding a second copy, even
+when the replay computes a different processing_date: a batch that has a commit row, or the mark
+of an attempt that didn't end, is removed from all folders first. The commit row (used by
 history and timestamp reads) is written after the data.
 
 There is no transaction log: one writer per table is assumed and a reader
-may observe a batch directory while it is being written (Delta, when
-installed, removes both limits; see ``delta_available``).
+may observe a batch while it is being written.
 """
 
 from __future__ import annotations
 
-from datetime import datetime
+import uuid
+from datetime import date, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from releaseflow.schema import SINK_PARTITION_COLUMNS
+from releaseflow.session import delete_path, make_path, matching_paths, partition_values, path_exists
+from releaseflow.sources.versions import VersionedBuckets
 
 COMMIT_SCHEMA = "commit_ts timestamp, operation string, num_rows long, batch_id long"
-
-
-def delta_available(spark: SparkSession) -> bool:
-    try:
-        spark._jvm.java.lang.Class.forName("io.delta.tables.DeltaTable")  # noqa: SLF001
-        return True
-    except Exception:
-        return False
+COMMIT_COLUMNS = ["commit_ts", "operation", "num_rows", "batch_id"]
+#: Batches whose commit rows share a file.
+COMMIT_BUCKET = 1000
+_ANY = 1 << 62
 
 
 class VersionedTable:
@@ -49,6 +50,25 @@ class VersionedTable:
     def commits_path(self) -> str:
         return f"{self.root}/commits"
 
+    # -- commits ------------------------------------------------------------------
+    def _log(self) -> VersionedBuckets:
+        return VersionedBuckets(self.spark, self.commits_path)
+
+    def record_commits(self, rows: DataFrame) -> None:
+        """Add commit rows (commit_ts, operation, num_rows, batch_id); a batch's new row replaces its old one."""
+        new = rows.select(*COMMIT_COLUMNS).withColumn(
+            "bucket", F.floor(F.col("batch_id") / F.lit(COMMIT_BUCKET))).persist()
+        try:
+            log, both = self._log(), new
+            buckets = sorted(r[0] for r in new.select("bucket").distinct().collect())
+            old = log.read(buckets, _ANY)
+            if old is not None:
+                both = new.unionByName(old.join(new.select("batch_id"), "batch_id", "left_anti").select(*new.columns))
+            version = 1 + max((v for b in buckets if (v := log.newest(b, _ANY)) is not None), default=-1)
+            log.write(both, buckets, version)
+        finally:
+            new.unpersist()
+
     # -- writes -----------------------------------------------------------------
     def write_batch(self, df: DataFrame, batch_id: int, commit_ts: datetime | str | None = None,
                     operation: str = "STREAMING UPDATE") -> int:
@@ -57,27 +77,32 @@ class VersionedTable:
         The row count comes from an ``observe`` metric of the write itself, so
         the batch is evaluated once.
         """
-        import uuid
-
-        from pyspark.sql import Observation
-
+        mark = f"{self.root}/_writing/batch_id={batch_id}"
+        if path_exists(self.spark, mark) or not self.commits().filter(F.col("batch_id") == batch_id).isEmpty():
+            self._drop_batch(batch_id)
+        make_path(self.spark, mark)
         # Unique name: the fan-out writes several tables for the same batch concurrently.
         obs = Observation(f"write_batch_{batch_id}_{uuid.uuid4().hex}")
-        (df.drop("batch_id")
+        (df.withColumn("batch_id", F.lit(batch_id).cast("long"))
            .observe(obs, F.count(F.lit(1)).alias("n"))
            .hint("rebalance", *SINK_PARTITION_COLUMNS)  # write-time compaction: AQE sizes the files
            .write.mode("overwrite")
-           .option("partitionOverwriteMode", "static")  # replace the whole batch directory
-           .partitionBy(*SINK_PARTITION_COLUMNS)
-           .parquet(f"{self.data_path}/batch_id={batch_id}"))
+           .option("partitionOverwriteMode", "dynamic")  # only this batch's folders
+           .partitionBy(*SINK_PARTITION_COLUMNS, "batch_id")
+           .parquet(self.data_path))
         n = int(obs.get.get("n", 0))
         ts = F.current_timestamp() if commit_ts is None else F.lit(commit_ts).cast("timestamp")
-        (self.spark.range(1)
-             .select(ts.alias("commit_ts"),
-                     F.lit(operation).alias("operation"), F.lit(n).cast("long").alias("num_rows"))
-             .coalesce(1).write.mode("overwrite").parquet(f"{self.commits_path}/batch_id={batch_id}"))
+        self.record_commits(self.spark.range(1).select(
+            ts.alias("commit_ts"), F.lit(operation).alias("operation"), F.lit(n).cast("long").alias("num_rows"),
+            F.lit(batch_id).cast("long").alias("batch_id")))
+        delete_path(self.spark, mark)
         return n
 
+    def _drop_batch(self, batch_id: int) -> None:
+        folders = "/".join(f"{c}=*" for c in SINK_PARTITION_COLUMNS)
+        for path in matching_paths(self.spark, f"{self.data_path}/{folders}/batch_id={batch_id}"):
+            delete_path(self.spark, path)
+
     def write_all(self, df: DataFrame, commit_ts_col: str = "processed_ts",
                   operation: str = "STREAMING UPDATE", replace_partitions: bool = True) -> None:
         """Backfill many batches in one job (``df`` carries ``batch_id``).
@@ -86,33 +111,52 @@ class VersionedTable:
         partitions present are replaced); for a new table a plain overwrite
         skips the staging and rename step. The ``rebalance`` hint lets AQE split
         hot partitions and merge small ones, so file sizes stay even. Commit
-        records are derived from the written files (two columns, one of them a
+        rows are derived from the written files (two columns, one of them a
         directory name), so the input is computed only once.
         """
         mode = "dynamic" if replace_partitions else "static"
         (df.hint("rebalance", "batch_id", *SINK_PARTITION_COLUMNS)
            .write.mode("overwrite")
            .option("partitionOverwriteMode", mode)
-           .partitionBy("batch_id", *SINK_PARTITION_COLUMNS)
+           .partitionBy(*SINK_PARTITION_COLUMNS, "batch_id")
            .parquet(self.data_path))
         commits = (self.scan().groupBy("batch_id")
-                   .agg(F.max(commit_ts_col).alias("commit_ts"), F.count(F.lit(1)).alias("num_rows"))
-                   .select("commit_ts", F.lit(operation).alias("operation"),
-                           F.col("num_rows").cast("long"), "batch_id"))
-        (commits.write.mode("overwrite").option("partitionOverwriteMode", mode)
-                .partitionBy("batch_id").parquet(self.commits_path))
+                   .agg(F.max(commit_ts_col).alias("commit_ts"), F.count(F.lit(1)).alias("num_rows")))
+        self.record_commits(commits.withColumn("operation", F.lit(operation)))
 
     # -- reads --------------------------------------------------------------------
     def commits(self) -> DataFrame:
-        return (self.spark.read.schema(COMMIT_SCHEMA).parquet(self.commits_path)
-                .select(F.col("batch_id").cast("long"), "commit_ts", "operation", "num_rows"))
-
-    def scan(self) -> DataFrame:
-        """All batches. Filters on batch_id, source and processing_date prune
-        directories; other predicates push down to the Parquet reader. A batch
-        whose writer died before its commit record is visible until the stream
-        replays (and overwrites) it: the no-log limit stated above."""
-        data = self.spark.read.option("basePath", self.data_path).parquet(self.data_path)
+        buckets = sorted(int(b) for b in partition_values(self.spark, self.commits_path, "bucket"))
+        rows = self._log().read(buckets, _ANY)
+        rows = self.spark.createDataFrame([], COMMIT_SCHEMA) if rows is None else rows
+        return rows.select(F.col("batch_id").cast("long"), "commit_ts", "operation", "num_rows")
+
+    def scan(self, sources: list[str] | None = None, since: date | str | None = None,
+             until: date | str | None = None) -> DataFrame:
+        """All rows, or those of some sources and processing dates (both ends included).
+
+        With arguments only the folders they name are listed. Filters on source, processing_date and
+        batch_id prune folders that are listed; other predicates push down to the Parquet reader. A batch
+        whose writer died before its commit row is visible until the stream
+        replays (and replaces) it: the no-log limit stated above."""
+        paths = [self.data_path]
+        if sources is not None or since is not None or until is not None:
+            paths = self._folders(sources, str(since or ""), str(until or "9999-12-31"))
+        reader = self.spark.read.option("basePath", self.data_path)
+        if not paths:  # nothing written for them yet: the table's columns, no rows
+            return self._typed(reader.parquet(self.data_path)).filter(F.lit(False))
+        return self._typed(reader.parquet(*paths))
+
+    def _folders(self, sources: list[str] | None, since: str, until: str) -> list[str]:
+        names = partition_values(self.spark, self.data_path, "source")
+        out = []
+        for s in sorted(names if sources is None else names & set(sources)):
+            days = partition_values(self.spark, f"{self.data_path}/source={s}", "processing_date")
+            out += [f"{self.data_path}/source={s}/processing_date={d}" for d in sorted(days) if since <= d <= until]
+        return out
+
+    @staticmethod
+    def _typed(data: DataFrame) -> DataFrame:
         return data.withColumn("batch_id", F.col("batch_id").cast("long"))
 
     def as_of_version(self, version: int) -> DataFrame:

@@ -39,3 +39,34 @@ def test_cli_stream_report_maintain(spark, workdir, capsys):
     assert t.scan().count() == rows
     assert t.scan().filter(F.col("is_anomaly")).count() == \
         VersionedTable(spark, f"{root}/anomalies").scan().count()
+
+
+def test_stop_waits_for_the_running_batch():
+    class Query:
+        isActive = True
+
+        def __init__(self, busy):
+            self.busy, self.stopped_after = busy, None
+
+        @property
+        def status(self):
+            self.busy -= 1
+            return {"isTriggerActive": self.busy > 0}
+
+        def stop(self):
+            self.stopped_after = self.busy
+
+    idle, busy, stuck = Query(0), Query(5), Query(10 ** 9)
+    jobs.stop_after_batch([idle, busy], 60)
+    assert idle.stopped_after <= 0 and busy.stopped_after == 0
+    jobs.stop_after_batch([stuck], 0.3)
+    assert stuck.stopped_after > 0
+
+
+def test_credentials_come_from_a_file(workdir):
+    import argparse
+    with open(f"{workdir}/secret", "w") as f:
+        f.write("pw\n")
+    a = argparse.Namespace(serving_user="u", serving_password_file=f"{workdir}/secret")
+    assert jobs._credentials(a) == {"user": "u", "password": "pw"}
+    assert jobs._credentials(argparse.Namespace(serving_user=None, serving_password_file=None)) == {}

@@ -56,17 +56,6 @@ def test_compaction_preserves_rows_and_retention(spark, workdir):
     assert t.scan().filter(F.col("batch_id").isin(cand)).count() > 0  # a report: nothing is deleted
 
 
-def test_delta_table_is_gated(spark):
-    import pytest
-
-    from releaseflow.sources.delta_table import DeltaReleaseTable
-    from releaseflow.sources.table import delta_available
-    if delta_available(spark):
-        pytest.skip("Delta installed: gate not exercised")
-    with pytest.raises(RuntimeError):
-        DeltaReleaseTable(spark, "/tmp/nowhere")
-
-
 def test_concurrent_batch_writes_count_their_own_rows(spark, workdir):
     from concurrent.futures import ThreadPoolExecutor
     df = _batches(spark).drop("b")
@@ -138,3 +127,57 @@ def test_optimized_reads_add_newer_batches(spark, workdir):
     t.write_batch(df.filter("b = 1").drop("b"), 1, "2024-01-02 00:00:00")
     ids = [r[0] for r in with_newer_batches(t, z).select("event_id").collect()]
     assert sorted(ids) == sorted(r[0] for r in t.scan().select("event_id").collect()) and len(set(ids)) == len(ids)
+
+
+def _folders(path):
+    import os
+    return sorted(os.path.relpath(d, path) for d, _, files in os.walk(path) if any(f.endswith(".parquet") for f in files))
+
+
+def test_a_replay_on_another_day_leaves_no_old_folder(spark, workdir):
+    t = VersionedTable(spark, f"{workdir}/t")
+    rows = _batches(spark).drop("b").limit(60)
+    other = rows.withColumn("processing_date", F.lit("2030-01-01").cast("date"))
+    t.write_batch(rows, 3, "2024-01-01 00:00:00")
+    t.write_batch(other, 3, "2024-01-01 00:00:00")  # the whole batch again
+    assert t.scan().count() == 60 and all("2030-01-01" in f for f in _folders(t.data_path))
+    import os
+    os.makedirs(f"{t.root}/_writing/batch_id=4")  # an attempt that ended before its commit
+    broken = rows.withColumn("batch_id", F.lit(4).cast("long"))
+    (broken.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("source", "processing_date", "batch_id").parquet(t.data_path))
+    t.write_batch(other, 4, "2024-01-02 00:00:00")
+    assert t.scan().filter("batch_id = 4").count() == 60
+    assert all("2030-01-01" in f for f in _folders(t.data_path))
+    assert [r.batch_id for r in t.commits().orderBy("batch_id").collect()] == [3, 4]
+
+
+def test_a_scan_of_some_days_lists_only_their_folders(spark, workdir):
+    t = VersionedTable(spark, f"{workdir}/t")
+    df = enriched(spark, SF_SMALL).drop("seq")
+    t.write_all(df)
+    part = t.scan(sources=["BLS"], since="2024-01-20", until="2024-01-22")
+    files = part.inputFiles()
+    assert files and all("source=BLS" in f and any(f"processing_date=2024-01-2{d}" in f for d in (0, 1, 2)) for f in files)
+    want = t.scan().filter("source = 'BLS' AND processing_date BETWEEN '2024-01-20' AND '2024-01-22'")
+    assert sorted(r[0] for r in part.select("event_id").collect()) == sorted(
+        r[0] for r in want.select("event_id").collect())
+    none = t.scan(sources=["nobody"])
+    assert none.count() == 0 and none.columns == t.scan().columns
+
+
+def test_commit_rows_share_files(spark, workdir):
+    import os
+    t = VersionedTable(spark, f"{workdir}/t")
+    for n in range(6):
+        t.record_commits(spark.createDataFrame([(n, n)], "batch_id long, num_rows long").select(
+            F.current_timestamp().alias("commit_ts"), F.lit("x").alias("operation"), "num_rows", "batch_id"))
+    assert [r.version for r in t.history(10).collect()] == [5, 4, 3, 2, 1, 0]
+    assert len([d for d in os.listdir(f"{t.commits_path}/bucket=0") if d.startswith("version=")]) == 2
+
+
+def test_a_micro_batch_writes_one_file_a_folder(spark, workdir):
+    t = VersionedTable(spark, f"{workdir}/t")
+    t.write_batch(_batches(spark).drop("b").repartition(40), 0, "2024-01-01 00:00:00")
+    files = t.scan().inputFiles()
+    assert len(files) == len(_folders(t.data_path))
