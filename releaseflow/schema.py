@@ -70,7 +70,6 @@ DIRECTION_UP_FACTOR = 1.001
 DIRECTION_DOWN_FACTOR = 0.999
 SURPRISE_DECIMALS = 4
 WATERMARK_DELAY = "1 hour"
-MAX_OFFSETS_PER_TRIGGER = 1000
 TRIGGER_INTERVAL = "30 seconds"
 RETENTION_HOURS = 168
 LAG_ALERT_THRESHOLD = 10000
