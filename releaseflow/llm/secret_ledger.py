@@ -12,11 +12,12 @@ empty result.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from releaseflow.llm.components import saved
 from releaseflow.llm.spans import SPAN, chunks, find, masked, pieces, searchable
+from releaseflow.session import path_exists
 
 RULE_VERSION = 2
 BASE = ("assign", "access", "hex")
@@ -77,6 +78,27 @@ def scan_unseen(df: DataFrame, ledger: DataFrame, id_col: str = "doc_id", text_c
             .groupBy("blob", "rules").agg(F.max("spans").alias("spans")))
 
 
+def read_ledger(spark: SparkSession, path: str) -> DataFrame:
+    """A stored ledger; where nothing is stored, an empty one. A blob that two scans stored counts once."""
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], f"blob string, rules int, spans array<{SPAN}>")
+    stored = spark.read.schema(f"blob string, spans array<{SPAN}>, rules int").parquet(path)
+    return stored.groupBy("blob", "rules").agg(F.max("spans").alias("spans"))
+
+
+def update_ledger(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> int:
+    """Scan what the ledger at ``path`` has not seen under these rules, add it, and return how many blobs that were.
+
+    New rows appear at once when the write commits; a scan that dies before adds nothing. Rows of earlier
+    rules stay, so a rule bump scans every blob again and an older version's findings can still be read.
+    """
+    new = saved(scan_unseen(df, read_ledger(df.sparkSession, path), id_col, text_col))
+    n = new.count()
+    if n:
+        new.write.mode("append").partitionBy("rules").parquet(path)
+    return n
+
+
 def _findings(df: DataFrame, ledger: DataFrame | None, id_col: str, text_col: str) -> DataFrame:
     old = empty_ledger(df) if ledger is None else ledger
     new = saved(scan_unseen(df, old, id_col, text_col))

@@ -511,3 +511,20 @@ def test_one_text_with_very_many_finds(spark):
     hidden = {r["doc_id"]: r["text"] for r in secret_ledger.mask_secrets(docs).collect()}
     assert hidden[1].count(secret_ledger.MASK) == 12_000 and "abcdef" not in hidden[1] and hidden[3] is None
     assert time.monotonic() - began < 120  # the square of the finds would take hours
+
+
+def test_a_stored_ledger_scans_new_blobs_and_new_rules_only(spark, workdir, monkeypatch):
+    path = f"{workdir}/ledger"
+    texts = ["password=hunter22", "clean", "password=hunter22", None, "key " + "ab" * 14]
+    docs = table(spark, texts)
+    assert secret_ledger.update_ledger(docs, path) == 4  # three texts and the empty one
+    assert secret_ledger.update_ledger(docs, path) == 0
+    more = table(spark, [*texts, "token: abcdefgh", "clean"])
+    assert secret_ledger.update_ledger(more, path) == 1
+    plain = sorted(map(str, secret_ledger.scan_secrets(more).collect()))
+    ledger = secret_ledger.read_ledger(spark, path)
+    assert sorted(map(str, secret_ledger.scan_secrets(more, ledger).collect())) == plain
+    assert secret_ledger.scan_unseen(more, ledger).count() == 0
+    monkeypatch.setattr(secret_ledger, "RULE_VERSION", secret_ledger.RULE_VERSION + 1)
+    assert secret_ledger.update_ledger(more, path) == 5
+    assert secret_ledger.read_ledger(spark, path).groupBy("rules").count().count() == 2
