@@ -128,6 +128,7 @@ def main(argv: list[str] | None = None) -> None:
                 q.awaitTermination()
         else:
             spark.streams.awaitAnyTermination()
+        qs["listener"].flush()
         return
     if a.action == "optimize":
         target = M.zorder(table, optimized.root, tuple(a.z_order.split(",")))

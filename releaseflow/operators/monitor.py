@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from collections import deque
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -83,56 +84,54 @@ def offset_lag(source_offsets: DataFrame, consumed: DataFrame,
     return lag.select("*", total.cast("long").alias("total_lag"), (total > threshold).alias("alert"))
 
 
+def lag_rows(progress: dict) -> list[tuple]:
+    """``(topic, partition, latest offset, end offset, lag)`` of a progress report's bus sources."""
+    rows = []
+    for src in progress.get("sources", []):
+        done = _offsets(src.get("endOffset"))
+        for (topic, part), last in _offsets(src.get("latestOffset")).items():
+            rows.append((topic, int(part), last, done.get((topic, part), 0), last - done.get((topic, part), 0)))
+    return rows
+
+
+def dropped_rows(progress: dict) -> list[tuple]:
+    """``(batch, operator, rows that the watermark dropped, rows of state)`` of a progress report."""
+    return [(int(progress.get("batchId", -1)), op.get("operatorName"), int(op.get("numRowsDroppedByWatermark", 0)),
+             int(op.get("numRowsTotal", 0))) for op in progress.get("stateOperators", []) or []]
+
+
+def _read(progress: dict | str | None) -> dict:
+    return json.loads(progress) if isinstance(progress, str) else progress or {}
+
+
 def progress_lag(spark: SparkSession, progress: dict | str | None) -> DataFrame:
     """Lag per topic-partition from one streaming progress report (Kafka sources
     report ``endOffset`` and ``latestOffset`` as {topic: {partition: offset}})."""
-    rows = []
-    if progress:
-        p = json.loads(progress) if isinstance(progress, str) else progress
-        for src in p.get("sources", []):
-            try:
-                end = json.loads(src.get("endOffset") or "{}") if isinstance(src.get("endOffset"), str) \
-                    else (src.get("endOffset") or {})
-                latest = json.loads(src.get("latestOffset") or "{}") if isinstance(src.get("latestOffset"), str) \
-                    else (src.get("latestOffset") or {})
-            except (TypeError, ValueError):
-                continue
-            if not isinstance(end, dict) or not isinstance(latest, dict):
-                continue
-            for topic, parts in latest.items():
-                if not isinstance(parts, dict):
-                    continue
-                for part, off in parts.items():
-                    done = (end.get(topic) or {}).get(part, 0)
-                    rows.append((topic, int(part), int(off), int(done), int(off) - int(done)))
     return spark.createDataFrame(
-        rows, "topic string, partition int, latest_offset long, end_offset long, lag long")
+        lag_rows(_read(progress)), "topic string, partition int, latest_offset long, end_offset long, lag long")
 
 
 def watermark_drops(spark: SparkSession, progresses: list) -> DataFrame:
     """Rows dropped by the watermark per micro-batch and stateful operator, from a
     query's ``recentProgress`` (late records are counted, not silently lost)."""
-    rows = []
-    for p in progresses or []:
-        p = json.loads(p) if isinstance(p, str) else p
-        for op in p.get("stateOperators", []) or []:
-            rows.append((int(p.get("batchId", -1)), op.get("operatorName"),
-                         int(op.get("numRowsDroppedByWatermark", 0)), int(op.get("numRowsTotal", 0))))
     return spark.createDataFrame(
-        rows, "batch_id long, operator string, rows_dropped_by_watermark long, state_rows long")
+        [r for p in progresses or [] for r in dropped_rows(_read(p))],
+        "batch_id long, operator string, rows_dropped_by_watermark long, state_rows long")
 
 
 class ProgressLog(StreamingQueryListener):
-    """Writes what each micro-batch reports: input rows and rate, lag per bus partition, rows that a watermark dropped.
+    """Keeps what each micro-batch reports: input rows and rate, lag per bus partition, rows that a watermark dropped.
 
-    One small file per batch below ``path``; ``batch_progress`` reads them. With ``queries``, only of queries of
-    those names.
+    A listener must not run Spark jobs (queries wait for it), so reports are noted as they come and written by
+    ``flush``, which the fan-out calls with every batch and the caller once more at the end. ``batch_progress`` reads
+    them. With ``queries``, only of queries of those names; with ``ids``, only of queries with those ids.
     """
 
     def __init__(self, spark: SparkSession, path: str, queries: tuple[str, ...] = (),
                  threshold: int = LAG_ALERT_THRESHOLD):
         self.spark, self.path, self.queries, self.threshold = spark, path.rstrip("/"), queries, threshold
-        self.ids: set[str] = set()  # if filled, only queries with these ids
+        self.ids: set[str] = set()
+        self.noted: deque[tuple] = deque()
 
     def onQueryStarted(self, event) -> None:
         pass
@@ -147,16 +146,25 @@ class ProgressLog(StreamingQueryListener):
         self.record(json.loads(event.progress.json))
 
     def record(self, progress: dict) -> None:
+        """Note one progress report."""
         if (self.queries and progress.get("name") not in self.queries) or (
                 self.ids and progress.get("id") not in self.ids):
             return
-        lag = progress_lag(self.spark, progress).agg(F.sum("lag"), F.count(F.lit(1))).first()
-        dropped = watermark_drops(self.spark, [progress]).agg(F.sum("rows_dropped_by_watermark")).first()[0]
+        lags = [r[-1] for r in lag_rows(progress)]
+        dropped = sum(r[2] for r in dropped_rows(progress))
         rows = int(progress.get("numInputRows", 0))
-        row = (progress.get("timestamp"), rows, float(progress.get("processedRowsPerSecond") or 0), lag[0] or 0,
-               lag[1], (lag[0] or 0) > self.threshold, dropped or 0, max(0, offsets_passed(progress) - rows))
-        self.spark.createDataFrame([row], PROGRESS_SCHEMA).coalesce(1).write.mode("overwrite").json(
-            f"{self.path}/query={progress.get('name')}/batch_id={int(progress.get('batchId', -1))}")
+        self.noted.append((progress.get("timestamp"), rows, float(progress.get("processedRowsPerSecond") or 0),
+                           sum(lags), len(lags), sum(lags) > self.threshold, dropped,
+                           max(0, offsets_passed(progress) - rows), progress.get("name"),
+                           int(progress.get("batchId", -1))))
+
+    def flush(self) -> None:
+        """Write what has been noted, one folder per query and batch."""
+        rows = [self.noted.popleft() for _ in range(len(self.noted))]
+        if rows:
+            df = self.spark.createDataFrame(rows, f"{PROGRESS_SCHEMA}, query string, batch_id long").coalesce(1)
+            (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy("query", "batch_id").json(self.path))
 
 
 PROGRESS_SCHEMA = ("at string, input_rows long, rows_per_second double, lag long, bus_partitions long, alert boolean, "

@@ -135,6 +135,7 @@ class FanOut:
     parallel_sinks: int = 4
     seen: SeenEvents | None = None
     written: dict = field(default_factory=dict)
+    progress: ProgressLog | None = None
     refused: dict = field(default_factory=dict)  # per batch, rows kept out of the serving table
 
     def __post_init__(self):
@@ -149,7 +150,7 @@ class FanOut:
             batch = arrived if self.seen is None else self.seen.fresh(arrived, batch_id).persist()
             if batch.isEmpty():
                 return
-            tasks = []
+            tasks = [self.progress.flush] if self.progress is not None else []  # reports of earlier batches
             if self.seen is not None:
                 everything = batch
                 tasks.append(lambda: self.seen.commit(everything, batch_id))
@@ -217,8 +218,8 @@ class StreamConfig:
 def start(spark: SparkSession, bus: DataFrame, cfg: StreamConfig) -> dict:
     """Start the fan-out query (one read of the bus); optionally the stateful window query.
 
-    Returns ``{"main", "queries", "fanout", "listener"}``; the listener logs each batch's progress and stays
-    until ``spark.streams.removeListener``.
+    Returns ``{"main", "queries", "fanout", "listener"}``; the listener notes each batch's progress
+    until ``spark.streams.removeListener``, and its ``flush`` writes what the last batches reported.
     """
     root = cfg.root.rstrip("/")
     fan = FanOut(
@@ -237,6 +238,7 @@ def start(spark: SparkSession, bus: DataFrame, cfg: StreamConfig) -> dict:
     )
     log = ProgressLog(spark, f"{root}/progress", ("releases_main", "releases_windows"))
     spark.streams.addListener(log)
+    fan.progress = log
     main = (routed_stream(bus).writeStream
             .queryName("releases_main")
             .option("checkpointLocation", f"{cfg.checkpoint_root}/releases_main")

@@ -81,11 +81,11 @@ def test_the_job_logs_each_batch(spark, workdir):
                        history_window_us=None)
     qs = start(spark, file_bus(spark, f"{workdir}/landing/*", max_files_per_trigger=1), cfg)
     assert qs["main"].awaitTermination(600)
+    import time
     for _ in range(100):  # listeners are told a moment later
+        qs["listener"].flush()
         if os.path.isdir(f"{workdir}/out/progress") and batch_progress(spark, f"{workdir}/out/progress").count() >= 2:
             break
-        qs["main"].awaitTermination(1)
-        import time
         time.sleep(0.2)
     spark.streams.removeListener(qs["listener"])
     got = batch_progress(spark, f"{workdir}/out/progress").orderBy("batch_id").collect()
@@ -106,6 +106,8 @@ def test_progress_of_a_bus_source(spark, workdir):
     log.record({**progress, "name": "other"})
     log.ids = {"another run"}
     log.record({**progress, "batchId": 5})
+    log.flush()
+    log.flush()  # nothing new
     (r,) = batch_progress(spark, f"{workdir}/p").collect()
     assert (r["batch_id"], r["lag"], r["alert"], r["bus_partitions"]) == (4, 1980, True, 2)
     assert (r["rows_dropped_by_watermark"], r["offsets_skipped"], r["input_rows"]) == (2, 3, 7)
