@@ -181,3 +181,62 @@ def test_a_micro_batch_writes_one_file_a_folder(spark, workdir):
     t.write_batch(_batches(spark).drop("b").repartition(40), 0, "2024-01-01 00:00:00")
     files = t.scan().inputFiles()
     assert len(files) == len(_folders(t.data_path))
+
+
+def _many_batches(spark, batches, days=2):
+    return spark.range(batches * 4).select(
+        F.col("id").cast("string").alias("event_id"), F.lit(1.0).alias("value"),
+        F.expr(f"timestamp_seconds(1704067200 + 86400 * (id % {days}))").alias("processed_ts"),
+        F.expr("if(id % 8 = 7, null, concat('s', id % 2))").alias("source"),
+        F.expr(f"date_add(date'2024-01-01', int(id % {days}))").alias("processing_date"),
+        F.expr("id div 4").alias("batch_id"))
+
+
+def test_a_backfill_writes_files_by_day_not_by_batch(spark, workdir):
+    few, many = VersionedTable(spark, f"{workdir}/few"), VersionedTable(spark, f"{workdir}/many")
+    few.write_all(_many_batches(spark, 20), replace_partitions=False)
+    many.write_all(_many_batches(spark, 400), replace_partitions=False)
+    files = len(many.scan().inputFiles())
+    assert files == len(few.scan().inputFiles()) <= 6
+    assert many.scan().count() == 1600 and many.as_of_version(9).count() == 40
+    assert many.commits().count() == 400
+    assert many.scan().filter("source IS NULL").count() == 200
+    both = many.scan(sources=["s1"], since="2024-01-02")
+    assert sorted(r[0] for r in both.select("event_id").collect()) == sorted(
+        r[0] for r in many.scan().filter("source = 's1' AND processing_date >= '2024-01-02'").select("event_id").collect())
+
+
+def _values(t):
+    return sorted((r.event_id, r.batch_id, r.value) for r in t.scan().collect())
+
+
+def test_a_backfilled_batch_is_replaced_by_its_replay(spark, workdir):
+    t = VersionedTable(spark, f"{workdir}/t")
+    rows = _many_batches(spark, 6)
+    t.write_all(rows)
+    before = _values(t)
+    for value in (2.0, 3.0):  # the replay, and a replay of that
+        again = rows.filter("batch_id = 3").drop("batch_id").withColumn("value", F.lit(value)).withColumn(
+            "processing_date", F.lit("2030-01-01").cast("date"))
+        t.write_batch(again, 3, "2024-02-01 00:00:00")
+        assert _values(t) == [(e, b, value if b == 3 else v) for e, b, v in before]
+    t.write_batch(rows.drop("batch_id").limit(2), 9, "2024-02-02 00:00:00")
+    assert t.scan().count() == 26 and t.scan().columns == VersionedTable(spark, t.root).scan().columns
+    part = t.scan(since="2030-01-01")
+    assert {r.batch_id for r in part.collect()} == {3}
+
+
+def test_a_later_backfill_replaces_what_it_holds(spark, workdir):
+    t = VersionedTable(spark, f"{workdir}/t")
+    rows = _many_batches(spark, 6)
+    t.write_batch(rows.filter("batch_id = 1").drop("batch_id"), 1, "2024-01-01 00:00:00")
+    t.write_all(rows.filter("batch_id < 4"))
+    assert _values(t) == sorted((r.event_id, r.batch_id, 1.0) for r in rows.filter("batch_id < 4").collect())
+    some = rows.filter("batch_id >= 3 AND (source = 's1' OR source IS NULL)").withColumn("value", F.lit(5.0))
+    for _ in range(2):
+        t.write_all(some)
+        new = {r.event_id: 5.0 for r in some.collect()}
+        old = {r.event_id: 1.0 for r in rows.filter("batch_id < 4").collect()}
+        assert {e: v for e, _, v in _values(t)} == {**old, **new} and len(_values(t)) == len({**old, **new})
+    t.write_all(rows.filter("batch_id = 0"), replace_partitions=False)
+    assert t.scan().count() == 4
