@@ -37,3 +37,22 @@ def test_json_is_decoded_once(spark):
     assert plan.count("from_json(") == 1
     filters = [line for line in plan.splitlines() if "Filter" in line]
     assert filters and not any("from_json" in line for line in filters)
+
+
+def _backfilled(spark, root, batches=200):
+    """A table of many batches over two days and two sources."""
+    rows = spark.range(batches * 4).select(
+        F.col("id").cast("string").alias("event_id"), F.concat(F.lit("r"), F.col("id") % 3).alias("release_name"),
+        F.expr("timestamp_seconds(1704067200 + 60 * id)").alias("processed_ts"), F.expr("id div 4").alias("batch_id"),
+        F.concat(F.lit("s"), F.col("id") % 2).alias("source"),
+        F.expr("date_add(date'2024-01-01', int(id % 2))").alias("processing_date"))
+    t = VersionedTable(spark, root)
+    t.write_all(rows, replace_partitions=False)
+    return t
+
+
+def test_a_zordered_read_lists_files_by_day_not_by_batch(spark, workdir):
+    from releaseflow.operators.maintenance import with_newer_batches, zorder
+    t = _backfilled(spark, f"{workdir}/t")
+    read = with_newer_batches(t, zorder(t, f"{workdir}/z", num_partitions=2))
+    assert read.count() == 800 and len(read.inputFiles()) <= 8
