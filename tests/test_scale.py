@@ -56,3 +56,10 @@ def test_a_zordered_read_lists_files_by_day_not_by_batch(spark, workdir):
     t = _backfilled(spark, f"{workdir}/t")
     read = with_newer_batches(t, zorder(t, f"{workdir}/z", num_partitions=2))
     assert read.count() == 800 and len(read.inputFiles()) <= 8
+
+
+def test_compaction_reads_files_by_day_not_by_batch(spark, workdir):
+    t = _backfilled(spark, f"{workdir}/t")
+    c = compact(t, f"{workdir}/c", num_partitions=2)
+    assert c.scan().count() == 800 and c.commits().count() == 200
+    assert len(t.scan().inputFiles()) <= 8 and len(c.scan().inputFiles()) <= 8
