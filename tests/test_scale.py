@@ -63,3 +63,11 @@ def test_compaction_reads_files_by_day_not_by_batch(spark, workdir):
     c = compact(t, f"{workdir}/c", num_partitions=2)
     assert c.scan().count() == 800 and c.commits().count() == 200
     assert len(t.scan().inputFiles()) <= 8 and len(c.scan().inputFiles()) <= 8
+
+
+def test_a_read_as_of_a_time_lists_files_by_day_not_by_batch(spark, workdir):
+    t = _backfilled(spark, f"{workdir}/t")
+    # Batch 99 ends with row 399, in minute 399 of the first day.
+    then = t.as_of_timestamp("2024-01-01 06:39:00")
+    assert sorted(int(r[0]) for r in then.select("event_id").collect()) == list(range(400))
+    assert len(then.inputFiles()) <= 8
