@@ -78,6 +78,74 @@ def test_top_products_equal_brute_force(spark, monkeypatch, rows_in_block):
     assert topk.top_products(frame(spark, []), F.col("vec_id") % 10 == 0).count() == 0
 
 
+def best_products(whole, asks, k=5):
+    """``{(query_id, rank, vec_id, score)}`` by brute force."""
+    want = set()
+    for q in filter(asks, whole):
+        best = sorted((-sum(int(a) * int(b) for a, b in zip(whole[q], w)), c) for c, w in whole.items()
+                      if c != q and len(w) == len(whole[q]))[:k]
+        want |= {(q, r + 1, c, -s) for r, (s, c) in enumerate(best)}
+    return want
+
+
+def quantised(rows):
+    return {i: np.floor(256 * np.array(v, np.float32).astype(float)) for i, v, _ in rows if i is not None and usable(v)}
+
+
+def test_top_products_send_k_rows_per_query_and_task(spark, monkeypatch):
+    monkeypatch.setattr(topk, "ROWS", 16)
+    monkeypatch.setattr(topk, "QUERIES", 16)
+    rows, sent, search = vectors(3, 480, 32), spark.sparkContext.accumulator(0), topk._search
+
+    def counted(k):
+        def run(batches, inner=search(k)):
+            for batch in inner(batches):
+                sent.add(batch.num_rows)
+                yield batch
+        return run
+
+    monkeypatch.setattr(topk, "_search", counted)
+    got = topk.top_products(frame(spark, rows), F.col("vec_id") % 10 == 0).collect()
+    assert {tuple(r) for r in got} == best_products(quantised(rows), lambda i: i % 10 == 0)
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    asked = sum(i % 10 == 0 for i in quantised(rows))
+    assert sent.value <= tasks * 5 * asked < 480 // 16 * 5 * asked
+
+
+@pytest.mark.parametrize("scale", [1, 1e4, 1e6])
+def test_top_products_of_several_groups_of_queries(spark, monkeypatch, scale):
+    monkeypatch.setattr(topk, "ROWS", 16)
+    monkeypatch.setattr(topk, "QUERIES", 8)
+    monkeypatch.setattr(topk, "HELD", 2048)
+    assert topk._grid(300, 8, 300 * 16, 100 * 16)[1] == 2
+    rows = [(i, None if v is None else [None if x is None else x * scale for x in v], lab)
+            for i, v, lab in vectors(4, 300, 16)]
+    rows += [(1000 + i, rows[i % 3][1], 0) for i in range(40)]  # equal vectors tie
+    got = topk.top_products(frame(spark, rows + rows[:50]), F.col("vec_id") % 3 == 0).collect()
+    assert len(got) == len({tuple(r) for r in got})
+    assert {tuple(r) for r in got} == best_products(quantised(rows), lambda i: i % 3 == 0)
+
+
+def test_top_products_drop_pairs_by_remaining_mass(monkeypatch):
+    """Vectors whose mass falls with the dimension, narrow and wide: few pairs need their whole product."""
+    rng = np.random.default_rng(6)
+    base = rng.standard_normal((40, 64)) * 0.8 ** np.arange(64)
+    for scale in (40, 1e5, 1e9):
+        near = base[rng.integers(0, 40, 1500)] + 0.02 * rng.standard_normal((1500, 64))
+        m = np.floor(scale * near).astype(np.int64)
+        ids = rng.permutation(1500)
+        held = topk._Queries([(ids[:300], np.ascontiguousarray(m[:300].T))], 3)
+        heads, few = [], held._few
+        monkeypatch.setattr(held, "_few", lambda *a: heads.append(few(*a)) or heads[-1])
+        for a in range(0, 1500, 250):
+            held.meet(ids[a:a + 250], np.ascontiguousarray(m[a:a + 250].T))
+        assert any(h is not None for h in heads) == (scale < 1e9)
+        got = {(q, c, s) for b in held.found() for q, c, s in zip(*(x.to_pylist() for x in b.columns))}
+        asked = set(ids[:300].tolist())
+        want = best_products(dict(zip(ids.tolist(), m.tolist())), asked.__contains__, 3)
+        assert got == {(q, c, s) for q, _, c, s in want}
+
+
 def test_components_of_chains_stars_and_noise(spark):
     rng = random.Random(5)
     edges = [(k, k + 1) for k in range(100, 160)] + [(500, 500 + k) for k in range(80)]
